@@ -1,12 +1,16 @@
 """Keyed merges as joins.
 
-Keys are compared null-safe: a null key is a key like any other, so repeated
-runs never pile up rows with a null date.
+Keys are compared null-safe unless said otherwise: a null key is a key like
+any other, so repeated runs never pile up rows with a null date. Plain equality
+is for keys that are never null; Spark then joins on the partitioning that the
+duplicate removal by that key left behind.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,11 +20,9 @@ def _keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.select(*[F.col(k).alias(f"_{k}") for k in keys])
 
 
-def _same_key(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> Column:
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & df[k].eqNullSafe(other[f"_{k}"])
-    return cond
+def _same_key(df: DataFrame, other: DataFrame, keys: Sequence[str], null_safe: bool) -> Column:
+    pairs = [(df[k], other[f"_{k}"]) for k in keys]
+    return reduce(and_, [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs])
 
 
 def only_unique(src: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -37,17 +39,21 @@ def only_unique(src: DataFrame, keys: Sequence[str]) -> DataFrame:
     return counted.select(row.alias("_row")).select("_row.*")
 
 
-def unmatched(src: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
+def unmatched(
+    src: DataFrame, target: DataFrame, keys: Sequence[str], null_safe: bool = True
+) -> DataFrame:
     """Rows of ``src`` whose key is not in ``target``.
 
-    Of ``target`` only the key columns are read. ``src`` must hold one row per
-    key, so no join partition is hot.
+    Of ``target`` only the key columns are read. Both should hold one row per
+    key, so that no join partition is hot.
     """
     known = _keys(target, keys)
-    return src.join(known, _same_key(src, known, keys), "left_anti")
+    return src.join(known, _same_key(src, known, keys, null_safe), "left_anti")
 
 
-def unmatched_in_large(src: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
+def unmatched_in_large(
+    src: DataFrame, target: DataFrame, keys: Sequence[str], null_safe: bool = True
+) -> DataFrame:
     """As ``unmatched``, for a ``src`` much smaller than ``target``.
 
     The target's keys are first cut down to those of ``src``. Spark sends the
@@ -55,8 +61,8 @@ def unmatched_in_large(src: DataFrame, target: DataFrame, keys: Sequence[str]) -
     the target is then scanned once without a shuffle.
     """
     wanted = _keys(src, keys)
-    known = target.join(wanted, _same_key(target, wanted, keys), "left_semi")
-    return unmatched(src, known, keys)
+    known = target.join(wanted, _same_key(target, wanted, keys, null_safe), "left_semi")
+    return unmatched(src, known, keys, null_safe)
 
 
 def upserted(target: DataFrame, src: DataFrame, keys: Sequence[str]) -> DataFrame:

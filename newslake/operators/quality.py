@@ -9,26 +9,68 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def _entries(totals: DataFrame, model: str, checks: dict[str, tuple[str, str]]) -> DataFrame:
+    """One row per check from a single row of counts; ``checks`` maps the
+    name of a count to its check and column."""
+    rows = F.array(
+        *[
+            F.struct(
+                F.lit(check).alias("check"),
+                F.lit(model).alias("model"),
+                F.lit(column).alias("column"),
+                F.coalesce(count, F.lit(0)).alias("failing_rows"),
+            )
+            for count, (check, column) in checks.items()
+        ]
+    )
+    return totals.select(F.inline(rows))
+
+
+def _null_counts(columns: Sequence[str]):
+    return {f"null_{c}": F.count_if(F.col(c).isNull()) for c in columns}
+
+
 def not_null(df: DataFrame, model: str, columns: Sequence[str]) -> DataFrame:
     """Null rows of each column, counted in a single pass."""
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-    entries = F.array(
-        *[F.struct(F.lit(c).alias("column"), F.col(c).alias("failing_rows")) for c in columns]
+    counts = _null_counts(columns)
+    totals = df.agg(*[how.alias(name) for name, how in counts.items()])
+    return _entries(totals, model, {f"null_{c}": ("not_null", c) for c in columns})
+
+
+def unique_and_not_null(
+    df: DataFrame, model: str, key: str, required: Sequence[str] = ()
+) -> DataFrame:
+    """Values of ``key`` that occur more than once, nulls not counting as
+    values, together with the null rows of the required columns.
+
+    Both come from one grouping by the key, which needs no shuffle of its own
+    where the rows are already spread by that key.
+    """
+    counts = _null_counts(required)
+    per_key = df.groupBy(F.col(key).alias("_key")).agg(
+        F.count("*").alias("_rows"), *[how.alias(name) for name, how in counts.items()]
     )
-    return counts.select(F.inline(entries)).select(
-        F.lit("not_null").alias("check"), F.lit(model).alias("model"), "column", "failing_rows"
+    repeated = F.col("_key").isNotNull() & (F.col("_rows") > 1)
+    totals = per_key.agg(
+        F.count_if(repeated).alias("repeated"), *[F.sum(name).alias(name) for name in counts]
     )
+    checks = {f"null_{c}": ("not_null", c) for c in required}
+    return _entries(totals, model, {"repeated": ("unique", key)} | checks)
 
 
-def unique(df: DataFrame, model: str, column: str) -> DataFrame:
-    """Values that occur more than once; nulls do not count as values."""
-    repeated = df.where(F.col(column).isNotNull()).groupBy(column).count().where("count > 1")
-    return repeated.agg(F.count("*").alias("failing_rows")).select(
-        F.lit("unique").alias("check"), F.lit(model).alias("model"),
-        F.lit(column).alias("column"), "failing_rows",
-    )
+def checks(
+    df: DataFrame, model: str, required: Sequence[str], unique: Sequence[str]
+) -> list[DataFrame]:
+    """The checks of one model, in as few passes as it has unique columns."""
+    if not unique:
+        return [not_null(df, model, required)] if required else []
+    first, *others = unique
+    return [
+        unique_and_not_null(df, model, first, required),
+        *[unique_and_not_null(df, model, key) for key in others],
+    ]
 
 
-def report(checks: Sequence[DataFrame]) -> DataFrame:
-    rows = reduce(DataFrame.unionByName, checks)
+def report(found: Sequence[DataFrame]) -> DataFrame:
+    rows = reduce(DataFrame.unionByName, found)
     return rows.withColumn("passed", F.col("failing_rows") == 0)

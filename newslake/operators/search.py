@@ -5,7 +5,7 @@ batches of vectors against a matrix of questions and sends on its best few per
 question; a final ranking picks the best of those. A question set within
 ``BROADCAST_QUESTIONS`` is sent to every task of a single scan. A larger one
 is cut, like the vectors, into blocks of bounded size that meet in a grouped
-job; the result is the same.
+job; the result is the same. The choice is made on a count of the questions.
 
 Scores are rounded to ``SCORE_DIGITS``; equal scores rank by id.
 """
@@ -108,9 +108,8 @@ def _scan_with_all(vectors: DataFrame, table: pa.Table, k: int, schema: T.Struct
 
 
 def _scan_in_blocks(
-    vectors: DataFrame, questions: DataFrame, k: int, schema: T.StructType, per_block: int
+    vectors: DataFrame, questions: DataFrame, k: int, schema: T.StructType, q_blocks: int
 ) -> DataFrame:
-    q_blocks = -(-questions.count() // per_block)
     v_blocks = max(1, -(-vectors.count() // VECTORS_PER_BLOCK))
 
     def spread(df: DataFrame, key: str, own: str, n_own: int, other: str, n_other: int):
@@ -145,12 +144,11 @@ def nearest(
     """
     v, q = vectors.select("id", "values"), questions.select("q_id", "values")
     schema = _schema(v, q)
-    # One row more than the bound tells whether the set is within it.
-    asked = q.limit(broadcast_questions + 1).toArrow()
-    if len(asked) <= broadcast_questions:
-        candidates = _scan_with_all(v, asked, k, schema)
+    asked = q.count()
+    if asked <= broadcast_questions:
+        candidates = _scan_with_all(v, q.toArrow(), k, schema)
     else:
-        candidates = _scan_in_blocks(v, q, k, schema, broadcast_questions)
+        candidates = _scan_in_blocks(v, q, k, schema, -(-asked // broadcast_questions))
     return _ranked(candidates, k).select("q_id", "rank", "id", "score")
 
 

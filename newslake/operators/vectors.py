@@ -73,7 +73,8 @@ def store_new_vectors(
     stored = tables.scan_if_exists(spark, path)
     if stored is not None:
         others = stored if batch is None else stored.where(F.col("batch") != batch)
-        silver = unmatched(silver, others.select(F.col("id").alias("url")), ["url"])
+        known = others.select(F.col("id").alias("url"))
+        silver = unmatched(silver, known, ["url"], null_safe=False)
     vectors = article_vectors(silver, factory)
     batch = batch or tables.new_tag()
     vectors.write.mode("overwrite").parquet(f"{path}/batch={batch}")

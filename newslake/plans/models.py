@@ -153,10 +153,7 @@ def save_marts(silver: DataFrame, database: str) -> None:
 
 def checked(built: dict[str, DataFrame]) -> DataFrame:
     """Report of every declared check."""
-    checks = []
+    found = []
     for name, df in built.items():
-        model = MODELS[name]
-        if model.required:
-            checks.append(quality.not_null(df, name, model.required))
-        checks += [quality.unique(df, name, column) for column in model.unique]
-    return quality.report(checks)
+        found += quality.checks(df, name, MODELS[name].required, MODELS[name].unique)
+    return quality.report(found)

@@ -262,6 +262,7 @@ select title, description, content, url, source, published_at, author,
          '%Y/%m/%d/%H%M%S') || '_' || {_SLUG} || '.json' as object_key
 from articles where title is not null and url is not null""",
     "stream_bronze": f"{_WITH} {_decoded()}",
+    "stream_produce": f"{_WITH} select distinct url from articles where (ingest_seq // 20) % 5 <> 4",
     "stream_land": f"""{_WITH}
 select distinct url, title, substr(url, 1, 500) as article_url from articles
 where title is not null and url is not null""",

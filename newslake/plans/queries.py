@@ -13,10 +13,10 @@ from newslake.functions.messages import decode, encode, rejected
 from newslake.operators import answers, gold, search, vectors
 from newslake.operators.merge import unmatched
 from newslake.operators.refine import refine, usable
-from newslake.plans import models
+from newslake.plans import medallion, models
 from newslake.session import shared_dir
 from newslake.sources import headlines, landing, tables, topics
-from newslake.streaming import incremental, ingest, late
+from newslake.streaming import incremental, ingest, late, producer
 from newslake.streaming.lander import lander
 
 # The questions asked as a trial.
@@ -65,8 +65,12 @@ def gold_by_author(spark, sf):
 
 
 def gold_total_check(spark, sf):
-    silver = _silver(spark, sf)
-    return gold.reconciled(gold.by_source(silver), silver)
+    """The whole batch run over stored tables, then its reconciliation."""
+    root = shared_dir(spark, "medallion")
+    bronze = articles(spark, sf)
+    medallion.load_silver(bronze, f"{root}/silver", ARRIVAL)
+    medallion.load_gold(tables.read_inserted(spark, f"{root}/silver"), f"{root}/gold")
+    return medallion.check_gold(spark, f"{root}/silver", f"{root}/gold")
 
 
 def row_counts(spark, sf):
@@ -105,7 +109,8 @@ def models_stored(spark, sf):
     """All models built over a stored Silver table; rows of each."""
     root = shared_dir(spark, "models")
     tables.insert_new(_silver(spark, sf), f"{root}/silver", ["url"])
-    built = models.store_models(spark, tables.read_inserted(spark, f"{root}/silver"), root)
+    silver = tables.scan_sql(spark, f"{root}/silver").drop("batch")
+    built = models.store_models(spark, silver, root)
     counts = [
         df.agg(F.lit(name).alias("model"), F.count("*").alias("model_rows"))
         for name, df in built.items()
@@ -159,8 +164,9 @@ def upsert_null_key(spark, sf):
 
 def anti_join_seen(spark, sf):
     """Later articles whose URL the first load does not have."""
-    seen = usable(_first_load(spark, sf)).select("url")
-    return unmatched(_silver(spark, sf), seen, ["url"]).select("url", "title", "ingest_seq")
+    seen = usable(_first_load(spark, sf)).select("url").distinct()
+    new = unmatched(_silver(spark, sf), seen, ["url"], null_safe=False)
+    return new.select("url", "title", "ingest_seq")
 
 
 # Messages, responses, landing
@@ -180,9 +186,8 @@ def rejected_messages(spark, sf):
     return bad.groupBy("_raw").agg(F.count("*").alias("messages"))
 
 
-def flatten_api(spark, sf):
-    """Articles packed into responses of twenty, fetched and flattened."""
-    rows = articles(spark, sf)
+def _responses(rows: DataFrame) -> DataFrame:
+    """Articles packed into responses of twenty; every fifth is an error."""
     entry = F.struct(
         "ingest_seq", "title", "description", "content", "url",
         F.when(F.col("source").isNotNull(), F.struct(F.col("source").alias("name"))).alias("source"),
@@ -191,12 +196,15 @@ def flatten_api(spark, sf):
     page = F.floor(F.col("ingest_seq") / headlines.PAGE_SIZE)
     packed = rows.groupBy(page.alias("page")).agg(F.collect_list(entry).alias("articles"))
     status = F.when(F.col("page") % 5 == 4, "error").otherwise("ok")
-    responses = packed.select(
+    return packed.select(
         F.lit(headlines.LANGUAGE).alias("language"),
         F.lit(headlines.CATEGORY).alias("category"),
         F.to_json(F.struct(status.alias("status"), "articles")).alias("body"),
     )
-    return headlines.flattened(headlines.fetched(responses))
+
+
+def flatten_api(spark, sf):
+    return headlines.flattened(headlines.fetched(_responses(articles(spark, sf))))
 
 
 def existing_urls(spark, sf):
@@ -244,6 +252,21 @@ def stream_bronze(spark, sf):
     return tables.scan(spark, f"{root}/table").drop("ingested_at")
 
 
+def stream_produce(spark, sf):
+    """Two deliveries of the same responses; each URL is sent once."""
+    root = shared_dir(spark, "producer")
+    for _ in range(2):
+        _responses(articles(spark, sf)).write.mode("append").json(f"{root}/responses")
+        topics.run(
+            producer.producer(
+                producer.read_responses(spark, f"{root}/responses"),
+                producer.to_files(f"{root}/topic"), f"{root}/seen", f"{root}/checkpoint",
+            )
+        )
+    sent = spark.read.option("recursiveFileLookup", "true").text(f"{root}/topic")
+    return decode(sent).select("url")
+
+
 def stream_land(spark, sf):
     """Two loads of messages, landed by one stream that restarts between."""
     root = shared_dir(spark, "lander")
@@ -384,7 +407,7 @@ QUERIES = {
         mart_articles_by_date, mart_articles_by_author, models_stored, dq_report, dq_report_raw,
         upsert_insert_only, upsert_update_insert, upsert_null_key, anti_join_seen,
         encode_json, decode_json, rejected_messages, flatten_api, existing_urls, object_key,
-        landed_articles, stream_bronze, stream_land, stream_silver, stream_gold_by_source,
+        landed_articles, stream_bronze, stream_produce, stream_land, stream_silver, stream_gold_by_source,
         late_windows, late_dedup, embedding_text, vector_metadata, embed_hashed, vector_upsert,
         topk_similar, rag_context, rag_prompt, source_links,
     )

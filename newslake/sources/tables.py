@@ -29,6 +29,11 @@ def scan(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     return spark.read.format(fmt).load(path)
 
 
+def scan_sql(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """The same scan as SQL, by path."""
+    return spark.sql(f"select * from {fmt}.`{path}`")
+
+
 def scan_json(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """JSON files at any depth below ``path``, with a declared schema."""
     return spark.read.schema(schema).option("recursiveFileLookup", "true").json(path)
@@ -71,7 +76,7 @@ def insert_new(
 ) -> str:
     """Add the rows whose key is not stored yet; stored rows never change.
 
-    ``src`` has one row per key. Rows of an earlier attempt at the same batch
+    ``src`` has one row per key, and no null key. Rows of an earlier attempt at the same batch
     do not count as stored. ``small_batch`` says that ``src`` is small beside
     the table. Returns the batch tag.
     """
@@ -81,7 +86,7 @@ def insert_new(
     if stored is not None:
         others = stored.where(F.col("batch") != batch)
         pick = unmatched_in_large if small_batch else unmatched
-        src = pick(src, others, keys)
+        src = pick(src, others, keys, null_safe=False)
     src.write.mode("overwrite").parquet(f"{path}/batch={batch}")
     return batch
 
@@ -100,22 +105,35 @@ def current(spark: SparkSession, path: str) -> Row | None:
     return log.orderBy(F.desc("version")).first()
 
 
-def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
+def read_snapshot(spark: SparkSession, path: str, part: str = "") -> DataFrame:
     now = current(spark, path)
     if now is None:
         raise FileNotFoundError(f"no published snapshot at {path}")
-    return scan(spark, f"{path}/data/{now.folder}")
+    return read_part(spark, path, now, part)
 
 
-def publish(df: DataFrame, path: str, batch: str | None = None) -> int:
-    """Write ``df`` as the next snapshot and make it current."""
-    spark = df.sparkSession
-    now = current(spark, path)
+def read_part(spark: SparkSession, path: str, now: Row, part: str = "") -> DataFrame:
+    return scan(spark, f"{path}/data/{now.folder}/{part}")
+
+
+def publish(
+    parts: dict[str, DataFrame], path: str, now: Row | None, batch: str | None = None
+) -> int:
+    """Write the snapshot after ``now`` and make it current.
+
+    Several parts become current together.
+    """
     version = now.version + 1 if now else 1
     folder = f"v{version:06d}-{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(f"{path}/data/{folder}")
-    entry = spark.createDataFrame([(version, folder, batch)], _PUBLISHED)
-    entry.coalesce(1).write.mode("append").json(f"{path}/published")
+    for part, df in parts.items():
+        df.write.mode("errorifexists").parquet(f"{path}/data/{folder}/{part}")
+    spark = next(iter(parts.values())).sparkSession
+    entry = spark.range(0, 1, numPartitions=1).select(
+        F.lit(version).cast("long").alias("version"),
+        F.lit(folder).alias("folder"),
+        F.lit(batch).cast("string").alias("batch"),
+    )
+    entry.write.mode("append").json(f"{path}/published")
     return version
 
 
@@ -130,10 +148,10 @@ def upsert(src: DataFrame, path: str, keys: Sequence[str], batch: str | None = N
     if now and batch is not None and now.batch == batch:
         return now.version
     if now is None:
-        return publish(only_unique(src, keys), path, batch)
+        return publish({"": only_unique(src, keys)}, path, now, batch)
     # Read twice by the merge: once for its keys, once for its rows.
     rows = only_unique(src, keys).persist()
-    version = publish(upserted(scan(spark, f"{path}/data/{now.folder}"), rows, keys), path, batch)
+    version = publish({"": upserted(read_part(spark, path, now), rows, keys)}, path, now, batch)
     rows.unpersist()
     return version
 

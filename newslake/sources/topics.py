@@ -46,8 +46,8 @@ def read_topic(
 
 
 def read_message_files(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """Files of one message per line as the same kind of stream."""
-    reader = spark.readStream.format("text")
+    """Files of one message per line, at any depth, as the same kind of stream."""
+    reader = spark.readStream.format("text").option("recursiveFileLookup", "true")
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.load(path)
@@ -59,8 +59,8 @@ def publish(articles: DataFrame, options: dict[str, str], topic: str = TOPIC) ->
     messages.write.format("kafka").options(**options).option("topic", topic).save()
 
 
-def publish_files(articles: DataFrame, path: str) -> None:
-    articles.select(encode(articles).alias("value")).write.mode("append").text(path)
+def publish_files(articles: DataFrame, path: str, mode: str = "append") -> None:
+    articles.select(encode(articles).alias("value")).write.mode(mode).text(path)
 
 
 def run(writer: DataStreamWriter, every: str | None = None):

@@ -14,21 +14,22 @@ from newslake.streaming.batches import batch_tag
 
 
 def add_to_rollups(fresh: DataFrame, gold: str, batch: str) -> None:
-    """Merge the states of new rows into the stored ones, once per batch."""
+    """Merge the states of new rows into the stored ones, once per batch; the
+    three aggregates move on together."""
     spark = fresh.sparkSession
-    for name, rollup in ROLLUPS.items():
-        path = f"{gold}/{name}"
-        now = tables.current(spark, path)
-        if now and now.batch == batch:
-            continue
-        states = rollup.states(fresh)
-        if now:
-            states = rollup.merged(tables.read_snapshot(spark, path).unionByName(states))
-        tables.publish(states, path, batch)
+    now = tables.current(spark, gold)
+    if now and now.batch == batch:
+        return
+    parts = {name: rollup.states(fresh) for name, rollup in ROLLUPS.items()}
+    if now:
+        for name, states in parts.items():
+            old = tables.read_part(spark, gold, now, name)
+            parts[name] = ROLLUPS[name].merged(old.unionByName(states))
+    tables.publish(parts, gold, now, batch)
 
 
 def read_rollup(spark: SparkSession, gold: str, name: str) -> DataFrame:
-    return ROLLUPS[name].report(tables.read_snapshot(spark, f"{gold}/{name}"))
+    return ROLLUPS[name].report(tables.read_snapshot(spark, gold, name))
 
 
 def refiner(

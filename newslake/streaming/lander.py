@@ -3,21 +3,19 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from newslake.functions.messages import decode
-from newslake.operators.merge import unmatched_in_large
 from newslake.operators.refine import usable
 from newslake.sources import landing, tables
 from newslake.streaming.batches import batch_tag
+from newslake.streaming.once import new_urls, remember
 
 
 def remember_landed(landed: DataFrame, seen: str) -> None:
     """Start the list of seen URLs from objects landed earlier."""
-    spark = landed.sparkSession
-    if tables.scan_if_exists(spark, seen) is None:
-        landing.stored_urls(landed).write.parquet(f"{seen}/batch=landed-earlier")
+    if tables.scan_if_exists(landed.sparkSession, seen) is None:
+        remember(landing.stored_urls(landed), seen, "landed-earlier")
 
 
 def lander(
@@ -29,23 +27,19 @@ def lander(
 ) -> DataStreamWriter:
     """Stream that lands articles whose URL is new.
 
-    The URLs seen are a narrow table at ``seen``, exact over batches and
-    restarts; each batch writes one folder in both places, and a replayed
-    batch writes the same folders again. Articles without title or URL are
-    not landed and not marked as seen.
+    The URLs seen are a narrow table at ``seen``; each batch writes one folder
+    there and one at ``path``, and a replayed batch writes the same folders
+    again. Articles without title or URL are not landed and not remembered.
     """
 
     def land(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         tag = batch_tag(spark, checkpoint, batch_id)
         rows = landing.one_per_url(usable(decode(batch))).persist()
-        stored = tables.scan_if_exists(spark, seen)
-        fresh = rows
-        if stored is not None:
-            fresh = unmatched_in_large(rows, stored.where(F.col("batch") != tag), ["url"])
         out = f"{path}/batch={tag}"
-        landing.land(landing.landing_rows(fresh, arrived), out, mode="overwrite")
+        fresh = landing.landing_rows(new_urls(rows, seen, tag), arrived)
+        landing.land(fresh, out, mode="overwrite")
+        remember(landing.read_landed(spark, out), seen, tag)
         rows.unpersist()
-        landing.read_landed(spark, out).select("url").write.mode("overwrite").parquet(f"{seen}/batch={tag}")
 
     return messages.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
