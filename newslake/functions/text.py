@@ -42,10 +42,14 @@ def title_slug(title: Column) -> Column:
     return F.translate(F.substring(title, 1, SLUG_CHARS), SLUG_FROM, SLUG_TO)
 
 
+def utc(ts: Column) -> Column:
+    """Wall-clock time in UTC, whatever the session's zone."""
+    return F.to_utc_timestamp(ts, F.current_timezone())
+
+
 def object_key(title: Column, arrived: Column) -> Column:
-    """Object name of a landed article; times are in the session's zone (UTC)."""
     return F.concat(
-        F.lit(OBJECT_PREFIX), F.date_format(arrived, OBJECT_TIME), F.lit("_"),
+        F.lit(OBJECT_PREFIX), F.date_format(utc(arrived), OBJECT_TIME), F.lit("_"),
         title_slug(title), F.lit(".json"),
     )
 
@@ -60,10 +64,9 @@ def preview(title: Column) -> Column:
 
 def iso_text(ts: Column) -> Column:
     """ISO-8601 text in UTC, with microseconds only where there are any."""
-    utc = F.to_utc_timestamp(ts, F.current_timezone())
-    fraction = F.date_format(utc, ".SSSSSS")
+    fraction = F.date_format(utc(ts), ".SSSSSS")
     return F.concat(
-        F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss"),
+        F.date_format(utc(ts), "yyyy-MM-dd'T'HH:mm:ss"),
         F.when(fraction == ".000000", "").otherwise(fraction),
         F.lit("+00:00"),
     )

@@ -2,10 +2,10 @@
 
 No join ever pairs questions with vectors row by row. Each task scores Arrow
 batches of vectors against a matrix of questions and sends on its best few per
-question; a final ranking picks the best of those. A question set within
-``BROADCAST_QUESTIONS`` is sent to every task of a single scan. A larger one
-is cut, like the vectors, into blocks of bounded size that meet in a grouped
-job; the result is the same. The choice is made on a count of the questions.
+question; a final ranking picks the best of those. A question set of at most
+``BROADCAST_NUMBERS`` vector elements, which is measured, is sent to every task
+of a single scan. A larger one is cut, like the vectors, into blocks of bounded
+size that meet in a grouped job; the result is the same.
 
 Scores are rounded to ``SCORE_DIGITS``; equal scores rank by id.
 """
@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 TOP_K = 5
 SCORE_DIGITS = 6
-BROADCAST_QUESTIONS = 4096
+BROADCAST_NUMBERS = 4 * 1024 * 1024
 VECTORS_PER_BLOCK = 65536
 _SCORED_AT_ONCE = 256
 
@@ -135,7 +135,7 @@ def nearest(
     vectors: DataFrame,
     questions: DataFrame,
     k: int = TOP_K,
-    broadcast_questions: int = BROADCAST_QUESTIONS,
+    broadcast_numbers: int = BROADCAST_NUMBERS,
 ) -> DataFrame:
     """``q_id, rank, id, score`` of the best ``k`` vectors per question.
 
@@ -144,11 +144,12 @@ def nearest(
     """
     v, q = vectors.select("id", "values"), questions.select("q_id", "values")
     schema = _schema(v, q)
-    asked = q.count()
-    if asked <= broadcast_questions:
+    asked = q.agg(F.count("*").alias("rows"), F.max(F.size("values")).alias("dims")).first()
+    per_block = max(1, broadcast_numbers // max(1, asked.dims or 1))
+    if asked.rows <= per_block:
         candidates = _scan_with_all(v, q.toArrow(), k, schema)
     else:
-        candidates = _scan_in_blocks(v, q, k, schema, -(-asked // broadcast_questions))
+        candidates = _scan_in_blocks(v, q, k, schema, -(-asked.rows // per_block))
     return _ranked(candidates, k).select("q_id", "rank", "id", "score")
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from newslake.functions.text import URL_TAG_CHARS, object_key, url_tag
+from newslake.functions.text import URL_TAG_CHARS, object_key, url_tag, utc
 from newslake.operators.dedup import first_per_key, row_hash
 from newslake.operators.refine import usable
 from newslake.schemas import ARTICLE, ARTICLE_FIELDS
@@ -32,9 +32,9 @@ def landing_rows(articles: DataFrame, arrived: Column | None = None) -> DataFram
         *ARTICLE_FIELDS,
         url_tag(F.col("url")).alias("article_url"),
         object_key(F.col("title"), when).alias("object_key"),
-        F.date_format(when, "yyyy").alias("year"),
-        F.date_format(when, "MM").alias("month"),
-        F.date_format(when, "dd").alias("day"),
+        F.date_format(utc(when), "yyyy").alias("year"),
+        F.date_format(utc(when), "MM").alias("month"),
+        F.date_format(utc(when), "dd").alias("day"),
     )
 
 

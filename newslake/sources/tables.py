@@ -4,8 +4,10 @@ Two layouts, both plain Spark datasets:
 
 * insert-only: one folder ``batch=<tag>`` per load. A load that is repeated
   under the same tag replaces its own folder and nothing else.
-* replaced: every version is a new folder below ``data/``; a one-row append
-  to ``published/`` makes it current. Readers never see a half-written one.
+* replaced: every version is a new folder below ``data/``; a one-row file
+  below ``published/`` makes it current. Two such files are written in turn,
+  so the one that counts is never touched and readers never see a half-written
+  version. Folders of old versions stay; remove them when no reader needs them.
 
 One writer per table at a time is assumed.
 """
@@ -76,9 +78,9 @@ def insert_new(
 ) -> str:
     """Add the rows whose key is not stored yet; stored rows never change.
 
-    ``src`` has one row per key, and no null key. Rows of an earlier attempt at the same batch
-    do not count as stored. ``small_batch`` says that ``src`` is small beside
-    the table. Returns the batch tag.
+    ``src`` has one row per key, and no null key. Rows of an earlier attempt
+    at the same batch do not count as stored. ``small_batch`` says that
+    ``src`` is small beside the table. Returns the batch tag.
     """
     spark = src.sparkSession
     batch = batch or new_tag()
@@ -97,7 +99,8 @@ def insert_new(
 def current(spark: SparkSession, path: str) -> Row | None:
     """Version, folder and batch of the published snapshot, if any."""
     try:
-        log = spark.read.schema(_PUBLISHED).json(f"{path}/published")
+        reader = spark.read.schema(_PUBLISHED).option("ignoreMissingFiles", "true")
+        log = reader.json(f"{path}/published")
     except AnalysisException as error:
         if _missing(error):
             return None
@@ -133,7 +136,7 @@ def publish(
         F.lit(folder).alias("folder"),
         F.lit(batch).cast("string").alias("batch"),
     )
-    entry.write.mode("append").json(f"{path}/published")
+    entry.write.mode("overwrite").json(f"{path}/published/slot={version % 2}")
     return version
 
 

@@ -1,0 +1,53 @@
+from __future__ import annotations
+
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path[:0] = [str(Path(__file__).parent), str(Path(__file__).parent.parent)]
+
+from newslake import build_session  # noqa: E402
+
+SMALL = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    root = tmp_path_factory.mktemp("spark")
+    session = build_session(
+        "newslake-tests",
+        **{
+            "spark.master": "local[8]",
+            "spark.ui.enabled": "false",
+            "spark.sql.shuffle.partitions": "8",
+            "spark.checkpoint.dir": str(root / "shared"),
+            "spark.sql.warehouse.dir": str(root / "warehouse"),
+        },
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def sf():
+    if not Path(SMALL).is_dir():
+        pytest.skip("no test data")
+    return SMALL
+
+
+ARTICLE = "title string, description string, content string, url string, source string, published_at string, author string"
+
+
+@pytest.fixture
+def bronze(spark):
+    """Raw articles from short dicts; ``at`` is the arrival second."""
+
+    def make(*rows: dict):
+        names = ("title", "description", "content", "url", "source", "published_at", "author")
+        data = [tuple(r.get(n) for n in names) + (r.get("at", 0),) for r in rows]
+        df = spark.createDataFrame(data, ARTICLE + ", at long")
+        return df.selectExpr(*names, "timestamp_seconds(at) as ingested_at")
+
+    return make

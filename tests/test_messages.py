@@ -1,0 +1,106 @@
+import json
+
+from newslake.functions.messages import decode, encode, rejected
+from newslake.schemas import ARTICLE_FIELDS
+from newslake.sources import headlines, landing, topics
+
+BAD = ["not json", '{"title":"b"', "[]", "", '[{"title":"in a list"}]']
+GOOD = ['{"title":"t","source":{"name":"x"},"url":5,"more":1}', '{"title":"ok"}', "{}"]
+
+
+def lines(spark, values):
+    return spark.createDataFrame([(v,) for v in values], "value string")
+
+
+def test_bad_payloads_become_null_rows_and_rejects(spark):
+    df = lines(spark, BAD + GOOD)
+    got = {r._raw: r for r in decode(df, keep_raw=True).collect()}
+    for payload in BAD:
+        assert all(got[payload][name] is None for name in ARTICLE_FIELDS)
+    assert (got[GOOD[0]].source, got[GOOD[0]].url) == ('{"name":"x"}', "5")
+    assert decode(df).columns == list(ARTICLE_FIELDS) and decode(df).count() == len(BAD + GOOD)
+    assert {r._raw for r in rejected(df).collect()} == set(BAD)
+
+
+def test_binary_values(spark):
+    df = lines(spark, ['{"title":"é"}']).selectExpr("cast(value as binary) as value")
+    assert decode(df).first().title == "é"
+
+
+def test_encoding_keeps_nulls_and_text(bronze):
+    df = bronze({"title": 'é "q" /', "url": "u"})
+    body = df.select(encode(df).alias("value")).first().value
+    assert json.loads(body) == {
+        "title": 'é "q" /', "description": None, "content": None, "url": "u",
+        "source": None, "published_at": None, "author": None,
+    }
+    assert decode(df.select(encode(df).alias("value"))).first().title == 'é "q" /'
+
+
+def test_headlines(spark):
+    def response(status, articles, language="en", category="technology"):
+        return (language, category, json.dumps({"status": status, "articles": articles}))
+
+    article = {"title": "t", "url": "u", "publishedAt": "2024", "source": {"id": None, "name": "S"}}
+    many = [{**article, "url": str(i)} for i in range(25)]
+    df = spark.createDataFrame(
+        [
+            response("ok", [article, {**article, "url": "v", "source": None}, {"url": "w"}]),
+            response("error", [{**article, "url": "x"}]),
+            response("ok", [{**article, "url": "y"}], language="de"),
+            response("ok", [{**article, "url": "z"}], category="sports"),
+            ("en", "technology", "not json"),
+            ("en", "technology", '{"status":"ok"}'),
+        ],
+        "language string, category string, body string",
+    )
+    got = {r.url: (r.title, r.source, r.published_at) for r in headlines.flattened(headlines.fetched(df)).collect()}
+    assert got == {"u": ("t", "S", "2024"), "v": ("t", None, "2024"), "w": (None, None, None)}
+    page = spark.createDataFrame([response("ok", many)], df.schema)
+    assert [r.url for r in headlines.flattened(headlines.fetched(page)).collect()] == [
+        str(i) for i in range(20)
+    ]
+
+
+def test_kafka_options():
+    plain = topics.connection("b:9092")
+    assert plain == {"kafka.bootstrap.servers": "b:9092"}
+    secure = topics.connection("b:9092", "me", "secret")
+    assert secure["kafka.security.protocol"] == "SASL_SSL"
+    assert secure["kafka.sasl.mechanism"] == "PLAIN"
+    assert 'username="me" password="secret";' in secure["kafka.sasl.jaas.config"]
+
+
+def test_object_names(spark, bronze, tmp_path):
+    title = "a/b c:d's, e? f! " + "x" * 60
+    df = bronze({"title": title, "url": "u" * 600}, {"title": None, "url": "v"}, {"title": "w"})
+    arrived = spark.sql("select timestamp '2024-02-03 04:05:06' as t").select("t")
+    rows = landing.landing_rows(df.crossJoin(arrived), spark_col("t"))
+    row = rows.collect()
+    assert len(row) == 1
+    slug = "a-b_c-ds_e_f_" + "x" * (50 - 17)
+    assert row[0].object_key == f"bronze/news/2024/02/03/040506_{slug}.json"
+    assert row[0].article_url == "u" * 500
+    assert landing.not_landed(df).count() == 2
+    landing.land(rows, str(tmp_path / "l"))
+    assert (tmp_path / "l" / "year=2024" / "month=02" / "day=03").is_dir()
+    assert landing.read_landed(spark, str(tmp_path / "l")).first().url == "u" * 600
+
+
+def spark_col(name):
+    from pyspark.sql import functions as F
+
+    return F.col(name)
+
+
+def test_stored_urls(spark):
+    long = "u" * 700
+    df = spark.createDataFrame(
+        [
+            ("tagged", '{"url":"other"}'), (None, '{"url":"body"}'), ("", '{"url":"body"}'),
+            (long[:500], json.dumps({"url": long})), (None, "broken"), (None, '{"url":null}'),
+            (None, '{"url":""}'),
+        ],
+        "article_url string, body string",
+    )
+    assert {r.url for r in landing.stored_urls(df).collect()} == {"tagged", "body", long}

@@ -1,0 +1,23 @@
+"""Every query with SQL beside it gives the rows that the SQL engine gives."""
+
+import pytest
+from compare import oracle_rows, spark_rows
+
+import __spark_entry__ as entry_points
+
+QUERIES, ORACLE = entry_points.queries(), entry_points.oracle_sql()
+
+
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(ORACLE)
+
+
+def test_entry(spark, sf):
+    rows = entry_points.entry(spark).collect()
+    assert len(rows) == 20
+    assert [r.total_articles for r in rows] == sorted((r.total_articles for r in rows), reverse=True)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_same_rows(spark, sf, name):
+    assert spark_rows(QUERIES[name](spark, sf)) == oracle_rows(ORACLE[name], sf)

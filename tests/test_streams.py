@@ -1,0 +1,187 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from newslake.operators import gold
+from newslake.operators.refine import refine
+from newslake.sources import landing, tables, topics
+from newslake.streaming import batches, incremental, ingest, late, producer
+from newslake.streaming.lander import lander, remember_landed
+from newslake.streaming.once import new_urls
+
+
+def send(folder, name, *payloads):
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_text("".join(p + "\n" for p in payloads))
+
+
+def article(url, title="t", **more):
+    return json.dumps({"title": title, "url": url, **more})
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+def test_bronze_goes_on_where_it_stopped(spark, tmp_path):
+    topic, table, mark = tmp_path / "topic", str(tmp_path / "bronze"), str(tmp_path / "mark")
+
+    def run():
+        stream = topics.read_message_files(spark, str(topic), max_files=1)
+        topics.run(ingest.bronze_writer(ingest.raw_articles(stream), table, mark))
+        return tables.scan(spark, table)
+
+    send(topic, "1.txt", article("a"), "not json", article("b"))
+    send(topic, "2.txt", article("a"))
+    assert run().count() == 4
+    assert run().count() == 4
+    send(topic, "3.txt", article("c"))
+    stored = run()
+    assert sorted(r.url or "" for r in stored.collect()) == ["", "a", "a", "b", "c"]
+    assert stored.where("ingested_at is null").count() == 0
+    kept = ingest.raw_articles(spark.read.text(str(topic)), keep_raw=True)
+    assert kept.where("_raw = 'not json'").count() == 1
+
+
+def test_lander_lands_each_url_once(spark, tmp_path):
+    topic, out, seen = tmp_path / "topic", str(tmp_path / "landed"), str(tmp_path / "seen")
+    before = spark.createDataFrame([("old", '{"url":"old"}')], "article_url string, body string")
+    remember_landed(before, seen)
+
+    def run():
+        stream = topics.read_message_files(spark, str(topic), max_files=1)
+        topics.run(lander(stream, out, seen, str(tmp_path / "mark")))
+        return sorted(r.url for r in landing.read_landed(spark, out).collect())
+
+    send(topic, "1.txt", article("a"), article("a"), article("old"), article("n", None), "broken")
+    send(topic, "2.txt", article("a"), article("b"), article("x" * 600))
+    assert run() == ["a", "b", "x" * 600]
+    send(topic, "3.txt", article("b"), article("x" * 600), article("n"), article("c"))
+    assert run() == ["a", "b", "c", "n", "x" * 600]
+    assert run() == ["a", "b", "c", "n", "x" * 600]
+    found = landing.stored_urls(landing.read_objects(spark, out))
+    assert sorted(r.url for r in found.collect()) == run()
+
+
+def test_a_replayed_batch_sees_its_own_urls_as_new(spark, tmp_path):
+    seen = str(tmp_path / "seen")
+    urls = spark.createDataFrame([("a",), ("b",)], "url string")
+    urls.write.parquet(f"{seen}/batch=stream-1")
+    spark.createDataFrame([("b",), ("c",)], "url string").write.parquet(f"{seen}/batch=stream-2")
+    assert rows(new_urls(urls, seen, "stream-1")) == [("a",)]
+    assert rows(new_urls(urls, seen, "stream-3")) == []
+
+
+def test_producer_sends_each_url_once(spark, tmp_path):
+    src = tmp_path / "responses"
+
+    def response(*urls, status="ok"):
+        body = {"status": status, "articles": [{"url": u, "title": f"t{u}"} for u in urls]}
+        return json.dumps({"language": "en", "category": "technology", "body": json.dumps(body)})
+
+    def run():
+        stream = producer.read_responses(spark, str(src), max_files=1)
+        topics.run(producer.producer(
+            stream, producer.to_files(str(tmp_path / "topic")), str(tmp_path / "seen"),
+            str(tmp_path / "mark"),
+        ))
+        sent = spark.read.option("recursiveFileLookup", "true").text(str(tmp_path / "topic"))
+        return sorted(json.loads(r.value)["url"] or "" for r in sent.collect())
+
+    send(src, "1.json", response("a", "b", "a"), response("z", status="error"))
+    send(src, "2.json", response("b", "c", None))
+    assert run() == ["", "a", "b", "c"]
+    send(src, "3.json", response("c", "d", None))
+    assert run() == ["", "a", "b", "c", "d"]
+
+
+def test_batches_have_names_of_their_own(spark, tmp_path):
+    names = []
+    (tmp_path / "in").mkdir()
+    for mark in ("m1", "m2", "m1"):
+        spark.range(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema("id long").parquet(str(tmp_path / "in"))
+
+        def step(batch, batch_id, mark=mark):
+            names.append(batches.batch_tag(batch.sparkSession, str(tmp_path / mark), batch_id))
+
+        topics.run(
+            stream.writeStream.foreachBatch(step).option("checkpointLocation", str(tmp_path / mark))
+        )
+    assert len(set(names)) == 3
+    assert names[0].rsplit("-", 1)[0] == names[2].rsplit("-", 1)[0] != names[1].rsplit("-", 1)[0]
+
+
+@pytest.fixture
+def refined_in_batches(spark, bronze, tmp_path):
+    loads = [
+        [{"url": f"u{(7 * i + load) % 30}", "title": None if i % 6 == 0 else f"t{load}-{i}",
+          "source": f"s{i % 3}", "author": ["Unknown", "a", "b"][i % 3], "content": "x" * i,
+          "published_at": "bad" if i % 5 == 0 else f"2024-01-{1 + i:02d}", "at": 100 * load + i}
+         for i in range(20)]
+        for load in range(4)
+    ]
+    root = str(tmp_path)
+    for load in loads:
+        bronze(*load).coalesce(1).write.mode("append").parquet(f"{root}/bronze")
+        run_refiner(spark, root)
+    return root, bronze(*[r for load in loads for r in load])
+
+
+def run_refiner(spark, root):
+    source = spark.readStream.schema(spark.read.parquet(f"{root}/bronze").schema)
+    stream = source.option("maxFilesPerTrigger", 1).parquet(f"{root}/bronze")
+    topics.run(incremental.refiner(stream, f"{root}/silver", f"{root}/gold", f"{root}/mark"))
+
+
+def test_refining_in_batches_is_refining_at_once(spark, refined_in_batches):
+    root, everything = refined_in_batches
+    silver = refine(everything)
+    stored = tables.read_inserted(spark, f"{root}/silver")
+    assert rows(stored.select(silver.columns)) == rows(silver)
+    for name, rollup in gold.ROLLUPS.items():
+        assert rows(incremental.read_rollup(spark, f"{root}/gold", name)) == rows(rollup(silver))
+    version = tables.current(spark, f"{root}/gold").version
+    run_refiner(spark, root)
+    assert tables.current(spark, f"{root}/gold").version == version
+
+
+def test_rollups_take_a_batch_once(spark, refined_in_batches):
+    root, _ = refined_in_batches
+    last = tables.current(spark, f"{root}/gold")
+    before = rows(incremental.read_rollup(spark, f"{root}/gold", "by_source"))
+    fresh = tables.read_batch(spark, f"{root}/silver", last.batch)
+    incremental.add_to_rollups(fresh, f"{root}/gold", last.batch)
+    assert rows(incremental.read_rollup(spark, f"{root}/gold", "by_source")) == before
+
+
+def start(spark, df, root, name):
+    topics.run(
+        df.writeStream.format("parquet").option("path", f"{root}/{name}")
+        .option("checkpointLocation", f"{root}/{name}-mark")
+    )
+    return spark.read.schema(df.schema).parquet(f"{root}/{name}")
+
+
+def test_windows_close_behind_the_watermark(spark, tmp_path):
+    root = str(tmp_path)
+    times = ["2024-01-01 01:00", "2024-01-01 23:00", "2024-01-02 05:00", "2024-01-04 00:30"]
+    df = spark.createDataFrame([(t,) for t in times], "t string").select(F.col("t").cast("timestamp"))
+    df.coalesce(1).write.parquet(f"{root}/in")
+    stream = spark.readStream.schema("t timestamp").parquet(f"{root}/in")
+    counts = start(spark, late.window_counts(stream, "t", "1 day"), root, "out")
+    got = {str(r.window_start): r.total_articles for r in counts.collect()}
+    assert got == {"2024-01-01 00:00:00": 2, "2024-01-02 00:00:00": 1}
+
+
+def test_repeats_within_the_delay_go(spark, tmp_path):
+    root = str(tmp_path)
+    data = spark.range(0, 3000, numPartitions=6).selectExpr(
+        "if(id % 3 = 0, 'hot', concat('u', id % 50)) as url",
+        "timestamp_seconds(1700000000 + id) as t",
+    )
+    data.write.parquet(f"{root}/in")
+    stream = spark.readStream.schema("url string, t timestamp").parquet(f"{root}/in")
+    kept = start(spark, late.without_repeats(stream, "url", "t", "1 day").select("url"), root, "out")
+    assert rows(kept) == rows(data.select("url").distinct())
