@@ -9,37 +9,59 @@ factory around a sentence model for that.
 from __future__ import annotations
 
 import hashlib
+import sys
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Sent along with the jobs: executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 Embedder = Callable[[pd.Series], np.ndarray]
 DIMENSIONS = 256
 
 
-@lru_cache(maxsize=1 << 18)
-def _digest(word: str) -> int:
-    return int(hashlib.md5(word.encode(), usedforsecurity=False).hexdigest()[:4], 16)
+KNOWN_WORDS = 1 << 18
+
+
+class _Places(dict):
+    """Word to place, worked out on first sight and kept up to a bound."""
+
+    def __init__(self, dimensions: int):
+        super().__init__()
+        self.dimensions = dimensions
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= KNOWN_WORDS:
+            self.clear()
+        digest = hashlib.md5(word.encode(), usedforsecurity=False).hexdigest()
+        place = self[word] = int(digest[:4], 16) % self.dimensions
+        return place
 
 
 def hashed_words(dimensions: int = DIMENSIONS) -> Callable[[], Embedder]:
     """Counts of lower-case words by hash, scaled to unit length. A word's
     place is the first four hex digits of its MD5, modulo ``dimensions``."""
 
-    def embed(texts: pd.Series) -> np.ndarray:
-        out = np.zeros((len(texts), dimensions))
-        for row, text in zip(out, texts):
-            places = [_digest(w) % dimensions for w in text.lower().split()]
-            if places:
-                row += np.bincount(places, minlength=dimensions)
-                row /= np.sqrt(row @ row)
-        return out
+    def make() -> Embedder:
+        places = _Places(dimensions)
+
+        def embed(texts: pd.Series) -> np.ndarray:
+            out = np.zeros((len(texts), dimensions))
+            for row, text in zip(out, texts):
+                words = [places[w] for w in text.lower().split()]
+                if words:
+                    row += np.bincount(words, minlength=dimensions)
+                    row /= np.sqrt(row @ row)
+            return out
+
+        return embed
 
-    return lambda: embed
+    return make
 
 
 def vector(text: Column, factory: Callable[[], Embedder]) -> Column:

@@ -13,14 +13,20 @@ Scores are rounded to ``SCORE_DIGITS``; equal scores rank by id.
 from __future__ import annotations
 
 import heapq
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Sent along with the jobs: executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 TOP_K = 5
 SCORE_DIGITS = 6
 BROADCAST_NUMBERS = 4 * 1024 * 1024
@@ -47,26 +53,33 @@ class _Best:
         self.floor = np.full(len(questions), -np.inf)
 
     def add(self, vectors: np.ndarray, ids: pa.Array) -> None:
-        n = len(vectors)
-        for at in range(0, len(self.questions) if n else 0, _SCORED_AT_ONCE):
+        n, k = len(vectors), self.k
+        if not n:
+            return
+        # In id order the first of equal scores are the ones to keep, so a
+        # question takes at most k rows of a batch, whatever the copies in it.
+        order = pc.sort_indices(ids)
+        vectors, ids = vectors[order.to_numpy()], ids.take(order)
+        for at in range(0, len(self.questions), _SCORED_AT_ONCE):
             part = slice(at, at + _SCORED_AT_ONCE)
             # Adding zero turns -0.0 into 0.0.
             scores = np.round(self.questions[part] @ vectors.T, SCORE_DIGITS) + 0.0
-            if n > self.k:
-                kth = np.partition(scores, n - self.k, axis=1)[:, n - self.k]
-                floor = np.maximum(kth, self.floor[part])
+            if n > k:
+                kth = np.partition(scores, n - k, axis=1)[:, n - k]
             else:
-                floor = self.floor[part]
-            for j, row in enumerate(scores):
-                found = np.nonzero(row >= floor[j])[0]
-                if not len(found):
-                    continue
-                q = at + j
-                new = zip((-row[found]).tolist(), ids.take(pa.array(found)).to_pylist())
-                best = heapq.nsmallest(self.k, [*self.pairs[q], *new])
-                self.pairs[q] = best
-                if len(best) == self.k:
-                    self.floor[q] = -best[-1][0]
+                kth = scores.min(axis=1)
+            for q in np.nonzero(scores.max(axis=1) >= self.floor[part])[0]:
+                row = scores[q]
+                above = np.nonzero(row > kth[q])[0]
+                level = np.nonzero(row == kth[q])[0][: k - len(above)]
+                self._merge(at + q, row, np.concatenate([above, level]), ids)
+
+    def _merge(self, q: int, scores: np.ndarray, found: np.ndarray, ids: pa.Array) -> None:
+        found = found[scores[found] >= self.floor[q]]
+        new = zip((-scores[found]).tolist(), ids.take(pa.array(found)).to_pylist())
+        best = self.pairs[q] = heapq.nsmallest(self.k, [*self.pairs[q], *new])
+        if len(best) == self.k:
+            self.floor[q] = -best[-1][0]
 
     def table(self, q_ids: pa.Array, id_type: pa.DataType) -> dict[str, pa.Array]:
         places = [q for q, pairs in enumerate(self.pairs) for _ in pairs]

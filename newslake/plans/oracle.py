@@ -282,7 +282,7 @@ select url, {_EMBEDDING_TEXT} as text from silver where url <> '' and title <> '
 select title, coalesce(description, '') as description, url, source, {_ISO} as published_at, author
 from silver where url <> '' and title <> ''""",
     "embed_hashed": f"""{_WITH}, {_VECTORS}
-select id, cast(place as int) as place, round(weight::double, 5) as weight from vectors
+select id, cast(place as int) as place, weight from vectors
 where id not like 'q_'""",
     "vector_upsert": f"""{_WITH}
 select url as id, source, cast(256 as int) as dims from silver where url <> '' and title <> ''

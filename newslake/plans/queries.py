@@ -349,9 +349,7 @@ def embed_hashed(spark, sf):
     """Non-zero places of each article's vector."""
     built = vectors.article_vectors(_silver(spark, sf))
     places = built.select("id", F.posexplode("values").alias("place", "weight"))
-    return places.where("weight <> 0").select(
-        "id", "place", F.round(F.col("weight").cast("double"), 5).alias("weight")
-    )
+    return places.where("weight <> 0")
 
 
 def vector_upsert(spark, sf):
