@@ -18,12 +18,16 @@ def load_silver(
     return tables.insert_new(refine(bronze, arrival), path, ["url"], batch)
 
 
-def load_gold(silver: DataFrame, path: str) -> None:
-    """Recompute the aggregates and merge them into the stored reports."""
-    for name, rollup in ROLLUPS.items():
-        tables.upsert(rollup(silver), f"{path}/{name}", rollup.keys)
+def load_gold(silver: DataFrame, path: str) -> int:
+    """Recompute the aggregates and merge them into the stored ones."""
+    parts = {name: (rollup.states(silver), rollup.keys) for name, rollup in ROLLUPS.items()}
+    return tables.upsert_parts(parts, path)
+
+
+def read_gold(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """One of the stored aggregates, loaded in a batch run or by the stream."""
+    return ROLLUPS[name].report(tables.read_snapshot(spark, path, name))
 
 
 def check_gold(spark: SparkSession, silver: str, gold: str) -> DataFrame:
-    report = tables.read_snapshot(spark, f"{gold}/by_source")
-    return reconciled(report, tables.read_inserted(spark, silver))
+    return reconciled(read_gold(spark, gold, "by_source"), tables.read_inserted(spark, silver))

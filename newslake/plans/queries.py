@@ -144,22 +144,24 @@ def upsert_insert_only(spark, sf):
     return tables.read_inserted(spark, path)
 
 
-def _upserted_rollup(spark, sf, rollup):
+def _upserted(spark, sf, rollup):
+    """An aggregate of the English articles, then that of all merged into it:
+    groups are updated, added or left as they were."""
     path = shared_dir(spark, "gold")
     first = refine(_first_load(spark, sf), ARRIVAL, True)
-    tables.upsert(rollup(first), path, rollup.keys)
-    tables.upsert(rollup(_silver(spark, sf)), path, rollup.keys)
+    for silver in (first, _silver(spark, sf)):
+        tables.upsert(rollup(silver), path, rollup.keys)
     return tables.read_snapshot(spark, path)
 
 
 def upsert_update_insert(spark, sf):
     """Grain and key are author and source."""
-    return _upserted_rollup(spark, sf, gold.by_author)
+    return _upserted(spark, sf, gold.by_author)
 
 
 def upsert_null_key(spark, sf):
     """The null date is one key, updated like the others."""
-    return _upserted_rollup(spark, sf, gold.by_date)
+    return _upserted(spark, sf, gold.by_date)
 
 
 def anti_join_seen(spark, sf):
@@ -295,7 +297,7 @@ def stream_silver(spark, sf):
 
 
 def stream_gold_by_source(spark, sf):
-    return incremental.read_rollup(spark, f"{_incremental(spark, sf)}/gold", "by_source")
+    return medallion.read_gold(spark, f"{_incremental(spark, sf)}/gold", "by_source")
 
 
 def late_windows(spark, sf):

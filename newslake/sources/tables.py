@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -124,12 +125,16 @@ def publish(
 ) -> int:
     """Write the snapshot after ``now`` and make it current.
 
-    Several parts become current together.
+    The parts are written side by side and become current together.
     """
     version = now.version + 1 if now else 1
     folder = f"v{version:06d}-{uuid.uuid4().hex}"
-    for part, df in parts.items():
-        df.write.mode("errorifexists").parquet(f"{path}/data/{folder}/{part}")
+
+    def write(part: str) -> None:
+        parts[part].write.mode("errorifexists").parquet(f"{path}/data/{folder}/{part}")
+
+    with ThreadPoolExecutor(len(parts)) as pool:
+        list(pool.map(write, parts))
     spark = next(iter(parts.values())).sparkSession
     entry = spark.range(0, 1, numPartitions=1).select(
         F.lit(version).cast("long").alias("version"),
@@ -140,25 +145,38 @@ def publish(
     return version
 
 
-def upsert(src: DataFrame, path: str, keys: Sequence[str], batch: str | None = None) -> int:
-    """Update rows with a known key, insert the others.
+def upsert_parts(
+    parts: dict[str, tuple[DataFrame, Sequence[str]]], path: str, batch: str | None = None
+) -> int:
+    """Update rows with a known key, insert the others, in every part.
 
-    A source with two rows for one key fails the job. A batch that is already
-    the published one is not applied again.
+    ``parts`` gives the source and its key columns. A source with two rows for
+    one key fails the job. A batch that is already the published one is not
+    applied again.
     """
-    spark = src.sparkSession
+    spark = next(src for src, _ in parts.values()).sparkSession
     now = current(spark, path)
     if now and batch is not None and now.batch == batch:
         return now.version
+    checked = {part: only_unique(src, keys) for part, (src, keys) in parts.items()}
     if now is None:
-        return publish({"": only_unique(src, keys)}, path, now, batch)
-    # Read twice by the merge: once for its keys, once for its rows.
-    rows = only_unique(src, keys).persist()
-    version = publish({"": upserted(read_part(spark, path, now), rows, keys)}, path, now, batch)
-    rows.unpersist()
+        return publish(checked, path, now, batch)
+    # Read twice by the merge: once for the keys, once for the rows.
+    rows = {part: src.persist() for part, src in checked.items()}
+    merged = {
+        part: upserted(read_part(spark, path, now, part), src, parts[part][1])
+        for part, src in rows.items()
+    }
+    version = publish(merged, path, now, batch)
+    for src in rows.values():
+        src.unpersist()
     return version
 
 
+def upsert(src: DataFrame, path: str, keys: Sequence[str], batch: str | None = None) -> int:
+    return upsert_parts({"": (src, keys)}, path, batch)
+
+
 def verify(spark: SparkSession, path: str, rows: int = 5) -> tuple[int, list[Row]]:
     """Row count and a few rows of a stored table, for a look after a load."""
     stored = scan(spark, path)

@@ -83,11 +83,11 @@ def test_an_author_with_two_sources_keeps_both(spark, bronze, tmp_path):
     root = str(tmp_path)
     for _ in range(2):
         medallion.load_gold(silver, root)
-    authors = tables.read_snapshot(spark, f"{root}/by_author")
+    authors = medallion.read_gold(spark, root, "by_author")
     assert rows(authors.select("author", "source", "total_articles")) == [
         ("a", "x", 1), ("a", "y", 1), ("b", "Unknown", 1),
     ]
-    dates = tables.read_snapshot(spark, f"{root}/by_date")
+    dates = medallion.read_gold(spark, root, "by_date")
     assert rows(dates) == [(None, 3, 3)]
 
 
@@ -101,7 +101,7 @@ def test_merged_gold_is_recomputed_gold(spark, bronze, tmp_path):
         medallion.load_gold(tables.read_inserted(spark, silver), root)
     stored = tables.read_inserted(spark, silver)
     for name, rollup in gold.ROLLUPS.items():
-        assert rows(tables.read_snapshot(spark, f"{root}/{name}")) == rows(rollup(stored))
+        assert rows(medallion.read_gold(spark, root, name)) == rows(rollup(stored))
     check = medallion.check_gold(spark, silver, root).first()
     assert (check.total_articles_sum, check.silver_rows, check.matches) == (40, 40, True)
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from newslake.operators import gold
 from newslake.operators.refine import refine
+from newslake.plans import medallion
 from newslake.sources import landing, tables, topics
 from newslake.streaming import batches, incremental, ingest, late, producer
 from newslake.streaming.lander import lander, remember_landed
@@ -141,7 +142,7 @@ def test_refining_in_batches_is_refining_at_once(spark, refined_in_batches):
     stored = tables.read_inserted(spark, f"{root}/silver")
     assert rows(stored.select(silver.columns)) == rows(silver)
     for name, rollup in gold.ROLLUPS.items():
-        assert rows(incremental.read_rollup(spark, f"{root}/gold", name)) == rows(rollup(silver))
+        assert rows(medallion.read_gold(spark, f"{root}/gold", name)) == rows(rollup(silver))
     version = tables.current(spark, f"{root}/gold").version
     run_refiner(spark, root)
     assert tables.current(spark, f"{root}/gold").version == version
@@ -150,10 +151,10 @@ def test_refining_in_batches_is_refining_at_once(spark, refined_in_batches):
 def test_rollups_take_a_batch_once(spark, refined_in_batches):
     root, _ = refined_in_batches
     last = tables.current(spark, f"{root}/gold")
-    before = rows(incremental.read_rollup(spark, f"{root}/gold", "by_source"))
+    before = rows(medallion.read_gold(spark, f"{root}/gold", "by_source"))
     fresh = tables.read_batch(spark, f"{root}/silver", last.batch)
     incremental.add_to_rollups(fresh, f"{root}/gold", last.batch)
-    assert rows(incremental.read_rollup(spark, f"{root}/gold", "by_source")) == before
+    assert rows(medallion.read_gold(spark, f"{root}/gold", "by_source")) == before
 
 
 def start(spark, df, root, name):
@@ -185,3 +186,12 @@ def test_repeats_within_the_delay_go(spark, tmp_path):
     stream = spark.readStream.schema("url string, t timestamp").parquet(f"{root}/in")
     kept = start(spark, late.without_repeats(stream, "url", "t", "1 day").select("url"), root, "out")
     assert rows(kept) == rows(data.select("url").distinct())
+
+
+def test_stream_and_batch_keep_gold_alike(spark, refined_in_batches, tmp_path):
+    root, everything = refined_in_batches
+    medallion.load_gold(refine(everything), f"{root}/gold")
+    for name, rollup in gold.ROLLUPS.items():
+        assert rows(medallion.read_gold(spark, f"{root}/gold", name)) == rows(
+            rollup(refine(everything))
+        )
