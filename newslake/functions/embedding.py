@@ -64,14 +64,34 @@ def hashed_words(dimensions: int = DIMENSIONS) -> Callable[[], Embedder]:
     return make
 
 
+def _one_by_one(embedder: Embedder, texts: pd.Series) -> list[np.ndarray | None]:
+    """Vectors of a batch that failed as a whole; null where a text fails."""
+    out = []
+    for at in range(len(texts)):
+        try:
+            out.append(np.asarray(embedder(texts.iloc[at : at + 1]), dtype=np.float32)[0])
+        except Exception:
+            out.append(None)
+    return out
+
+
 def vector(text: Column, factory: Callable[[], Embedder]) -> Column:
-    """Vector of a text column; Arrow batches, the only Python in the plan."""
+    """Vector of a text column; Arrow batches, the only Python in the plan.
+
+    A text that the embedder fails on gets null and the others go on; a
+    factory that fails stops the job. Marked as not deterministic, so that a
+    filter on the vector does not run the model a second time.
+    """
 
     @F.pandas_udf("array<float>")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         embedder = factory()
         for texts in batches:
-            matrix = np.asarray(embedder(texts.fillna("")), dtype=np.float32)
-            yield pd.Series(list(matrix), dtype=object)
-
-    return encode(text)
+            texts = texts.fillna("")
+            try:
+                rows = list(np.asarray(embedder(texts), dtype=np.float32))
+            except Exception:
+                rows = _one_by_one(embedder, texts)
+            yield pd.Series(rows, dtype=object)
+
+    return encode.asNondeterministic()(text)

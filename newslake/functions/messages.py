@@ -32,8 +32,9 @@ def rejected(messages: DataFrame) -> DataFrame:
     """Payloads that could not be read as an article."""
     text = F.col("value").cast("string")
     parsed = F.from_json(text, _PARSED, {"columnNameOfCorruptRecord": _CORRUPT})
-    bad = parsed.isNull() | parsed[_CORRUPT].isNotNull()
-    return messages.where(bad).select(text.alias("_raw"))
+    # An empty payload parses to null, a broken one leaves its text behind.
+    bad = messages.where(parsed.isNull() | parsed[_CORRUPT].isNotNull())
+    return bad.select(text.alias("_raw"))
 
 
 def stamp(df: DataFrame) -> DataFrame:

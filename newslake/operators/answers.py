@@ -39,6 +39,12 @@ def prompts(questions: DataFrame, hits: DataFrame) -> DataFrame:
     )
 
 
+def sources_used(prompted: DataFrame) -> DataFrame:
+    """Per question the sources of its hits, best first."""
+    names = F.transform("matches", lambda m: m["metadata"]["source"])
+    return prompted.select("q_id", "question", names.alias("sources"))
+
+
 def answered(asked: DataFrame, answer: Callable[[pd.Series], pd.Series]) -> DataFrame:
     """Answers from a user-given service; it is not called without a prompt."""
 

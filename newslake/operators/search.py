@@ -153,9 +153,10 @@ def nearest(
     """``q_id, rank, id, score`` of the best ``k`` vectors per question.
 
     ``vectors`` has one row per ``id``, ``questions`` one per ``q_id``; both
-    have ``values`` of one length.
+    have ``values`` of one length; those without a vector are passed over.
     """
-    v, q = vectors.select("id", "values"), questions.select("q_id", "values")
+    v = vectors.select("id", "values").where(F.col("values").isNotNull())
+    q = questions.select("q_id", "values").where(F.col("values").isNotNull())
     schema = _schema(v, q)
     asked = q.agg(F.count("*").alias("rows"), F.max(F.size("values")).alias("dims")).first()
     per_block = max(1, broadcast_numbers // max(1, asked.dims or 1))

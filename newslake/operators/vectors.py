@@ -32,13 +32,23 @@ def metadata() -> Column:
 def article_vectors(
     silver: DataFrame, factory: Callable[[], Embedder] | None = None
 ) -> DataFrame:
-    """``id`` (the URL), ``values`` and ``metadata`` of each usable article."""
+    """``id`` (the URL), ``values`` and ``metadata`` of each usable article.
+
+    Articles that the embedder fails on are left out; see ``not_embedded``.
+    """
     text = embedding_text(F.col("title"), F.col("description"), F.col("content"))
-    return embeddable(silver).select(
+    vectors = embeddable(silver).select(
         F.col("url").alias("id"),
         vector(text, factory or hashed_words()).alias("values"),
         metadata().alias("metadata"),
     )
+    return vectors.where(F.col("values").isNotNull())
+
+
+def not_embedded(silver: DataFrame, vectors: DataFrame) -> DataFrame:
+    """URLs of usable articles that have no vector."""
+    known = vectors.select(F.col("id").alias("url"))
+    return unmatched(embeddable(silver).select("url"), known, ["url"], null_safe=False)
 
 
 def question_vectors(
@@ -68,6 +78,8 @@ def store_new_vectors(
 
     Stored articles never change, so this gives the table that
     ``store_vectors`` gives, without running the model on old articles again.
+    Finding the new ones takes a join; where Silver grows in loads,
+    ``newslake.streaming.embedding`` does without.
     """
     spark = silver.sparkSession
     stored = tables.scan_if_exists(spark, path)

@@ -289,6 +289,8 @@ select url as id, source, cast(256 as int) as dims from silver where url <> '' a
 union all
 select url, source, 256 from english
 where url <> '' and title <> '' and url not in (select url from silver where title <> '')""",
+    "stream_vectors": f"""{_WITH}
+select url as id, source, cast(256 as int) as dims from in_loads where url <> '' and title <> ''""",
     "topk_similar": f"""
 with means as (
   select label as q_id, [{", ".join(f"avg(embedding[{i + 1}]::double)" for i in _DIMS)}] as mean
@@ -307,6 +309,9 @@ select q.q_id, question,
          || {_text(PROMPT_TAIL)} as prompt,
        case when context is null then {_text(NO_ARTICLES)} end as fallback_answer
 from questions q left join contexts c on c.q_id = q.q_id""",
+    "rag_sources": f"""{_WITH}, {_VECTORS}, {_HITS}
+select q.q_id, question, string_agg(source, '; ' order by rank) as sources
+from questions q join hits h on h.q_id = q.q_id group by 1, 2""",
     "source_links": f"""{_WITH}, {_VECTORS}, {_HITS}
 select q_id, rank, title, url, source, published as published_at,
        '- [' || title || '](' || url || ') — **' || source || '**' as link

@@ -16,7 +16,7 @@ from newslake.operators.refine import refine, usable
 from newslake.plans import medallion, models
 from newslake.session import shared_dir
 from newslake.sources import headlines, landing, tables, topics
-from newslake.streaming import incremental, ingest, late, producer
+from newslake.streaming import embedding, incremental, ingest, late, producer
 from newslake.streaming.lander import lander
 
 # The questions asked as a trial.
@@ -364,6 +364,21 @@ def vector_upsert(spark, sf):
     return stored.select("id", F.col("metadata.source").alias("source"), F.size("values").alias("dims"))
 
 
+def stream_vectors(spark, sf):
+    """Vectors added after each load of Silver."""
+    root = shared_dir(spark, "vectors")
+    for load in (_first_load(spark, sf), articles(spark, sf)):
+        tables.insert_new(refine(load, ARRIVAL, True), f"{root}/silver", ["url"])
+        added = spark.readStream.schema(tables.scan(spark, f"{root}/silver").schema)
+        topics.run(
+            embedding.vector_writer(
+                added.parquet(f"{root}/silver"), f"{root}/vectors", f"{root}/checkpoint"
+            )
+        )
+    stored = tables.scan(spark, f"{root}/vectors")
+    return stored.select("id", F.col("metadata.source").alias("source"), F.size("values").alias("dims"))
+
+
 def topk_similar(spark, sf):
     """Nearest vectors to the mean vector of each label."""
     rows = table(spark, sf, "embeddings")
@@ -395,6 +410,11 @@ def rag_prompt(spark, sf):
     return asked.select("q_id", "question", "prompt", "fallback_answer")
 
 
+def rag_sources(spark, sf):
+    asked = answers.prompts(_questions(spark), _hits(spark, sf))
+    return answers.sources_used(asked).select("q_id", "question", F.array_join("sources", "; ").alias("sources"))
+
+
 def source_links(spark, sf):
     return answers.source_list(_hits(spark, sf))
 
@@ -408,7 +428,7 @@ QUERIES = {
         upsert_insert_only, upsert_update_insert, upsert_null_key, anti_join_seen,
         encode_json, decode_json, rejected_messages, flatten_api, existing_urls, object_key,
         landed_articles, stream_bronze, stream_produce, stream_land, stream_silver, stream_gold_by_source,
-        late_windows, late_dedup, embedding_text, vector_metadata, embed_hashed, vector_upsert,
-        topk_similar, rag_context, rag_prompt, source_links,
+        late_windows, late_dedup, embedding_text, vector_metadata, embed_hashed, vector_upsert, stream_vectors,
+        topk_similar, rag_context, rag_prompt, rag_sources, source_links,
     )
 }

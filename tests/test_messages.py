@@ -1,5 +1,7 @@
 import json
 
+from pyspark.sql import functions as F
+
 from newslake.functions.messages import decode, encode, rejected
 from newslake.schemas import ARTICLE_FIELDS
 from newslake.sources import headlines, landing, topics
@@ -74,8 +76,8 @@ def test_kafka_options():
 def test_object_names(spark, bronze, tmp_path):
     title = "a/b c:d's, e? f! " + "x" * 60
     df = bronze({"title": title, "url": "u" * 600}, {"title": None, "url": "v"}, {"title": "w"})
-    arrived = spark.sql("select timestamp '2024-02-03 04:05:06' as t").select("t")
-    rows = landing.landing_rows(df.crossJoin(arrived), spark_col("t"))
+    arrived = F.lit("2024-02-03 04:05:06").cast("timestamp")
+    rows = landing.landing_rows(df, arrived)
     row = rows.collect()
     assert len(row) == 1
     slug = "a-b_c-ds_e_f_" + "x" * (50 - 17)
@@ -87,12 +89,6 @@ def test_object_names(spark, bronze, tmp_path):
     assert landing.read_landed(spark, str(tmp_path / "l")).first().url == "u" * 600
 
 
-def spark_col(name):
-    from pyspark.sql import functions as F
-
-    return F.col(name)
-
-
 def test_stored_urls(spark):
     long = "u" * 700
     df = spark.createDataFrame(

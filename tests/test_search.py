@@ -63,6 +63,9 @@ def test_fewer_vectors_than_k_and_none_at_all(spark, sample):
         assert search.nearest(few, questions, broadcast_numbers=numbers).count() == 6
         assert search.nearest(few.where("false"), questions, broadcast_numbers=numbers).count() == 0
     assert search.nearest(few, questions.where("false")).count() == 0
+    gaps = few.withColumn("values", F.when(F.col("id") > 1, F.col("values")))
+    unasked = questions.withColumn("values", F.when(F.col("q_id") > 1, F.col("values")))
+    assert {(r.q_id, r.id) for r in search.nearest(gaps, unasked).collect()} == {(2, 2), (2, 3)}
 
 
 def test_hashed_words():
@@ -182,3 +185,35 @@ def test_a_service_answers_only_prompts(spark):
 def test_links(spark):
     got = sorted(answers.source_list(hits(spark)).collect(), key=lambda r: r["rank"])
     assert [r.link for r in got] == ["- [T1](a) — **S1**", "- [T2](b) — **S2**"]
+
+
+def test_a_text_that_fails_is_left_out_and_reported(bronze):
+    def picky():
+        def embed(texts):
+            if texts.str.contains("pear").any():
+                raise ValueError("no pears")
+            return np.ones((len(texts), 2))
+
+        return embed
+
+    def broken():
+        raise RuntimeError("no model")
+
+    silver = refine(bronze(*[{"url": t, "title": t} for t in ("apple", "pear", "plum", "  ")]))
+    built = vectors.article_vectors(silver, picky)
+    assert sorted(r.id for r in built.collect()) == ["apple", "plum"]
+    assert [r.url for r in vectors.not_embedded(silver, built).collect()] == ["pear"]
+    with pytest.raises(Exception, match="no model"):
+        vectors.article_vectors(silver, broken).collect()
+
+
+def test_the_model_runs_once_per_text(bronze):
+    built = vectors.article_vectors(refine(bronze({"url": "u", "title": "t"})))
+    plan = built._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
+def test_sources_used(spark):
+    questions = spark.createDataFrame([(1, "Why?"), (2, "What?")], "q_id int, question string")
+    got = answers.sources_used(answers.prompts(questions, hits(spark))).collect()
+    assert {r.q_id: r.sources for r in got} == {1: ["S1", "S2"], 2: None}
