@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 _unset_roots: dict[str, str] = {}
 
 
@@ -15,6 +17,7 @@ def build_session(app: str = "newslake", **conf: str) -> SparkSession:
 
     Shuffle width is left to the cluster (or ``conf``): adaptive execution
     merges small partitions and splits skewed join partitions at run time.
+    Stream state is kept on disk, so it may outgrow an executor's memory.
     """
     builder = (
         SparkSession.builder.appName(app)
@@ -23,6 +26,7 @@ def build_session(app: str = "newslake", **conf: str) -> SparkSession:
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     )
     for key, value in conf.items():
         builder = builder.config(key, value)

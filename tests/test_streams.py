@@ -8,6 +8,7 @@ from newslake.operators.refine import refine
 from newslake.plans import medallion
 from newslake.sources import landing, tables, topics
 from newslake.streaming import batches, incremental, ingest, late, producer
+from newslake.streaming.embedding import vector_writer
 from newslake.streaming.lander import lander, remember_landed
 from newslake.streaming.once import new_urls
 
@@ -195,3 +196,69 @@ def test_stream_and_batch_keep_gold_alike(spark, refined_in_batches, tmp_path):
         assert rows(medallion.read_gold(spark, f"{root}/gold", name)) == rows(
             rollup(refine(everything))
         )
+
+
+def break_once(monkeypatch, module, name, at):
+    """The named step fails on its ``at``-th call, as if the driver was lost."""
+    real, calls = getattr(module, name), []
+
+    def step(*args, **kwargs):
+        calls.append(name)
+        if len(calls) == at:
+            raise RuntimeError("lost")
+        return real(*args, **kwargs)
+
+    monkeypatch.setattr(module, name, step)
+
+
+@pytest.mark.parametrize("at", [1, 2, 3])
+def test_refining_survives_a_loss_between_silver_and_gold(spark, bronze, tmp_path, monkeypatch, at):
+    root = str(tmp_path)
+    loads = [
+        [{"url": f"u{(i + 3 * load) % 10}", "title": f"t{load}", "at": 10 * load + i}
+         for i in range(6)]
+        for load in range(4)
+    ]
+    for load in loads:
+        bronze(*load).coalesce(1).write.mode("append").parquet(f"{root}/bronze")
+    break_once(monkeypatch, tables, "publish", at)
+    with pytest.raises(Exception, match="lost"):
+        run_refiner(spark, root)
+    run_refiner(spark, root)
+    stored = tables.read_inserted(spark, f"{root}/silver")
+    assert stored.count() == 10 == stored.select("url").distinct().count()
+    for name, rollup in gold.ROLLUPS.items():
+        assert rows(medallion.read_gold(spark, f"{root}/gold", name)) == rows(rollup(stored))
+
+
+@pytest.mark.parametrize("at", [1, 2])
+def test_landing_survives_a_loss_before_urls_are_remembered(spark, tmp_path, monkeypatch, at):
+    from newslake.streaming import lander as module
+
+    topic, out = tmp_path / "topic", str(tmp_path / "landed")
+
+    def run():
+        stream = topics.read_message_files(spark, str(topic), max_files=1)
+        topics.run(lander(stream, out, str(tmp_path / "seen"), str(tmp_path / "mark")))
+
+    send(topic, "1.txt", article("a"), article("b"))
+    send(topic, "2.txt", article("b"), article("c"))
+    break_once(monkeypatch, module, "remember", at)
+    with pytest.raises(Exception, match="lost"):
+        run()
+    run()
+    assert sorted(r.url for r in landing.read_landed(spark, out).collect()) == ["a", "b", "c"]
+
+
+def test_vectors_follow_silver(spark, bronze, tmp_path):
+    root = str(tmp_path)
+
+    def run(*rows):
+        medallion.load_silver(bronze(*rows), f"{root}/silver")
+        schema = tables.scan(spark, f"{root}/silver").schema
+        added = spark.readStream.schema(schema).parquet(f"{root}/silver")
+        topics.run(vector_writer(added, f"{root}/vectors", f"{root}/mark"))
+        return sorted(r.id for r in tables.scan(spark, f"{root}/vectors").collect())
+
+    assert run({"url": "a", "title": "t"}, {"url": "b", "title": " "}) == ["a"]
+    assert run({"url": "a", "title": "new"}, {"url": "c", "title": "t"}) == ["a", "c"]
