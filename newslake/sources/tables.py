@@ -21,15 +21,19 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from newslake.operators.merge import only_unique, unmatched, unmatched_in_large, upserted
 
 _PUBLISHED = "version long, folder string, batch string"
 
 
-def scan(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return spark.read.format(fmt).load(path)
+def scan(
+    spark: SparkSession, path: str, fmt: str = "parquet", schema: StructType | None = None
+) -> DataFrame:
+    """A stored table; with a schema, no file is opened to find it out."""
+    reader = spark.read.format(fmt)
+    return (reader.schema(schema) if schema else reader).load(path)
 
 
 def scan_sql(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -46,9 +50,11 @@ def _missing(error: AnalysisException) -> bool:
     return error.getCondition() == "PATH_NOT_FOUND"
 
 
-def scan_if_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
+def scan_if_exists(
+    spark: SparkSession, path: str, schema: StructType | None = None
+) -> DataFrame | None:
     try:
-        return scan(spark, path, fmt)
+        return scan(spark, path, schema=schema)
     except AnalysisException as error:
         if _missing(error):
             return None
@@ -66,8 +72,15 @@ def new_tag() -> str:
     return f"load-{uuid.uuid4().hex}"
 
 
-def read_batch(spark: SparkSession, path: str, batch: str) -> DataFrame:
-    return scan(spark, f"{path}/batch={batch}")
+def read_batch(
+    spark: SparkSession, path: str, batch: str, schema: StructType | None = None
+) -> DataFrame:
+    return scan(spark, f"{path}/batch={batch}", schema=schema)
+
+
+def scan_keys(spark: SparkSession, path: str, keys: Sequence[StructField]) -> DataFrame | None:
+    """Key columns and batch tag of an insert-only table, if it exists."""
+    return scan_if_exists(spark, path, StructType([*keys, StructField("batch", StringType())]))
 
 
 def insert_new(
@@ -85,7 +98,7 @@ def insert_new(
     """
     spark = src.sparkSession
     batch = batch or new_tag()
-    stored = scan_if_exists(spark, path)
+    stored = scan_keys(spark, path, [src.schema[k] for k in keys])
     if stored is not None:
         others = stored.where(F.col("batch") != batch)
         pick = unmatched_in_large if small_batch else unmatched
@@ -116,8 +129,10 @@ def read_snapshot(spark: SparkSession, path: str, part: str = "") -> DataFrame:
     return read_part(spark, path, now, part)
 
 
-def read_part(spark: SparkSession, path: str, now: Row, part: str = "") -> DataFrame:
-    return scan(spark, f"{path}/data/{now.folder}/{part}")
+def read_part(
+    spark: SparkSession, path: str, now: Row, part: str = "", schema: StructType | None = None
+) -> DataFrame:
+    return scan(spark, f"{path}/data/{now.folder}/{part}", schema=schema)
 
 
 def publish(
@@ -164,7 +179,7 @@ def upsert_parts(
     # Read twice by the merge: once for the keys, once for the rows.
     rows = {part: src.persist() for part, src in checked.items()}
     merged = {
-        part: upserted(read_part(spark, path, now, part), src, parts[part][1])
+        part: upserted(read_part(spark, path, now, part, src.schema), src, parts[part][1])
         for part, src in rows.items()
     }
     version = publish(merged, path, now, batch)

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from newslake.operators.gold import ROLLUPS
 from newslake.operators.refine import refine
 from newslake.sources import tables
-from newslake.streaming.batches import batch_tag
+from newslake.streaming.batches import batch_tags
 
 
 def add_to_rollups(fresh: DataFrame, gold: str, batch: str) -> None:
@@ -23,7 +23,7 @@ def add_to_rollups(fresh: DataFrame, gold: str, batch: str) -> None:
     parts = {name: rollup.states(fresh) for name, rollup in ROLLUPS.items()}
     if now:
         for name, states in parts.items():
-            old = tables.read_part(spark, gold, now, name)
+            old = tables.read_part(spark, gold, now, name, states.schema)
             parts[name] = ROLLUPS[name].merged(old.unionByName(states))
     tables.publish(parts, gold, now, batch)
 
@@ -38,13 +38,14 @@ def refiner(
 ) -> DataStreamWriter:
     """Stream that refines each batch of the raw table and adds it to Silver
     and to the aggregates. Across batches the first arrival of a URL stays."""
+    tag_of = batch_tags(checkpoint)
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        tag = batch_tag(spark, checkpoint, batch_id)
+        tag = tag_of(spark, batch_id)
         rows = refine(batch, arrival, total_order).persist()
         tables.insert_new(rows, silver, ["url"], tag, small_batch=True)
         rows.unpersist()
-        add_to_rollups(tables.read_batch(spark, silver, tag), gold, tag)
+        add_to_rollups(tables.read_batch(spark, silver, tag, rows.schema), gold, tag)
 
     return bronze.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)

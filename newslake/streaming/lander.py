@@ -8,7 +8,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from newslake.functions.messages import decode
 from newslake.operators.refine import usable
 from newslake.sources import landing, tables
-from newslake.streaming.batches import batch_tag
+from newslake.streaming.batches import batch_tags
 from newslake.streaming.once import new_urls, remember
 
 
@@ -31,10 +31,11 @@ def lander(
     there and one at ``path``, and a replayed batch writes the same folders
     again. Articles without title or URL are not landed and not remembered.
     """
+    tag_of = batch_tags(checkpoint)
 
     def land(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        tag = batch_tag(spark, checkpoint, batch_id)
+        tag = tag_of(spark, batch_id)
         rows = landing.one_per_url(usable(decode(batch))).persist()
         out = f"{path}/batch={tag}"
         fresh = landing.landing_rows(new_urls(rows, seen, tag), arrived)

@@ -14,7 +14,7 @@ def new_urls(rows: DataFrame, seen: str, tag: str) -> DataFrame:
 
     ``rows`` is used twice, so the caller keeps it in memory.
     """
-    stored = tables.scan_if_exists(rows.sparkSession, seen)
+    stored = tables.scan_keys(rows.sparkSession, seen, [rows.schema["url"]])
     if stored is None:
         return rows
     return unmatched_in_large(rows, stored.where(F.col("batch") != tag), ["url"])

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter
 
 from newslake.sources import headlines, landing, topics
-from newslake.streaming.batches import batch_tag
+from newslake.streaming.batches import batch_tags
 from newslake.streaming.once import new_urls, remember
 
 RESPONSE = "language string, category string, body string"
@@ -40,9 +40,10 @@ def producer(
     URLs count as seen once they are sent; a failure before that sends the
     batch again.
     """
+    tag_of = batch_tags(checkpoint)
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        tag = batch_tag(batch.sparkSession, checkpoint, batch_id)
+        tag = tag_of(batch.sparkSession, batch_id)
         articles = headlines.flattened(headlines.fetched(batch))
         rows = landing.one_per_url(articles).persist()
         fresh = new_urls(rows, seen, tag).persist()

@@ -105,8 +105,8 @@ def test_batches_have_names_of_their_own(spark, tmp_path):
         spark.range(1).write.mode("append").parquet(str(tmp_path / "in"))
         stream = spark.readStream.schema("id long").parquet(str(tmp_path / "in"))
 
-        def step(batch, batch_id, mark=mark):
-            names.append(batches.batch_tag(batch.sparkSession, str(tmp_path / mark), batch_id))
+        def step(batch, batch_id, tag=batches.batch_tags(str(tmp_path / mark))):
+            names.append(tag(batch.sparkSession, batch_id))
 
         topics.run(
             stream.writeStream.foreachBatch(step).option("checkpointLocation", str(tmp_path / mark))
