@@ -10,11 +10,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_
+from operator import add, and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+BROADCAST_KEY_BYTES = 64 * 1024 * 1024
+ROW_BYTES = 32
+
 
 def _keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.select(*[F.col(k).alias(f"_{k}") for k in keys])
@@ -51,18 +54,30 @@ def unmatched(
     return src.join(known, _same_key(src, known, keys, null_safe), "left_anti")
 
 
+def _key_bytes(keys: DataFrame) -> int:
+    """What the keys take on the wire: their text and some bytes per row."""
+    text = [F.coalesce(F.octet_length(keys[c].cast("string")), F.lit(0)) for c in keys.columns]
+    return keys.agg(F.sum(reduce(add, text) + F.lit(ROW_BYTES)).alias("n")).first()["n"] or 0
+
+
 def unmatched_in_large(
     src: DataFrame, target: DataFrame, keys: Sequence[str], null_safe: bool = True
 ) -> DataFrame:
     """As ``unmatched``, for a ``src`` much smaller than ``target``.
 
-    The target's keys are first cut down to those of ``src``. Spark sends the
-    source keys to the target's tasks when its size estimate allows it, and
-    the target is then scanned once without a shuffle.
+    The keys of ``src`` are measured. Up to ``BROADCAST_KEY_BYTES`` they go to
+    every task of one scan of the target's keys, which is not shuffled, and
+    what the scan finds, no more than was sent, goes back to ``src``. Beyond
+    that Spark chooses the join. ``src`` is used three times, so the caller
+    caches it.
     """
     wanted = _keys(src, keys)
-    known = target.join(wanted, _same_key(target, wanted, keys, null_safe), "left_semi")
-    return unmatched(src, known, keys, null_safe)
+    if _key_bytes(wanted) > BROADCAST_KEY_BYTES:
+        return unmatched(src, target, keys, null_safe)
+    sent = F.broadcast(wanted)
+    found = _keys(target.join(sent, _same_key(target, sent, keys, null_safe), "left_semi"), keys)
+    back = F.broadcast(found)
+    return src.join(back, _same_key(src, back, keys, null_safe), "left_anti")
 
 
 def upserted(target: DataFrame, src: DataFrame, keys: Sequence[str]) -> DataFrame:

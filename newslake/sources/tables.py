@@ -94,7 +94,7 @@ def insert_new(
 
     ``src`` has one row per key, and no null key. Rows of an earlier attempt
     at the same batch do not count as stored. ``small_batch`` says that
-    ``src`` is small beside the table. Returns the batch tag.
+    ``src`` is cached and small beside the table. Returns the batch tag.
     """
     spark = src.sparkSession
     batch = batch or new_tag()

@@ -12,7 +12,7 @@ from newslake.sources import tables
 def new_urls(rows: DataFrame, seen: str, tag: str) -> DataFrame:
     """Rows, one per URL, whose URL no other batch has put on the list.
 
-    ``rows`` is used twice, so the caller keeps it in memory.
+    ``rows`` is used several times, so the caller caches it.
     """
     stored = tables.scan_keys(rows.sparkSession, seen, [rows.schema["url"]])
     if stored is None:

@@ -4,6 +4,7 @@ import re
 
 import pytest
 
+from newslake.operators import merge
 from newslake.plans import queries
 
 LAZY = (
@@ -62,3 +63,21 @@ def test_ranking_is_limited_before_the_shuffle(plan):
 
 def test_filters_reach_the_scan(plan):
     assert "EqualTo(lang,en)" in plan("anti_join_seen")
+
+
+def test_a_small_batch_spares_the_large_table_a_shuffle(spark, tmp_path, monkeypatch):
+    big = str(tmp_path / "big")
+    spark.range(30000).selectExpr("concat('u', id) as url").write.parquet(big)
+    stored = spark.read.parquet(big)
+    batch = stored.where("url like '%99'").union(spark.createDataFrame([("new",)], "url string"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for limit, sent in ((merge.BROADCAST_KEY_BYTES, True), (100, False)):
+            monkeypatch.setattr(merge, "BROADCAST_KEY_BYTES", limit)
+            fresh = merge.unmatched_in_large(batch, stored, ["url"], null_safe=False)
+            text = fresh._jdf.queryExecution().executedPlan().toString()
+            assert ("Exchange hashpartitioning" not in text) == sent
+            assert ("BroadcastHashJoin" in text) == sent
+            assert [r.url for r in fresh.collect()] == ["new"]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -62,6 +62,8 @@ def test_lander_lands_each_url_once(spark, tmp_path):
     send(topic, "3.txt", article("b"), article("x" * 600), article("n"), article("c"))
     assert run() == ["a", "b", "c", "n", "x" * 600]
     assert run() == ["a", "b", "c", "n", "x" * 600]
+    send(topic, "4.txt", article("a"), "broken")
+    assert run() == ["a", "b", "c", "n", "x" * 600]
     found = landing.stored_urls(landing.read_objects(spark, out))
     assert sorted(r.url for r in found.collect()) == run()
 
