@@ -4,12 +4,14 @@ import pytest
 from compare import oracle_rows, spark_rows
 
 import __spark_entry__ as entry_points
-
-QUERIES, ORACLE = entry_points.queries(), entry_points.oracle_sql()
+from newslake.plans.oracle import ORACLE
+from newslake.plans.queries import QUERIES
 
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(ORACLE) <= set(entry_points.oracle_sql())
 
 
 def test_entry(spark, sf):
