@@ -9,6 +9,8 @@ from typing import Any
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
+from newslake.session import shared_dir
+
 # Sent along with the jobs: executors need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -31,3 +33,12 @@ def unused(df: DataFrame, stem: str) -> str:
     while stem in taken:
         stem += "_"
     return stem
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The table, computed now and stored in the shared checkpoint folder."""
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        root = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        context.setCheckpointDir(root or shared_dir(df.sparkSession, "checkpoints"))
+    return df.checkpoint()

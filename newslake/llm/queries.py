@@ -5,10 +5,28 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from newslake.llm import bpe
+from newslake.llm import bpe, merkle, packing, pii, simhash
 from newslake.llm.common import table
 
 
+def op3_min_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, pattern = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN
+    return packing.packed(table(spark, sf_dir, "documents"), path, pattern)
+
+
+def op6_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.compared(table(spark, sf_dir, "documents"))
+
+
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.digests(simhash.near_duplicates(table(spark, sf_dir, "documents")))
+
+
+def op8_pii_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.digests(pii.with_spans(docs))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     ids = bpe.encoded(table(spark, sf_dir, "documents"), path, pattern)
@@ -16,6 +34,12 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_min_bin_slack": op3_min_bin_slack,
+    "op6_merkle": op6_merkle,
+    "op7_simhash": op7_simhash,
+    "op8_pii_anchors": op8_pii_anchors,
     "op10_byte_bpe": op10_byte_bpe,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op6_merkle": merkle.COMPARED_SQL,
+}
