@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from newslake.llm import bpe, merkle, packing, pii, simhash
+from newslake.llm import bpe, linededup, merkle, packing, pii, simhash
 from newslake.llm.common import table
 
 
@@ -27,6 +27,10 @@ def op8_pii_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(pii.with_spans(docs))
 
 
+def op9_line_neighbourhoods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     ids = bpe.encoded(table(spark, sf_dir, "documents"), path, pattern)
@@ -38,8 +42,10 @@ QUERIES = {
     "op6_merkle": op6_merkle,
     "op7_simhash": op7_simhash,
     "op8_pii_anchors": op8_pii_anchors,
+    "op9_line_neighbourhoods": op9_line_neighbourhoods,
     "op10_byte_bpe": op10_byte_bpe,
 }
 ORACLE: dict[str, str] = {
     "op6_merkle": merkle.COMPARED_SQL,
+    "op9_line_neighbourhoods": linededup.DEDUPLICATED_SQL,
 }
