@@ -3,12 +3,29 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from newslake.llm import bpe, linededup, merkle, packing, pii, simhash
+from newslake.llm import bpe, linededup, merkle, packing, pii, simhash, toxicity
 from newslake.llm.common import table
 
 
+def held_out() -> Column:
+    """The fold from which nothing is learnt."""
+    fold = F.crc32(F.col("doc_id").cast("string")) % 4
+    return F.coalesce(fold == 2, F.lit(False))
+
+
+def toxicity_model(docs: DataFrame, sf_dir: str) -> toxicity.Model:
+    return toxicity.train(docs, table(docs.sparkSession, sf_dir, "labels"), ~held_out())
+
+
+def op2_toxicity_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.scored(docs, toxicity_model(docs, sf_dir))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 def op3_min_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN
     return packing.packed(table(spark, sf_dir, "documents"), path, pattern)
@@ -38,6 +55,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_toxicity_pu": op2_toxicity_pu,
     "op3_min_bin_slack": op3_min_bin_slack,
     "op6_merkle": op6_merkle,
     "op7_simhash": op7_simhash,
