@@ -28,6 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -134,15 +135,13 @@ def _binary(high: np.ndarray, low: np.ndarray) -> pa.Array:
 
 def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, list[bytes]]]:
     """Texts of a batch in runs of bounded size, with the place of the first."""
-    held, first, size = [], 0, 0
-    for text in batch.column("text").cast(pa.binary()).to_pylist():
-        if held and size + len(text) > _BYTES_AT_ONCE:
-            yield first, held
-            held, first, size = [], first + len(held), 0
-        held.append(text)
-        size += len(text) + 1
-    if held:
-        yield first, held
+    column = batch.column("text")
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    run = np.cumsum(sizes, dtype=np.int64) // _BYTES_AT_ONCE
+    cuts = [0, *(np.flatnonzero(np.diff(run)) + 1), len(column)]
+    for first, end in zip(cuts, cuts[1:]):
+        if first < end:
+            yield first, column.slice(first, end - first).cast(pa.binary()).to_pylist()
 
 
 _LINE_COLUMNS = "doc long, row_key long, line int, n int, hash binary"
@@ -192,8 +191,10 @@ def hashed_lines(docs: DataFrame) -> DataFrame:
 
 
 def neighbourhoods(lines: DataFrame, doc: str, row_key: str, wanted: str) -> DataFrame:
-    """For rows with a text and the numbers of some of its lines, ``wanted``:
-    one row per key of each such line, and one with its words."""
+    """For rows with a text and some of its lines, ``wanted``: one row per key
+    of each such line, and one with its words. A wanted line has its number and
+    tells whether it shares its front and its rear half; the half that it
+    shares with another line is not where the two differ."""
 
     names = [doc, row_key, wanted]
 
@@ -207,13 +208,15 @@ def neighbourhoods(lines: DataFrame, doc: str, row_key: str, wanted: str) -> Dat
             docs, row_keys, wanted = map(batch.column, names)
             wanted = wanted.to_pylist()
             for at, texts in _texts(batch):
-                row, number, chosen = [], [], []
+                row, number, chosen, front, rear = [], [], [], [], []
                 for i, text in enumerate(texts, at):
                     split = text.split(b"\n")
-                    for k in wanted[i]:
+                    for told in wanted[i]:
                         row.append(i)
-                        number.append(k)
-                        chosen.append(split[k])
+                        number.append(told["line"])
+                        chosen.append(split[told["line"]])
+                        front.append(told["front"])
+                        rear.append(told["rear"])
                 places = pa.RecordBatch.from_arrays(
                     [docs.take(pa.array(row, pa.int64())),
                      row_keys.take(pa.array(row, pa.int64())),
@@ -224,7 +227,12 @@ def neighbourhoods(lines: DataFrame, doc: str, row_key: str, wanted: str) -> Dat
                 n, start = found.words[: len(chosen)], found.first[: len(chosen)]
                 every = np.repeat(np.arange(len(n)), n)
                 at_word = np.arange(len(every))
-                s, e, m = start[every], (start + n)[every], n[every]
+                place, m = at_word - start[every], n[every]
+                open_ = (np.array(front)[every] & (place >= (m - 1) // 2)) | (
+                    np.array(rear)[every] & (place <= m // 2)
+                )
+                every, at_word, m = every[open_], at_word[open_], m[open_]
+                s, e = start[every], (start + n)[every]
 
                 def rows(role: int, of: np.ndarray, key: pa.Array, words: pa.Array | None = None):
                     of = pa.array(of)
@@ -330,18 +338,21 @@ def deduplicated(docs: DataFrame) -> DataFrame:
         F.min(F.struct("doc", "row_key", "line", *_HALVES)).alias("place")
     )
     halves = distinct.select(
-        "hash", F.explode(F.array(*(F.col("place")[h] for h in _HALVES))).alias("half")
+        "hash", F.posexplode(F.array(*(F.col("place")[h] for h in _HALVES))).alias("which", "half")
     ).where("half is not null")
     shared = halves.groupBy("half").agg(F.count("*").alias("n")).where("n > 1").select("half")
-    alike = halves.join(shared, "half").select("hash").distinct()
+    alike = halves.join(shared, "half").groupBy("hash").agg(
+        F.max(F.col("which") % 2 == 0).alias("front"), F.max(F.col("which") % 2 == 1).alias("rear")
+    )
     wanted = (
         distinct.select("hash", "place").join(alike, "hash")
-        .groupBy("place.doc", "place.row_key").agg(F.sort_array(F.collect_list("place.line")).alias("wanted"))
-    )
+        .groupBy("place.doc", "place.row_key")
+        .agg(F.collect_list(F.struct("place.line", "front", "rear")).alias("wanted"))
+    )
     renamed = lambda df: df.select(*(F.col(c).alias(names[c]) for c in df.columns))
     on = [names["doc"], names["row_key"]]
     # All columns go along, so that the shuffle of the table is the one used below.
-    asked = keyed.join(renamed(wanted), on)
+    asked = keyed.join(renamed(wanted).hint("shuffle_hash"), on)
     near = _near(neighbourhoods(asked, names["doc"], names["row_key"], names["wanted"]))
     kept = distinct.groupBy("place.doc", "place.row_key").agg(
         F.collect_list("place.line").alias("kept")
@@ -355,7 +366,8 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     lines_left = F.transform(F.array_sort(F.array_union(blank, staying)), lambda i: F.get(split, i))
     n_lines, n_kept = unused(docs, "n_lines"), unused(docs, "n_kept")
     return (
-        keyed.join(renamed(kept), on, "left").join(renamed(near), on, "left")
+        keyed.join(renamed(kept).hint("shuffle_hash"), on, "left")
+        .join(renamed(near).hint("shuffle_hash"), on, "left")
         .select(
             *(F.array_join(lines_left, "\n").alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns),
             F.coalesce(F.size(split) - F.size(blank), F.lit(0)).cast("long").alias(n_lines),
