@@ -17,7 +17,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from newslake.llm.common import checkpointed
+
 RUN = 64
+_NO_ID = -(1 << 63)
 _PIECE = f"[^.!?]{{1,{RUN}}}[.!?]*|[.!?]+"
 
 
@@ -90,7 +93,9 @@ def _next_ids(ids: DataFrame) -> DataFrame:
     """
     ranged = ids.repartitionByRange("doc_id").withColumn("range", F.spark_partition_id())
     within = Window.partitionBy("range").orderBy(F.desc("doc_id"))
-    inner = ranged.select("doc_id", "range", F.lead("doc_id").over(within).alias("next_id"))
+    inner = checkpointed(  # stored, so that the ranges are the same wherever they are used
+        ranged.select("doc_id", "range", F.lead("doc_id").over(within).alias("next_id"))
+    )
     ranges = inner.groupBy("range").agg(F.max("doc_id").alias("largest"))
     over = Window.orderBy(F.desc("range"))
     first = F.first("largest").over(over.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
@@ -106,39 +111,47 @@ def compared(docs: DataFrame) -> DataFrame:
     The edited text has its last third (of code points, rounded down) replaced
     by the first as many code points of the next document, in descending order
     of ``doc_id``; after the last comes the first. Null texts count as empty.
-    Rows that repeat a ``doc_id`` each have a result; as a next document, the
-    smallest of their texts counts. Rows without a ``doc_id`` have no next
-    document: nothing replaces the last third, and ``near_next`` is null.
+    Rows that repeat a ``doc_id`` each have a result; as a next document, one of
+    them counts, the one whose head and fingerprint sort first. Rows without a
+    ``doc_id`` have no next document: nothing replaces the last third, and
+    ``near_next`` is null.
     """
+    doc_id = F.col("doc_id").cast("long")
+    # The key is never null, so both joins below use one shuffle of the texts.
     texts = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
+        doc_id.alias("doc_id"),
+        F.coalesce(doc_id, F.lit(_NO_ID)).alias("doc_key"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
-    known = texts.where("doc_id is not null")
-    lengths = known.groupBy("doc_id").agg(F.max(F.length("text")).alias("n"))
+    lengths = texts.where("doc_id is not null").groupBy("doc_id").agg(
+        F.max(F.length("text")).alias("n")
+    )
     wanted = lengths.join(_next_ids(lengths.select("doc_id")), "doc_id").select(
-        F.col("next_id").alias("doc_id"),
+        F.col("next_id").alias("doc_key"),
         F.col("doc_id").alias("asker"),
         F.expr("n div 3").cast("int").alias("wanted"),
     )
     following = (
-        known.groupBy("doc_id").agg(F.min("text").alias("text"))
-        .join(wanted, "doc_id")
+        texts.join(wanted.hint("shuffle_hash"), "doc_key")
         .select(
-            F.col("asker").alias("doc_id"),
-            F.expr("left(text, wanted)").alias("head"),
-            fingerprint(F.col("text")).alias("next_fingerprint"),
+            F.col("asker").alias("doc_key"),
+            "doc_id",
+            F.struct(
+                F.expr("left(text, wanted)").alias("head"),
+                fingerprint(F.col("text")).alias("fingerprint"),
+            ).alias("next"),
         )
+        .groupBy("doc_key").agg(F.min(F.when(F.col("doc_id").isNotNull(), F.col("next"))).alias("next"))
     )
     third = "(length(text) div 3)"
-    both = texts.join(following, "doc_id", "left").select(
+    both = texts.join(following, "doc_key", "left").select(
         "doc_id",
         F.length("text").cast("long").alias("n_chars"),
         fingerprint(F.col("text")).alias("fingerprint"),
         F.expr(
-            f"concat(left(text, int(length(text) - {third})), coalesce(left(head, int{third}), ''))"
+            f"concat(left(text, int(length(text) - {third})), coalesce(left(next.head, int{third}), ''))"
         ).alias("edited"),
-        "next_fingerprint",
+        F.col("next.fingerprint").alias("next_fingerprint"),
     )
     return both.select(
         "doc_id",
