@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newslake.llm import bpe, linededup, merkle, packing, pii, simhash, toxicity
+from newslake.llm import bpe, license, linededup, merkle, packing, pii, simhash, toxicity
 from newslake.llm.common import table
 
 
@@ -31,6 +31,10 @@ def op3_min_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), path, pattern)
 
 
+def op5_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license.scanned(table(spark, sf_dir, "documents"))
+
+
 def op6_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.compared(table(spark, sf_dir, "documents"))
 
@@ -57,6 +61,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_toxicity_pu": op2_toxicity_pu,
     "op3_min_bin_slack": op3_min_bin_slack,
+    "op5_license_diagonals": op5_license_diagonals,
     "op6_merkle": op6_merkle,
     "op7_simhash": op7_simhash,
     "op8_pii_anchors": op8_pii_anchors,
@@ -64,6 +69,7 @@ QUERIES = {
     "op10_byte_bpe": op10_byte_bpe,
 }
 ORACLE: dict[str, str] = {
+    "op5_license_diagonals": license.SCANNED_SQL,
     "op6_merkle": merkle.COMPARED_SQL,
     "op9_line_neighbourhoods": linededup.DEDUPLICATED_SQL,
 }
