@@ -6,10 +6,14 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newslake.llm import bpe, license, linededup, merkle, packing, pii, simhash, toxicity
+from newslake.llm import bpe, license, linededup, merkle, packing, permindex, pii, simhash, toxicity
 from newslake.llm.common import table
 
 
+def op1_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permindex.nearest(table(spark, sf_dir, "embeddings"), F.expr("vec_id % 20 = 0"))
+
+
 def held_out() -> Column:
     """The fold from which nothing is learnt."""
     fold = F.crc32(F.col("doc_id").cast("string")) % 4
@@ -59,6 +63,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_permutation_index": op1_permutation_index,
     "op2_toxicity_pu": op2_toxicity_pu,
     "op3_min_bin_slack": op3_min_bin_slack,
     "op5_license_diagonals": op5_license_diagonals,
