@@ -144,7 +144,10 @@ def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, list[bytes]]]:
             yield first, column.slice(first, end - first).cast(pa.binary()).to_pylist()
 
 
-_LINE_COLUMNS = "doc long, row_key long, line int, n int, hash binary"
+# Without nulls, no filter against them tells one use of the lines from another.
+_LINE_COLUMNS = (
+    "doc long not null, row_key long not null, line int not null, n int not null, hash binary not null"
+)
 _HALVES = ("half0", "half1", "half2", "half3")
 
 
@@ -192,9 +195,10 @@ def hashed_lines(docs: DataFrame) -> DataFrame:
 
 def neighbourhoods(lines: DataFrame, doc: str, row_key: str, wanted: str) -> DataFrame:
     """For rows with a text and some of its lines, ``wanted``: one row per key
-    of each such line, and one with its words. A wanted line has its number and
-    tells whether it shares its front and its rear half; the half that it
-    shares with another line is not where the two differ."""
+    of each such line, and one with its words. A wanted line has its number and,
+    as bits, what it needs: holes (``1`` and ``2``) and closed-up forms (``4``
+    and ``8``) where it shares its front or its rear half with another line, in
+    the other half, and itself (``16``)."""
 
     names = [doc, row_key, wanted]
 
@@ -208,15 +212,14 @@ def neighbourhoods(lines: DataFrame, doc: str, row_key: str, wanted: str) -> Dat
             docs, row_keys, wanted = map(batch.column, names)
             wanted = wanted.to_pylist()
             for at, texts in _texts(batch):
-                row, number, chosen, front, rear = [], [], [], [], []
+                row, number, chosen, needs = [], [], [], []
                 for i, text in enumerate(texts, at):
                     split = text.split(b"\n")
                     for told in wanted[i]:
                         row.append(i)
                         number.append(told["line"])
                         chosen.append(split[told["line"]])
-                        front.append(told["front"])
-                        rear.append(told["rear"])
+                        needs.append(told["needs"])
                 places = pa.RecordBatch.from_arrays(
                     [docs.take(pa.array(row, pa.int64())),
                      row_keys.take(pa.array(row, pa.int64())),
@@ -226,13 +229,14 @@ def neighbourhoods(lines: DataFrame, doc: str, row_key: str, wanted: str) -> Dat
                 found = Lines(b"\n".join(chosen))
                 n, start = found.words[: len(chosen)], found.first[: len(chosen)]
                 every = np.repeat(np.arange(len(n)), n)
-                at_word = np.arange(len(every))
-                place, m = at_word - start[every], n[every]
-                open_ = (np.array(front)[every] & (place >= (m - 1) // 2)) | (
-                    np.array(rear)[every] & (place <= m // 2)
-                )
-                every, at_word, m = every[open_], at_word[open_], m[open_]
+                at_word, needs = np.arange(len(every)), np.array(needs)
+                place, m, need = at_word - start[every], n[every], needs[every]
                 s, e = start[every], (start + n)[every]
+                holes = ((need & 1 > 0) & (place >= m // 2)) | ((need & 2 > 0) & (place < m // 2))
+                closed = ((need & 4 > 0) & (place >= (m - 1) // 2)) | (
+                    (need & 8 > 0) & (place <= (m - 1) // 2)
+                )
+                whole = np.flatnonzero(needs & 16)
 
                 def rows(role: int, of: np.ndarray, key: pa.Array, words: pa.Array | None = None):
                     of = pa.array(of)
@@ -243,16 +247,18 @@ def neighbourhoods(lines: DataFrame, doc: str, row_key: str, wanted: str) -> Dat
                         schema=schema,
                     )
 
-                yield rows(_HOLE, every, _binary(*(
-                    _key(found.without(w, s, e, at_word, False), m, at_word - s, 3) for w in (0, 1)
+                h, c = holes, closed
+                yield rows(_HOLE, every[h], _binary(*(
+                    _key(found.without(w, s[h], e[h], at_word[h], False), m[h], place[h], 3)
+                    for w in (0, 1)
                 )))
-                long = m > LEAST_WORDS
-                yield rows(_CLOSED, every[long], _binary(*(
-                    _key(found.without(w, s[long], e[long], at_word[long], True), m[long] - 1, 4)
+                yield rows(_CLOSED, every[c], _binary(*(
+                    _key(found.without(w, s[c], e[c], at_word[c], True), m[c] - 1, 4)
                     for w in (0, 1)
                 )))
-                yield rows(_WHOLE, np.arange(len(n)), _binary(*(
-                    _key(found.run(w, start, start + n), n, 4) for w in (0, 1)
+                yield rows(_WHOLE, whole, _binary(*(
+                    _key(found.run(w, start[whole], (start + n)[whole]), n[whole], 4)
+                    for w in (0, 1)
                 )))
                 words = pa.array([b" ".join(c.split()).decode() for c in chosen], pa.string())
                 yield rows(_WORDS, np.arange(len(n)), pa.nulls(len(n), pa.binary()), words)
@@ -340,14 +346,25 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     halves = distinct.select(
         "hash", F.posexplode(F.array(*(F.col("place")[h] for h in _HALVES))).alias("which", "half")
     ).where("half is not null")
-    shared = halves.groupBy("half").agg(F.count("*").alias("n")).where("n > 1").select("half")
-    alike = halves.join(shared, "half").groupBy("hash").agg(
-        F.max(F.col("which") % 2 == 0).alias("front"), F.max(F.col("which") % 2 == 1).alias("rear")
-    )
+    # Of the lines that share a half, those of the length that the key tells and
+    # those with one word more: which forms can meet depends on who is there.
+    exact, which = F.col("which") < 2, F.col("which")
+    shared = halves.groupBy("half").agg(
+        F.count(F.when(exact, 1)).alias("exact"), F.count(F.when(~exact, 1)).alias("longer")
+    ).where("exact > 1 or (exact > 0 and longer > 0)")
+    bits = lambda condition, bit: F.when(condition, bit).otherwise(0)
+    needs = F.when(
+        exact,
+        bits(F.col("exact") > 1, F.when(which == 0, 1).otherwise(2)).bitwiseOR(bits(F.col("longer") > 0, 16)),
+    ).otherwise(bits(F.col("exact") > 0, F.when(which == 2, 4).otherwise(8)))
+    alike = (
+        halves.join(shared, "half").select("hash", needs.alias("needs")).where("needs > 0")
+        .groupBy("hash").agg(F.bit_or("needs").alias("needs"))
+    )
     wanted = (
         distinct.select("hash", "place").join(alike, "hash")
         .groupBy("place.doc", "place.row_key")
-        .agg(F.collect_list(F.struct("place.line", "front", "rear")).alias("wanted"))
+        .agg(F.collect_list(F.struct("place.line", "needs")).alias("wanted"))
     )
     renamed = lambda df: df.select(*(F.col(c).alias(names[c]) for c in df.columns))
     on = [names["doc"], names["row_key"]]
@@ -357,21 +374,32 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     kept = distinct.groupBy("place.doc", "place.row_key").agg(
         F.collect_list("place.line").alias("kept")
     )
-    none = F.array().cast("array<int>")
-    split = F.split(text, "\n")
+    none, lines_of = F.array().cast("array<int>"), F.split(text, "\n")
     blank = F.filter(
-        F.transform(split, lambda x, i: F.when(~x.rlike(r"[^\x20\t-\r]"), i)), lambda i: i.isNotNull()
+        F.transform(lines_of, lambda x, i: F.when(~x.rlike(r"[^\x20\t-\r]"), i)),
+        lambda i: i.isNotNull(),
     )
     staying = F.array_except(F.coalesce(names["kept"], none), F.coalesce(names["near"], none))
-    lines_left = F.transform(F.array_sort(F.array_union(blank, staying)), lambda i: F.get(split, i))
     n_lines, n_kept = unused(docs, "n_lines"), unused(docs, "n_kept")
+    split, empty, stay = (F.col(unused(docs, f"_line_dedup_{c}")) for c in ("split", "empty", "stay"))
+    all_kept = F.size(stay) + F.size(empty) == F.size(split)
+    left = F.transform(F.array_sort(F.array_union(empty, stay)), lambda i: F.get(split, i))
+    shorter = F.when(F.col("text").isNull() | all_kept, F.col("text")).otherwise(F.array_join(left, "\n"))
+    column = lambda c: F.col(f"`{c}`")
     return (
         keyed.join(renamed(kept).hint("shuffle_hash"), on, "left")
         .join(renamed(near).hint("shuffle_hash"), on, "left")
         .select(
-            *(F.array_join(lines_left, "\n").alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns),
-            F.coalesce(F.size(split) - F.size(blank), F.lit(0)).cast("long").alias(n_lines),
-            F.size(staying).cast("long").alias(n_kept),
+            *map(column, docs.columns),
+            *(c.alias(name) for c, name in zip(
+                (lines_of, blank, staying),
+                (unused(docs, f"_line_dedup_{c}") for c in ("split", "empty", "stay")),
+            )),
+        )
+        .select(
+            *(shorter.alias(c) if c == "text" else column(c) for c in docs.columns),
+            F.coalesce(F.size(split) - F.size(empty), F.lit(0)).cast("long").alias(n_lines),
+            F.size(stay).cast("long").alias(n_kept),
         )
     )
 
