@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newslake.llm import bpe, license, linededup, merkle, packing, permindex, pii, simhash, toxicity
+from newslake.llm import bpe, license, linededup, merkle, packing, permindex, pii, simhash, toxicity, warc
 from newslake.llm.common import table
 
 
@@ -35,6 +35,10 @@ def op3_min_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), path, pattern)
 
 
+def op4_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.derived(warc.responses(table(spark, sf_dir, "pages")))
+
+
 def op5_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license.scanned(table(spark, sf_dir, "documents"))
 
@@ -66,6 +70,7 @@ QUERIES = {
     "op1_permutation_index": op1_permutation_index,
     "op2_toxicity_pu": op2_toxicity_pu,
     "op3_min_bin_slack": op3_min_bin_slack,
+    "op4_warc_derivatives": op4_warc_derivatives,
     "op5_license_diagonals": op5_license_diagonals,
     "op6_merkle": op6_merkle,
     "op7_simhash": op7_simhash,
@@ -74,6 +79,7 @@ QUERIES = {
     "op10_byte_bpe": op10_byte_bpe,
 }
 ORACLE: dict[str, str] = {
+    "op4_warc_derivatives": warc.DERIVED_SQL,
     "op5_license_diagonals": license.SCANNED_SQL,
     "op6_merkle": merkle.COMPARED_SQL,
     "op9_line_neighbourhoods": linededup.DEDUPLICATED_SQL,
