@@ -30,7 +30,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newslake.llm.common import once_per_worker, unused
@@ -279,9 +279,14 @@ def within_one(left: list[str], right: list[str]) -> bool:
     return left[len(left) - rest :] == right[len(right) - rest :]
 
 
-@F.pandas_udf("boolean")
-def _verified(left: pd.Series, right: pd.Series) -> pd.Series:
-    return pd.Series([within_one(a.split(" "), b.split(" ")) for a, b in zip(left, right)], dtype=bool)
+def _verified(left: str, right: str) -> Column:
+    @F.pandas_udf("boolean")
+    def verified(left: pd.Series, right: pd.Series) -> pd.Series:
+        return pd.Series(
+            [within_one(a.split(" "), b.split(" ")) for a, b in zip(left, right)], dtype=bool
+        )
+
+    return verified(left, right)
 
 
 def _near(neighbours: DataFrame) -> DataFrame:
