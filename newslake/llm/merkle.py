@@ -57,11 +57,13 @@ def _pieces(fingerprint: Column) -> Column:
 
 def likeness(left: Column, right: Column) -> Column:
     """From 0 to 1: the shared share of two fingerprints' distinct pieces, 1 if
-    their roots are equal, 0 if neither has a piece but the roots differ."""
+    their roots are equal, 0 if neither has a piece but the roots differ, null
+    for null."""
     a, b = _pieces(left), _pieces(right)
     total = F.size(a) + F.size(b)
     shared = F.when(total > 0, 2.0 * F.size(F.array_intersect(a, b)) / total).otherwise(0.0)
-    return F.when(root(left) == root(right), 1.0).otherwise(shared)
+    known = left.isNotNull() & right.isNotNull()
+    return F.when(known, F.when(root(left) == root(right), 1.0).otherwise(shared))
 
 
 def edited_places(old: Column, new: Column) -> Column:

@@ -83,7 +83,7 @@ def fit(
     prior: float,
     steps: int = 400,
     rate: float = 0.05,
-    decay: float = 1e-4,
+    decay: float = 5e-4,
     backward: float = 1.0,
 ) -> tuple[np.ndarray, float]:
     """Weights and bias that make the non-negative risk small, by Adam steps."""
