@@ -120,38 +120,34 @@ def spans(votes: DataFrame) -> DataFrame:
     last_word, score``; ``score`` is the share of the template's words in it.
 
     Diagonals of a document and template, of which there are no more than the
-    document has words, are merged if they lie at most ``GAP`` apart. A base
-    phrase counts only if one diagonal has it whole.
+    document has words, are merged if they lie at most ``GAP`` apart. Those of
+    base phrases stay alone, and count only if they have the phrase whole.
     """
-    key = ["doc_key", "row_key", "template"]
-    whole = F.expr("mask = shiftleft(1L, n_grams) - 1")
+    key = ["doc_key", "row_key", "template", "label", "base", "n_grams"]
     covered = F.expr("mask" + "".join(f" | shiftleft(mask, {j})" for j in range(1, K)))
     # The lowest and the highest template place that agree.
     low, high = F.expr("bit_count((mask & -mask) - 1)"), F.length(F.bin("mask")) - 1
-    placed = votes.withColumns({
-        "covered": covered,
-        "start": F.col("diagonal") + low,
-        "end": F.col("diagonal") + high + K - 1,
-    })
-    phrases = placed.where("base").where(whole).select(
-        "doc_key", "row_key", "label", "base",
-        F.col("diagonal").alias("first_word"),
-        (F.col("diagonal") + F.col("n_grams") + K - 2).alias("last_word"),
-        F.lit(1.0).alias("score"),
-    )
-    by = Window.partitionBy(*key).orderBy("diagonal")
-    apart = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(by) > GAP, F.lit(True))
+    by = Window.partitionBy("doc_key", "row_key", "template").orderBy("diagonal")
+    near = F.col("diagonal") - F.lag("diagonal").over(by) <= GAP
     merged = (
-        placed.where("not base")
-        .withColumn("apart", apart.cast("int"))
-        .withColumn("chain", F.sum("apart").over(by))
-        .groupBy(*key, "label", "base", "n_grams", "chain")
-        .agg(F.min("start").alias("first_word"), F.max("end").alias("last_word"), F.bit_or("covered").alias("covered"))
+        votes.withColumns({
+            "covered": covered,
+            "start": F.col("diagonal") + low,
+            "end": F.col("diagonal") + high + K - 1,
+            "alone": F.when(F.col("base") | near.isNull() | ~near, 1).otherwise(0),
+        })
+        .withColumn("chain", F.sum("alone").over(by))
+        .groupBy(*key, "chain")
+        .agg(
+            F.min("start").alias("first_word"), F.max("end").alias("last_word"), F.bit_or("covered").alias("covered")
+        )
         .withColumn("score", F.expr(f"bit_count(covered) / (n_grams + {K} - 1)").cast("double"))
-        .where((F.col("score") >= SHARE) & (F.expr(f"last_word - first_word < n_grams + {K} - 1 + {GAP}")))
-        .select("doc_key", "row_key", "label", "base", "first_word", "last_word", "score")
     )
-    return phrases.union(merged)
+    long = F.col("last_word") - F.col("first_word") >= F.col("n_grams") + K - 1 + GAP
+    verified = F.when(F.col("base"), F.col("score") == 1).otherwise((F.col("score") >= SHARE) & ~long)
+    return merged.where(verified).select(
+        "doc_key", "row_key", "label", "base", "first_word", "last_word", "score"
+    )
 
 
 def scanned(
