@@ -7,7 +7,10 @@ question; a final ranking picks the best of those. A question set of at most
 of a single scan. A larger one is cut, like the vectors, into blocks of bounded
 size that meet in a grouped job; the result is the same.
 
-Scores are rounded to ``SCORE_DIGITS``; equal scores rank by id.
+Scores that are equal to ``RANK_DIGITS`` digits, the noise of summing in another
+order, rank by id; what is shown is rounded to ``SCORE_DIGITS``. Vectors and
+questions that hold a null or a number that is not finite take no part, see
+``unusable``; vectors of several lengths are an error.
 """
 
 from __future__ import annotations
@@ -28,18 +31,25 @@ from pyspark.sql import types as T
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 TOP_K = 5
+RANK_DIGITS = 12
 SCORE_DIGITS = 6
 BROADCAST_NUMBERS = 4 * 1024 * 1024
-VECTORS_PER_BLOCK = 65536
+NUMBERS_PER_BLOCK = 16 * 1024 * 1024
+BROADCAST_HITS = 100_000
 _SCORED_AT_ONCE = 256
 
 
 def _unit_rows(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
-    """List column as a matrix of unit rows; an all-zero row stays zero."""
+    """List column as a matrix of unit rows; an all-zero row stays zero, and
+    one with a number that is not finite is NaN throughout."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
+    sizes = pc.min_max(pc.list_value_length(column)).as_py()
+    if sizes["min"] != sizes["max"]:
+        raise ValueError(f"vectors of {sizes['min']} and of {sizes['max']} numbers")
     flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     matrix = flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 0)
+    matrix[~np.isfinite(matrix).all(axis=1)] = np.nan
     norms = np.sqrt(np.einsum("ij,ij->i", matrix, matrix))
     return matrix / np.where(norms == 0, 1.0, norms)[:, None]
 
@@ -53,9 +63,15 @@ class _Best:
         self.floor = np.full(len(questions), -np.inf)
 
     def add(self, vectors: np.ndarray, ids: pa.Array) -> None:
+        usable = np.isfinite(vectors).all(axis=1)
+        vectors, ids = vectors[usable], ids.filter(pa.array(usable))
         n, k = len(vectors), self.k
-        if not n:
+        if not n or not len(self.questions):
             return
+        if vectors.shape[1] != self.questions.shape[1]:
+            raise ValueError(
+                f"vectors of {vectors.shape[1]} numbers, questions of {self.questions.shape[1]}"
+            )
         # In id order the first of equal scores are the ones to keep, so a
         # question takes at most k rows of a batch, whatever the copies in it.
         order = pc.sort_indices(ids)
@@ -63,7 +79,7 @@ class _Best:
         for at in range(0, len(self.questions), _SCORED_AT_ONCE):
             part = slice(at, at + _SCORED_AT_ONCE)
             # Adding zero turns -0.0 into 0.0.
-            scores = np.round(self.questions[part] @ vectors.T, SCORE_DIGITS) + 0.0
+            scores = np.round(self.questions[part] @ vectors.T, RANK_DIGITS) + 0.0
             if n > k:
                 kth = np.partition(scores, n - k, axis=1)[:, n - k]
             else:
@@ -77,7 +93,7 @@ class _Best:
     def _merge(self, q: int, scores: np.ndarray, found: np.ndarray, ids: pa.Array) -> None:
         found = found[scores[found] >= self.floor[q]]
         new = zip((-scores[found]).tolist(), ids.take(pa.array(found)).to_pylist())
-        best = self.pairs[q] = heapq.nsmallest(self.k, [*self.pairs[q], *new])
+        best = self.pairs[q] = heapq.nsmallest(self.k, {*self.pairs[q], *new})
         if len(best) == self.k:
             self.floor[q] = -best[-1][0]
 
@@ -93,7 +109,8 @@ class _Best:
 
 def _ranked(candidates: DataFrame, k: int) -> DataFrame:
     order = Window.partitionBy("q_id").orderBy(F.desc("score"), "id")
-    return candidates.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    once = candidates.groupBy("q_id", "id").agg(F.max("score").alias("score"))
+    return once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
 def _schema(vectors: DataFrame, questions: DataFrame) -> T.StructType:
@@ -123,7 +140,8 @@ def _scan_with_all(vectors: DataFrame, table: pa.Table, k: int, schema: T.Struct
 def _scan_in_blocks(
     vectors: DataFrame, questions: DataFrame, k: int, schema: T.StructType, q_blocks: int
 ) -> DataFrame:
-    v_blocks = max(1, -(-vectors.count() // VECTORS_PER_BLOCK))
+    stored = vectors.agg(F.count("*").alias("rows"), F.max(F.size("values")).alias("dims")).first()
+    v_blocks = max(1, -(-stored.rows * max(1, stored.dims or 1) // NUMBERS_PER_BLOCK))
 
     def spread(df: DataFrame, key: str, own: str, n_own: int, other: str, n_other: int):
         return df.withColumn(own, F.pmod(F.xxhash64(key), F.lit(n_own))).withColumn(
@@ -164,9 +182,26 @@ def nearest(
         candidates = _scan_with_all(v, q.toArrow(), k, schema)
     else:
         candidates = _scan_in_blocks(v, q, k, schema, -(-asked.rows // per_block))
-    return _ranked(candidates, k).select("q_id", "rank", "id", "score")
+    shown = F.round("score", SCORE_DIGITS).alias("score")
+    return _ranked(candidates, k).select("q_id", "rank", "id", shown)
 
 
-def with_metadata(hits: DataFrame, vectors: DataFrame) -> DataFrame:
-    """Hits with the stored metadata of their articles."""
-    return hits.join(vectors.select("id", "metadata"), "id")
+def unusable(vectors: DataFrame) -> DataFrame:
+    """Ids of the vectors that no search finds: null, or with a number in them
+    that is null or not finite."""
+    finite = F.forall(
+        "values", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
+    )
+    return vectors.where(F.col("values").isNull() | ~finite).select("id")
+
+
+def with_metadata(hits: DataFrame, vectors: DataFrame, broadcast_hits: int = BROADCAST_HITS) -> DataFrame:
+    """Hits with the stored metadata of their articles, one row per hit.
+
+    The hits are counted; up to ``broadcast_hits`` they are sent to every task
+    of one scan of the vector table, which then isn't shuffled.
+    """
+    few = hits.persist()
+    sent = F.broadcast(few) if few.count() <= broadcast_hits else few
+    found = vectors.select("id", "metadata").join(sent, "id")
+    return found.dropDuplicates(["q_id", "rank"]).select(*hits.columns, "metadata")

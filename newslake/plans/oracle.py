@@ -110,6 +110,7 @@ def _report(*parts: str) -> str:
 
 
 _SLUG = "translate(substr(title, 1, 50), '/ :'',?!', '-_-')"
+_ARRIVED = "coalesce(try_cast(published_at as timestamp), timestamp '2024-01-01 00:00:00')"
 _ISO = """case when published_at is null then '' else
   strftime(published_at, '%Y-%m-%dT%H:%M:%S')
   || case when microsecond(published_at) % 1000000 = 0 then '' else strftime(published_at, '.%f') end
@@ -146,7 +147,7 @@ dots as (
   join vectors v on v.place = w.place and v.id not in (select 'q' || q_id from questions)
   group by 1, 2),
 pairs as (
-  select q.q_id, s.url as id, coalesce(round(dot / (nq.norm * nv.norm), 6), 0) as score
+  select q.q_id, s.url as id, coalesce(round(dot / (nq.norm * nv.norm), 12), 0) as score
   from questions q cross join silver s
   left join dots d on d.q_id = q.q_id and d.id = s.url
   left join norms nq on nq.id = 'q' || q.q_id
@@ -190,8 +191,7 @@ select count(*) as bronze_rows,
 from articles""",
     "stg_news_silver": f"{_WITH} select * from staged",
     "stg_news_sources": f"""{_WITH}
-select distinct source, count(*) as total_articles from silver
-where source is not null group by source""",
+select source, count(*) as total_articles from silver where source is not null group by source""",
     "mart_articles_by_source": f"""{_WITH}
 select source, count(*) as total_articles, round(avg(content_length), 2) as avg_content_length,
        min(published_at) as earliest_article, max(published_at) as latest_article,
@@ -244,25 +244,22 @@ from articles""",
 select 'not json' as _raw, count(*) as messages from messages where bad having count(*) > 0""",
     "flatten_api": f"""{_WITH}
 select title, description, content, url, source, published_at, author from articles
-where (ingest_seq // 20) % 5 <> 4""",
+where (ingest_seq // 50) % 5 <> 4""",
     "existing_urls": f"""{_WITH}
 select distinct url from articles where title is not null and url is not null""",
     "object_key": f"""{_WITH}
 select ingest_seq,
-       'bronze/news/' || strftime(try_cast(published_at as timestamp), '%Y/%m/%d/%H%M%S')
-         || '_' || {_SLUG} || '.json' as object_key,
+       'bronze/news/' || strftime({_ARRIVED}, '%Y/%m/%d/%H%M%S') || '_' || {_SLUG} || '.json' as object_key,
        substr(url, 1, 500) as article_url, substr(title, 1, 60) as preview
 from articles
-where title is not null and url is not null and try_cast(published_at as timestamp) is not null""",
+where title is not null and url is not null""",
     "landed_articles": f"""{_WITH}
 select title, description, content, url, source, published_at, author,
        substr(url, 1, 500) as article_url,
-       'bronze/news/' || strftime(
-         coalesce(try_cast(published_at as timestamp), timestamp '2024-01-01 00:00:00'),
-         '%Y/%m/%d/%H%M%S') || '_' || {_SLUG} || '.json' as object_key
+       'bronze/news/' || strftime({_ARRIVED}, '%Y/%m/%d/%H%M%S') || '_' || {_SLUG} || '.json' as object_key
 from articles where title is not null and url is not null""",
     "stream_bronze": f"{_WITH} {_decoded()}",
-    "stream_produce": f"{_WITH} select distinct url from articles where (ingest_seq // 20) % 5 <> 4",
+    "stream_produce": f"{_WITH} select distinct url from articles where (ingest_seq // 50) % 5 <> 4",
     "stream_land": f"""{_WITH}
 select distinct url, title, substr(url, 1, 500) as article_url from articles
 where title is not null and url is not null""",
@@ -274,8 +271,7 @@ select date_trunc('day', ts) as window_start, date_trunc('day', ts) + interval 1
 from events group by 1, 2
 having date_trunc('day', ts) + interval 1 day <= (select max(ts) - interval 1 day from events)""",
     "late_dedup": f"""{_WITH}
-select distinct url from articles
-where title is not null and url is not null and try_cast(published_at as timestamp) is not null""",
+select distinct url from articles where title is not null and url is not null""",
     "embedding_text": f"""{_WITH}
 select url, {_EMBEDDING_TEXT} as text from silver where url <> '' and title <> ''""",
     "vector_metadata": f"""{_WITH}
@@ -297,10 +293,10 @@ with means as (
   from embeddings group by label),
 scored as (
   select q_id, vec_id as id,
-         round(list_cosine_similarity(mean, embedding::double[]), 6) + 0.0 as score
+         list_cosine_similarity(mean, embedding::double[]) as score
   from means, embeddings)
 select q_id, cast(row_number() over (partition by q_id order by score desc, id) as int) as rank,
-       id, score
+       id, round(score, 6) + 0.0 as score
 from scored qualify rank <= 10""",
     "rag_context": f"{_WITH}, {_VECTORS}, {_HITS}, {_CONTEXTS} select q_id, context from contexts",
     "rag_prompt": f"""{_WITH}, {_VECTORS}, {_HITS}, {_CONTEXTS}

@@ -38,7 +38,7 @@ def _first_load(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _later_load(spark: SparkSession, sf: str) -> DataFrame:
-    return articles(spark, sf).where("lang <> 'en'")
+    return articles(spark, sf).where("not (lang <=> 'en')")
 
 
 def _staged(spark: SparkSession, sf: str) -> DataFrame:
@@ -189,13 +189,14 @@ def rejected_messages(spark, sf):
 
 
 def _responses(rows: DataFrame) -> DataFrame:
-    """Articles packed into responses of twenty; every fifth is an error."""
+    """Articles packed into responses of fifty, more than were asked for; every
+    fifth is an error."""
     entry = F.struct(
         "ingest_seq", "title", "description", "content", "url",
         F.when(F.col("source").isNotNull(), F.struct(F.col("source").alias("name"))).alias("source"),
         F.col("published_at").alias("publishedAt"), "author",
     )
-    page = F.floor(F.col("ingest_seq") / headlines.PAGE_SIZE)
+    page = F.floor(F.col("ingest_seq") / 50)
     packed = rows.groupBy(page.alias("page")).agg(F.collect_list(entry).alias("articles"))
     status = F.when(F.col("page") % 5 == 4, "error").otherwise("ok")
     return packed.select(
@@ -216,12 +217,18 @@ def existing_urls(spark, sf):
     return landing.stored_urls(rows.select(tag.alias("article_url"), encode(rows).alias("body")))
 
 
+def _arrived():
+    """The published date stands for the arrival; undated articles have one too."""
+    return F.coalesce(
+        F.try_to_timestamp("published_at"), F.lit("2024-01-01 00:00:00").cast("timestamp")
+    )
+
+
 def object_key(spark, sf):
-    arrived = F.try_to_timestamp("published_at")
-    rows = usable(articles(spark, sf)).where(arrived.isNotNull())
+    rows = usable(articles(spark, sf))
     return rows.select(
         "ingest_seq",
-        text.object_key(F.col("title"), arrived).alias("object_key"),
+        text.object_key(F.col("title"), _arrived()).alias("object_key"),
         text.url_tag(F.col("url")).alias("article_url"),
         text.preview(F.col("title")).alias("preview"),
     )
@@ -230,10 +237,7 @@ def object_key(spark, sf):
 def landed_articles(spark, sf):
     """Articles written to the landing area and read back."""
     path = shared_dir(spark, "landed")
-    arrived = F.coalesce(
-        F.try_to_timestamp("published_at"), F.lit("2024-01-01 00:00:00").cast("timestamp")
-    )
-    landing.land(landing.landing_rows(articles(spark, sf), arrived), path)
+    landing.land(landing.landing_rows(articles(spark, sf), _arrived()), path)
     return landing.read_landed(spark, path)
 
 
@@ -316,12 +320,10 @@ def late_windows(spark, sf):
 
 
 def late_dedup(spark, sf):
-    """Distinct URLs of dated articles, with bounded state."""
+    """Distinct URLs of articles, with bounded state."""
     root = shared_dir(spark, "repeats")
-    dated = usable(articles(spark, sf)).select(
-        "url", F.try_to_timestamp("published_at").alias("published_at")
-    )
-    dated.where("published_at is not null").write.parquet(f"{root}/bronze")
+    dated = usable(articles(spark, sf)).select("url", _arrived().alias("published_at"))
+    dated.write.parquet(f"{root}/bronze")
     stream = spark.readStream.schema("url string, published_at timestamp").parquet(f"{root}/bronze")
     kept = late.without_repeats(stream, "url", "published_at", "40 days").select("url")
     topics.run(
@@ -380,12 +382,19 @@ def stream_vectors(spark, sf):
 
 
 def topk_similar(spark, sf):
-    """Nearest vectors to the mean vector of each label."""
+    """Nearest vectors to the mean vector of each label, among vectors of which
+    some are null, zero, or hold something that is no number."""
     rows = table(spark, sf, "embeddings")
     mean = Summarizer.mean(array_to_vector(F.col("embedding").cast("array<double>")))
     topics_ = rows.groupBy(F.col("label").alias("q_id")).agg(vector_to_array(mean).alias("values"))
     stored = rows.select(F.col("vec_id").alias("id"), F.col("embedding").alias("values"))
-    return search.nearest(stored, topics_, k=10)
+    broken = (
+        F.when(F.col("vec_id") % 4 == 0, F.transform("embedding", lambda x: x * float("nan")))
+        .when(F.col("vec_id") % 4 == 1, F.transform("embedding", lambda x: x * 0))
+        .when(F.col("vec_id") % 4 == 2, F.transform("embedding", lambda x, i: F.when(i > 0, x)))
+    )
+    odd = rows.select((-1 - F.col("vec_id")).alias("id"), broken.cast("array<float>").alias("values"))
+    return search.nearest(stored.union(odd), topics_, k=10)
 
 
 def _questions(spark):
@@ -397,8 +406,7 @@ def _hits(spark, sf):
     vectors.store_new_vectors(_silver(spark, sf), path)
     stored = tables.read_inserted(spark, path)
     found = search.nearest(stored, vectors.question_vectors(_questions(spark)))
-    # Three questions times five hits.
-    return search.with_metadata(F.broadcast(found), stored)
+    return search.with_metadata(found, stored)
 
 
 def rag_context(spark, sf):

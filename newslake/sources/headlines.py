@@ -7,27 +7,26 @@ from pyspark.sql import functions as F
 
 from newslake.schemas import HEADLINES
 
+# What the service is asked for.
 LANGUAGE = "en"
 CATEGORY = "technology"
 PAGE_SIZE = 20
 
 
 def fetched(
-    responses: DataFrame,
-    language: str = LANGUAGE,
-    category: str = CATEGORY,
-    page_size: int = PAGE_SIZE,
+    responses: DataFrame, language: str = LANGUAGE, category: str = CATEGORY
 ) -> DataFrame:
     """Articles of the successful responses to the wanted request.
 
     ``responses`` has the request's ``language`` and ``category`` and the JSON
-    ``body``. A page never holds more than ``page_size`` articles; a response
-    with another status than ``ok`` gives none.
+    ``body``. A response gives all of its articles, however many the service
+    sent; one with another status than ``ok`` gives none.
     """
     wanted = responses.where((F.col("language") == language) & (F.col("category") == category))
     parsed = wanted.withColumn("response", F.from_json("body", HEADLINES))
-    page = F.slice("response.articles", 1, page_size)
-    return parsed.where("response.status = 'ok'").select(F.explode(page).alias("article"))
+    return parsed.where("response.status = 'ok'").select(
+        F.explode("response.articles").alias("article")
+    )
 
 
 def flattened(fetched_articles: DataFrame) -> DataFrame:

@@ -69,12 +69,12 @@ def stored_urls(landed: DataFrame) -> DataFrame:
 
     The tag holds the first characters only; a full-length tag may be cut, so
     there the body decides, and so it does where there is no tag. Rows that
-    give no URL are skipped.
+    give no whole URL are skipped: a cut tag is none.
     """
     tag, in_body = F.col("article_url"), F.get_json_object("body", "$.url")
     cut = F.length(tag) >= URL_TAG_CHARS
     whole = F.when((tag != "") & ~cut, tag)
-    url = F.coalesce(whole, F.when(in_body != "", in_body), F.when(tag != "", tag))
+    url = F.coalesce(whole, F.when(in_body != "", in_body))
     return landed.select(url.alias("url")).where("url is not null").distinct()
 
 

@@ -60,7 +60,7 @@ def test_headlines(spark):
     assert got == {"u": ("t", "S", "2024"), "v": ("t", None, "2024"), "w": (None, None, None)}
     page = spark.createDataFrame([response("ok", many)], df.schema)
     assert [r.url for r in headlines.flattened(headlines.fetched(page)).collect()] == [
-        str(i) for i in range(20)
+        str(i) for i in range(25)
     ]
 
 

@@ -42,7 +42,7 @@ def sample(spark):
 @pytest.mark.parametrize("bound", [100, 5, 1])
 @pytest.mark.parametrize("kind", ["long", "string"])
 def test_both_ways_find_the_same(spark, sample, bound, kind, monkeypatch):
-    monkeypatch.setattr(search, "VECTORS_PER_BLOCK", 64)
+    monkeypatch.setattr(search, "NUMBERS_PER_BLOCK", 512)
     matrix, asked = sample
     ids = [i if kind == "long" else f"id{i}" for i in range(len(matrix))]
     q_ids = list(range(len(asked)))
