@@ -94,6 +94,7 @@ def store_new_vectors(
 
 
 def vector_count(spark: SparkSession, path: str) -> int:
-    """Vectors in an insert-only table; none if it does not exist."""
-    stored = tables.scan_if_exists(spark, path)
+    """Vectors in a stored table of either layout; none if it does not exist."""
+    now = tables.current(spark, path)
+    stored = tables.read_part(spark, path, now) if now else tables.scan_if_exists(spark, path)
     return 0 if stored is None else stored.count()

@@ -19,9 +19,15 @@ def load_silver(
 
 
 def load_gold(silver: DataFrame, path: str) -> int:
-    """Recompute the aggregates and merge them into the stored ones."""
+    """Recompute the aggregates and merge them into the stored ones.
+
+    If the rows come with the tag of their load, ``batch``, the micro-batches
+    among them are noted as held, and a stream that works on the same tables
+    does not add them a second time.
+    """
+    covered = tables.last_batches(silver) if "batch" in silver.columns else None
     parts = {name: (rollup.states(silver), rollup.keys) for name, rollup in ROLLUPS.items()}
-    return tables.upsert_parts(parts, path)
+    return tables.upsert_parts(parts, path, covered=covered)
 
 
 def read_gold(spark: SparkSession, path: str, name: str) -> DataFrame:

@@ -126,9 +126,12 @@ select id, word from (
   select id, unnest(regexp_split_to_array(lower(body), '[\s\p{Z}\x1c-\x1f\x85]+')) as word
   from texts)
 where word <> ''"""
-_VECTORS = f"""
+
+
+def _vectors(rows: str) -> str:
+    return f"""
 texts as (
-  select url as id, {_EMBEDDING_TEXT} as body from silver where url <> '' and title <> ''
+  select url as id, {_EMBEDDING_TEXT} as body from {rows} where url <> '' and title <> ''
   union all
   select 'q' || q_id, question
   from (values {", ".join(f"({i}, {_text(q)})" for i, q in QUESTIONS)}) q(q_id, question)),
@@ -138,6 +141,15 @@ counted as (
 vectors as (
   select id, place, cast(n / sqrt(sum(n * n) over (partition by id)) as float) as weight
   from counted)"""
+
+
+def _weights(rows: str) -> str:
+    return f"""
+select id, source, cast(place as int) as place, weight
+from vectors join {rows} on url = id where id not like 'q_'"""
+
+
+_VECTORS = _vectors("silver")
 _HITS = f"""
 norms as (select id, sqrt(sum(weight::double * weight::double)) as norm from vectors group by id),
 questions(q_id, question) as (values {", ".join(f"({i}, {_text(q)})" for i, q in QUESTIONS)}),
@@ -259,12 +271,19 @@ select title, description, content, url, source, published_at, author,
        'bronze/news/' || strftime({_ARRIVED}, '%Y/%m/%d/%H%M%S') || '_' || {_SLUG} || '.json' as object_key
 from articles where title is not null and url is not null""",
     "stream_bronze": f"{_WITH} {_decoded()}",
-    "stream_produce": f"{_WITH} select distinct url from articles where (ingest_seq // 50) % 5 <> 4",
+    "stream_produce": f"""{_WITH}, ok as (select * from articles where (ingest_seq // 50) % 5 <> 4)
+select distinct url, true as whole from ok where url is not null
+union all
+select url, true from ok where url is null
+union all
+select url, true from ok where url is null""",
     "stream_land": f"""{_WITH}
-select distinct url, title, substr(url, 1, 500) as article_url from articles
+select distinct url, true as whole, substr(url, 1, 500) as article_url from articles
 where title is not null and url is not null""",
     "stream_silver": f"{_WITH} select * from in_loads",
     "stream_gold_by_source": f"{_WITH} {_by_source('in_loads')}",
+    "stream_gold_by_date": f"{_WITH} {_by_date('in_loads')}",
+    "stream_gold_by_author": f"{_WITH} {_by_author('in_loads')}",
     "late_windows": """
 select date_trunc('day', ts) as window_start, date_trunc('day', ts) + interval 1 day as window_end,
        count(*) as total_articles
@@ -280,13 +299,16 @@ from silver where url <> '' and title <> ''""",
     "embed_hashed": f"""{_WITH}, {_VECTORS}
 select id, cast(place as int) as place, weight from vectors
 where id not like 'q_'""",
-    "vector_upsert": f"""{_WITH}
-select url as id, source, cast(256 as int) as dims from silver where url <> '' and title <> ''
-union all
-select url, source, 256 from english
-where url <> '' and title <> '' and url not in (select url from silver where title <> '')""",
-    "stream_vectors": f"""{_WITH}
-select url as id, source, cast(256 as int) as dims from in_loads where url <> '' and title <> ''""",
+    "vector_upsert": f"""{_WITH}, kept as (
+  select * from silver where url <> '' and title <> ''
+  union all
+  select * from english
+  where url <> '' and title <> '' and url not in (select url from silver where title <> '')),
+{_vectors("kept")} {_weights("kept")}""",
+    "vector_counts": f"""{_WITH}
+select layout, count(*) as vectors from silver, (values ('replaced'), ('inserted')) l(layout)
+where url <> '' and title <> '' group by layout""",
+    "stream_vectors": f"{_WITH}, {_vectors('in_loads')} {_weights('in_loads')}",
     "topk_similar": f"""
 with means as (
   select label as q_id, [{", ".join(f"avg(embedding[{i + 1}]::double)" for i in _DIMS)}] as mean

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +17,7 @@ from newslake.operators import answers, gold, search, vectors
 from newslake.operators.merge import unmatched
 from newslake.operators.refine import refine, usable
 from newslake.plans import medallion, models
+from newslake.schemas import ARTICLE_FIELDS
 from newslake.session import shared_dir
 from newslake.sources import headlines, landing, tables, topics
 from newslake.streaming import embedding, incremental, ingest, late, producer
@@ -69,7 +73,7 @@ def gold_total_check(spark, sf):
     root = shared_dir(spark, "medallion")
     bronze = articles(spark, sf)
     medallion.load_silver(bronze, f"{root}/silver", ARRIVAL)
-    medallion.load_gold(tables.read_inserted(spark, f"{root}/silver"), f"{root}/gold")
+    medallion.load_gold(tables.read_inserted(spark, f"{root}/silver", True), f"{root}/gold")
     return medallion.check_gold(spark, f"{root}/silver", f"{root}/gold")
 
 
@@ -258,8 +262,17 @@ def stream_bronze(spark, sf):
     return tables.scan(spark, f"{root}/table").drop("ingested_at")
 
 
+def _whole(spark, sf, sent):
+    """Messages beside the articles: which of a URL's copies stays is open, but
+    it has to be one of them, word for word."""
+    known = articles(spark, sf).select(*ARTICLE_FIELDS).distinct().withColumn("whole", F.lit(True))
+    same = reduce(and_, (sent[c].eqNullSafe(known[c]) for c in ARTICLE_FIELDS))
+    return sent.join(known, same, "left").select(sent.url, F.coalesce("whole", F.lit(False)).alias("whole"))
+
+
 def stream_produce(spark, sf):
-    """Two deliveries of the same responses; each URL is sent once."""
+    """Two deliveries of the same responses; each URL is sent once, and every
+    article without one."""
     root = shared_dir(spark, "producer")
     for _ in range(2):
         _responses(articles(spark, sf)).write.mode("append").json(f"{root}/responses")
@@ -269,8 +282,8 @@ def stream_produce(spark, sf):
                 producer.to_files(f"{root}/topic"), f"{root}/seen", f"{root}/checkpoint",
             )
         )
-    sent = spark.read.option("recursiveFileLookup", "true").text(f"{root}/topic")
-    return decode(sent).select("url")
+    sent = decode(spark.read.option("recursiveFileLookup", "true").text(f"{root}/topic"))
+    return _whole(spark, sf, sent)
 
 
 def stream_land(spark, sf):
@@ -280,7 +293,8 @@ def stream_land(spark, sf):
         topics.publish_files(load(spark, sf), f"{root}/topic")
         stream = topics.read_message_files(spark, f"{root}/topic")
         topics.run(lander(stream, f"{root}/landed", f"{root}/seen", f"{root}/checkpoint"))
-    return landing.read_landed(spark, f"{root}/landed").select("url", "title", "article_url")
+    landed = landing.read_landed(spark, f"{root}/landed")
+    return _whole(spark, sf, landed).join(landed.select("url", "article_url"), "url")
 
 
 def _incremental(spark, sf):
@@ -304,6 +318,14 @@ def stream_gold_by_source(spark, sf):
     return medallion.read_gold(spark, f"{_incremental(spark, sf)}/gold", "by_source")
 
 
+def stream_gold_by_date(spark, sf):
+    return medallion.read_gold(spark, f"{_incremental(spark, sf)}/gold", "by_date")
+
+
+def stream_gold_by_author(spark, sf):
+    return medallion.read_gold(spark, f"{_incremental(spark, sf)}/gold", "by_author")
+
+
 def late_windows(spark, sf):
     """Daily counts of events once their day is closed."""
     root = shared_dir(spark, "windows")
@@ -356,29 +378,45 @@ def embed_hashed(spark, sf):
     return places.where("weight <> 0")
 
 
+def _weights(stored):
+    """Non-zero places of stored vectors, with the source they are stored with."""
+    places = stored.select(
+        "id", F.col("metadata.source").alias("source"), F.posexplode("values").alias("place", "weight")
+    )
+    return places.where("weight <> 0")
+
+
 def vector_upsert(spark, sf):
-    """Vectors of a first load, then of all; ids and sources stored."""
+    """Vectors of a first load, then of all."""
     path = shared_dir(spark, "vectors")
     first = refine(_first_load(spark, sf), ARRIVAL, True)
     vectors.store_vectors(first, path)
     vectors.store_vectors(_silver(spark, sf), path)
-    stored = tables.read_snapshot(spark, path)
-    return stored.select("id", F.col("metadata.source").alias("source"), F.size("values").alias("dims"))
+    return _weights(tables.read_snapshot(spark, path))
+
+
+def vector_counts(spark, sf):
+    """How many vectors each of the two layouts holds."""
+    root = shared_dir(spark, "vectors")
+    vectors.store_vectors(_silver(spark, sf), f"{root}/replaced")
+    vectors.store_new_vectors(_silver(spark, sf), f"{root}/inserted")
+    counts = [(n, vectors.vector_count(spark, f"{root}/{n}")) for n in ("replaced", "inserted")]
+    return spark.createDataFrame(counts, "layout string, vectors long")
 
 
 def stream_vectors(spark, sf):
-    """Vectors added after each load of Silver."""
+    """Vectors added after each load of Silver; the first load is written again
+    in the middle, as after a crash."""
     root = shared_dir(spark, "vectors")
-    for load in (_first_load(spark, sf), articles(spark, sf)):
-        tables.insert_new(refine(load, ARRIVAL, True), f"{root}/silver", ["url"])
-        added = spark.readStream.schema(tables.scan(spark, f"{root}/silver").schema)
+    loads = (("first", _first_load), ("first", _first_load), ("later", articles))
+    for name, load in loads:
+        tables.insert_new(refine(load(spark, sf), ARRIVAL, True), f"{root}/silver", ["url"], name)
         topics.run(
             embedding.vector_writer(
-                added.parquet(f"{root}/silver"), f"{root}/vectors", f"{root}/checkpoint"
+                spark, f"{root}/silver", f"{root}/vectors", f"{root}/checkpoint"
             )
         )
-    stored = tables.scan(spark, f"{root}/vectors")
-    return stored.select("id", F.col("metadata.source").alias("source"), F.size("values").alias("dims"))
+    return _weights(tables.scan(spark, f"{root}/vectors"))
 
 
 def topk_similar(spark, sf):
@@ -436,6 +474,7 @@ QUERIES = {
         upsert_insert_only, upsert_update_insert, upsert_null_key, anti_join_seen,
         encode_json, decode_json, rejected_messages, flatten_api, existing_urls, object_key,
         landed_articles, stream_bronze, stream_produce, stream_land, stream_silver, stream_gold_by_source,
+        stream_gold_by_date, stream_gold_by_author, vector_counts,
         late_windows, late_dedup, embedding_text, vector_metadata, embed_hashed, vector_upsert, stream_vectors,
         topk_similar, rag_context, rag_prompt, rag_sources, source_links,
     )

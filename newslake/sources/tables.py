@@ -14,8 +14,10 @@ One writer per table at a time is assumed.
 
 from __future__ import annotations
 
+import json
+import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
@@ -25,7 +27,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from newslake.operators.merge import only_unique, unmatched, unmatched_in_large, upserted
 
-_PUBLISHED = "version long, folder string, batch string"
+_PUBLISHED = "version long, folder string, batch string, applied map<string, long>"
+_STREAM_BATCH = "stream-(.*)-([0-9]+)"
 
 
 def scan(
@@ -64,8 +67,24 @@ def scan_if_exists(
 # Insert-only tables
 
 
-def read_inserted(spark: SparkSession, path: str) -> DataFrame:
-    return scan(spark, path).drop("batch")
+def read_inserted(spark: SparkSession, path: str, keep_batch: bool = False) -> DataFrame:
+    """Rows of an insert-only table, with the tag of their load if asked for."""
+    rows = scan(spark, path)
+    return rows.withColumn("batch", F.col("batch").cast("string")) if keep_batch else rows.drop("batch")
+
+
+def stream_batch(tag: str | None) -> tuple[str, int] | None:
+    """Stream and number of a micro-batch's tag; none for other loads."""
+    found = re.fullmatch(_STREAM_BATCH, tag or "")
+    return (found[1], int(found[2])) if found else None
+
+
+def last_batches(rows: DataFrame) -> dict[str, int]:
+    """Per stream, the highest micro-batch among rows with their ``batch``."""
+    part = lambda i: F.regexp_extract("batch", f"^{_STREAM_BATCH}$", i)
+    named = rows.where(F.col("batch").rlike(f"^{_STREAM_BATCH}$"))
+    per_stream = named.groupBy(part(1).alias("stream")).agg(F.max(part(2).cast("long")).alias("n"))
+    return {r.stream: r.n for r in per_stream.collect()}
 
 
 def new_tag() -> str:
@@ -111,7 +130,8 @@ def insert_new(
 
 
 def current(spark: SparkSession, path: str) -> Row | None:
-    """Version, folder and batch of the published snapshot, if any."""
+    """Version, folder, batch and applied micro-batches of the published
+    snapshot, if any."""
     try:
         reader = spark.read.schema(_PUBLISHED).option("ignoreMissingFiles", "true")
         log = reader.json(f"{path}/published")
@@ -135,13 +155,33 @@ def read_part(
     return scan(spark, f"{path}/data/{now.folder}/{part}", schema=schema)
 
 
+def has_applied(now: Row | None, batch: str | None) -> bool:
+    """Whether the snapshot already holds what a batch brings."""
+    told = stream_batch(batch)
+    if not now or batch is None:
+        return False
+    if told is None:
+        return now.batch == batch
+    return (now.applied or {}).get(told[0], -1) >= told[1]
+
+
 def publish(
-    parts: dict[str, DataFrame], path: str, now: Row | None, batch: str | None = None
+    parts: dict[str, DataFrame],
+    path: str,
+    now: Row | None,
+    batch: str | None = None,
+    covered: Mapping[str, int] | None = None,
 ) -> int:
     """Write the snapshot after ``now`` and make it current.
 
-    The parts are written side by side and become current together.
+    The parts are written side by side and become current together. With the
+    snapshot goes, per stream, the highest micro-batch that it holds: those of
+    ``now``, that of ``batch``, and those that are ``covered``.
     """
+    applied = dict((now.applied if now else None) or {})
+    told = stream_batch(batch)
+    for stream, n in [*(covered or {}).items(), *([told] if told else [])]:
+        applied[stream] = max(n, applied.get(stream, -1))
     version = now.version + 1 if now else 1
     folder = f"v{version:06d}-{uuid.uuid4().hex}"
 
@@ -155,34 +195,37 @@ def publish(
         F.lit(version).cast("long").alias("version"),
         F.lit(folder).alias("folder"),
         F.lit(batch).cast("string").alias("batch"),
+        F.from_json(F.lit(json.dumps(applied)), "map<string, long>").alias("applied"),
     )
     entry.write.mode("overwrite").json(f"{path}/published/slot={version % 2}")
     return version
 
 
 def upsert_parts(
-    parts: dict[str, tuple[DataFrame, Sequence[str]]], path: str, batch: str | None = None
+    parts: dict[str, tuple[DataFrame, Sequence[str]]],
+    path: str,
+    batch: str | None = None,
+    covered: Mapping[str, int] | None = None,
 ) -> int:
     """Update rows with a known key, insert the others, in every part.
 
     ``parts`` gives the source and its key columns. A source with two rows for
-    one key fails the job. A batch that is already the published one is not
-    applied again.
+    one key fails the job. A batch that the snapshot holds is not applied again.
     """
     spark = next(src for src, _ in parts.values()).sparkSession
     now = current(spark, path)
-    if now and batch is not None and now.batch == batch:
+    if has_applied(now, batch):
         return now.version
     checked = {part: only_unique(src, keys) for part, (src, keys) in parts.items()}
     if now is None:
-        return publish(checked, path, now, batch)
+        return publish(checked, path, now, batch, covered)
     # Read twice by the merge: once for the keys, once for the rows.
     rows = {part: src.persist() for part, src in checked.items()}
     merged = {
         part: upserted(read_part(spark, path, now, part, src.schema), src, parts[part][1])
         for part, src in rows.items()
     }
-    version = publish(merged, path, now, batch)
+    version = publish(merged, path, now, batch, covered)
     for src in rows.values():
         src.unpersist()
     return version

@@ -4,28 +4,39 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter
 
 from newslake.functions.embedding import Embedder
 from newslake.operators.vectors import article_vectors
+from newslake.sources import tables
+
+FILES_PER_TRIGGER = 1000
 
 
 def vector_writer(
-    silver: DataFrame,
+    spark: SparkSession,
+    silver: str,
     path: str,
     checkpoint: str,
     factory: Callable[[], Embedder] | None = None,
+    max_files: int = FILES_PER_TRIGGER,
 ) -> DataStreamWriter:
-    """Stream that embeds the articles added to Silver since its last run.
+    """Stream that embeds the loads added to Silver since its last run.
 
-    Silver holds each URL once and never changes a row, so appending gives one
-    vector per URL: no join, no shuffle, and no article embedded twice.
+    New files only tell which loads are new. Each load is embedded whole, from
+    its own folder, and its vectors replace those of the same load. So a load
+    that Silver wrote again, or a micro-batch that is run again, leaves one
+    vector per URL: Silver has each URL in one load. No join, no shuffle.
     """
-    return (
-        article_vectors(silver, factory)
-        .writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-    )
+    schema = tables.scan(spark, silver).schema
+    added = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(silver)
+
+    def step(batch: DataFrame, _: int) -> None:
+        session = batch.sparkSession
+        loads = [r.batch for r in batch.select("batch").distinct().collect()]
+        for load in loads:
+            rows = tables.read_batch(session, silver, load)
+            article_vectors(rows, factory).write.mode("overwrite").parquet(f"{path}/batch={load}")
+
+    return added.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)

@@ -18,7 +18,7 @@ def add_to_rollups(fresh: DataFrame, gold: str, batch: str) -> None:
     three aggregates move on together."""
     spark = fresh.sparkSession
     now = tables.current(spark, gold)
-    if now and now.batch == batch:
+    if tables.has_applied(now, batch):
         return
     parts = {name: rollup.states(fresh) for name, rollup in ROLLUPS.items()}
     if now:

@@ -38,16 +38,17 @@ def producer(
     """Stream that sends the articles of new responses whose URL is new.
 
     URLs count as seen once they are sent; a failure before that sends the
-    batch again.
+    batch again. Articles without a URL cannot be told apart by it: all of them
+    are sent.
     """
     tag_of = batch_tags(checkpoint)
 
     def step(batch: DataFrame, batch_id: int) -> None:
         tag = tag_of(batch.sparkSession, batch_id)
         articles = headlines.flattened(headlines.fetched(batch))
-        rows = landing.one_per_url(articles).persist()
+        rows = landing.one_per_url(articles.where("url is not null")).persist()
         fresh = new_urls(rows, seen, tag).persist()
-        send(fresh, tag)
+        send(fresh.unionByName(articles.where("url is null")), tag)
         remember(fresh, seen, tag)
         fresh.unpersist()
         rows.unpersist()

@@ -96,8 +96,8 @@ def test_producer_sends_each_url_once(spark, tmp_path):
     send(src, "1.json", response("a", "b", "a"), response("z", status="error"))
     send(src, "2.json", response("b", "c", None))
     assert run() == ["", "a", "b", "c"]
-    send(src, "3.json", response("c", "d", None))
-    assert run() == ["", "a", "b", "c", "d"]
+    send(src, "3.json", response("c", "d", None, None))
+    assert run() == ["", "", "", "a", "b", "c", "d"]
 
 
 def test_batches_have_names_of_their_own(spark, tmp_path):
@@ -255,12 +255,30 @@ def test_landing_survives_a_loss_before_urls_are_remembered(spark, tmp_path, mon
 def test_vectors_follow_silver(spark, bronze, tmp_path):
     root = str(tmp_path)
 
-    def run(*rows):
-        medallion.load_silver(bronze(*rows), f"{root}/silver")
-        schema = tables.scan(spark, f"{root}/silver").schema
-        added = spark.readStream.schema(schema).parquet(f"{root}/silver")
-        topics.run(vector_writer(added, f"{root}/vectors", f"{root}/mark"))
+    def run(batch, *rows):
+        medallion.load_silver(bronze(*rows), f"{root}/silver", batch=batch)
+        topics.run(vector_writer(spark, f"{root}/silver", f"{root}/vectors", f"{root}/mark"))
         return sorted(r.id for r in tables.scan(spark, f"{root}/vectors").collect())
 
-    assert run({"url": "a", "title": "t"}, {"url": "b", "title": " "}) == ["a"]
-    assert run({"url": "a", "title": "new"}, {"url": "c", "title": "t"}) == ["a", "c"]
+    first = [{"url": "a", "title": "t"}, {"url": "b", "title": " "}]
+    assert run("one", *first) == ["a"]
+    assert run("one", *first) == ["a"]
+    assert run("two", {"url": "a", "title": "new"}, {"url": "c", "title": "t"}) == ["a", "c"]
+
+
+def test_a_batch_run_between_silver_and_gold_counts_nothing_twice(spark, bronze, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    for load in range(2):
+        rows_ = [{"url": f"u{load}{i}", "title": "t", "at": i} for i in range(6)]
+        bronze(*rows_).coalesce(1).write.mode("append").parquet(f"{root}/bronze")
+    break_once(monkeypatch, incremental, "add_to_rollups", 2)
+    with pytest.raises(Exception, match="lost"):
+        run_refiner(spark, root)
+    stored = tables.read_inserted(spark, f"{root}/silver", keep_batch=True)
+    assert stored.count() == 12
+    medallion.load_gold(stored, f"{root}/gold")
+    run_refiner(spark, root)  # writes the folder of the lost batch again
+    again = tables.read_inserted(spark, f"{root}/silver")
+    assert again.count() == 12
+    for name, rollup in gold.ROLLUPS.items():
+        assert rows(medallion.read_gold(spark, f"{root}/gold", name)) == rows(rollup(again))
