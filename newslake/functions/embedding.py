@@ -1,21 +1,22 @@
 """Text to vectors.
 
-An embedder turns a series of texts into a matrix, one row per text; a factory
-makes one in each Python worker, so a model is loaded there once. The built-in
-one counts hashed words. It finds shared words, not shared meaning; pass a
-factory around a sentence model for that.
+The built-in vectors count hashed words, by built-in functions. They find shared
+words, not shared meaning. For that, pass a factory around a sentence model: an
+embedder turns a series of texts into a matrix, one row per text, and a factory
+makes one in each Python worker, so a model is loaded there once.
 """
 
 from __future__ import annotations
 
-import hashlib
 import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column
+from pyspark.ml.feature import CountVectorizerModel, Normalizer
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Sent along with the jobs: executors need no copy of the package.
@@ -25,73 +26,69 @@ Embedder = Callable[[pd.Series], np.ndarray]
 DIMENSIONS = 256
 
 
-KNOWN_WORDS = 1 << 18
+_BREAKS = r"[\s\p{Z}\x1c-\x1f\x85]+"
 
 
-class _Places(dict):
-    """Word to place, worked out on first sight and kept up to a bound."""
+def hashed_words(
+    df: DataFrame, text: Column, to: str = "values", dimensions: int = DIMENSIONS
+) -> DataFrame:
+    """The table with vectors of its texts: counts of lower-case words by hash,
+    scaled to unit length. A word's place is the first four hex digits of its
+    MD5, modulo ``dimensions``; a text without words has a vector of zeros."""
+    words = F.split(F.lower(F.coalesce(text, F.lit(""))), _BREAKS)
+    place = lambda w: F.conv(F.substring(F.md5(w), 1, 4), 16, 10).cast("int") % dimensions
+    places = F.transform(F.filter(words, lambda w: w != ""), lambda w: place(w).cast("string"))
+    held, counts, unit = "_hashed_places", "_hashed_counts", "_hashed_unit"
+    counter = CountVectorizerModel.from_vocabulary(
+        [str(i) for i in range(dimensions)], inputCol=held, outputCol=counts
+    )
+    scaled = Normalizer(inputCol=counts, outputCol=unit, p=2.0)
+    counted = scaled.transform(counter.transform(df.withColumn(held, places)))
+    return counted.withColumn(to, vector_to_array(unit, "float32")).drop(held, counts, unit)
 
-    def __init__(self, dimensions: int):
-        super().__init__()
-        self.dimensions = dimensions
 
-    def __missing__(self, word: str) -> int:
-        if len(self) >= KNOWN_WORDS:
-            self.clear()
-        digest = hashlib.md5(word.encode(), usedforsecurity=False).hexdigest()
-        place = self[word] = int(digest[:4], 16) % self.dimensions
-        return place
-
-
-def hashed_words(dimensions: int = DIMENSIONS) -> Callable[[], Embedder]:
-    """Counts of lower-case words by hash, scaled to unit length. A word's
-    place is the first four hex digits of its MD5, modulo ``dimensions``."""
-
-    def make() -> Embedder:
-        places = _Places(dimensions)
-
-        def embed(texts: pd.Series) -> np.ndarray:
-            out = np.zeros((len(texts), dimensions))
-            for row, text in zip(out, texts):
-                words = [places[w] for w in text.lower().split()]
-                if words:
-                    row += np.bincount(words, minlength=dimensions)
-                    row /= np.sqrt(row @ row)
-            return out
-
-        return embed
-
-    return make
-
-
-def _one_by_one(embedder: Embedder, texts: pd.Series) -> list[np.ndarray | None]:
-    """Vectors of a batch that failed as a whole; null where a text fails."""
-    out = []
+def _one_by_one(embedder: Embedder, texts: pd.Series) -> tuple[list, list]:
+    """Vectors and errors of a batch that failed as a whole. If all of several
+    texts fail, it isn't the texts: the job stops."""
+    rows, errors, last = [], [], None
     for at in range(len(texts)):
         try:
-            out.append(np.asarray(embedder(texts.iloc[at : at + 1]), dtype=np.float32)[0])
-        except Exception:
-            out.append(None)
-    return out
-
-
-def vector(text: Column, factory: Callable[[], Embedder]) -> Column:
-    """Vector of a text column; Arrow batches, the only Python in the plan.
-
-    A text that the embedder fails on gets null and the others go on; a
-    factory that fails stops the job. Marked as not deterministic, so that a
-    filter on the vector does not run the model a second time.
+            rows.append(np.asarray(embedder(texts.iloc[at : at + 1]), dtype=np.float32)[0])
+            errors.append(None)
+        except Exception as error:
+            rows.append(None)
+            errors.append(f"{type(error).__name__}: {error}")
+            last = error
+    if len(texts) > 1 and None not in errors:
+        raise RuntimeError("the embedder failed on every text of a batch") from last
+    return rows, errors
+
+
+def vector_or_error(text: Column, factory: Callable[[], Embedder]) -> Column:
+    """Struct of a text's vector, ``values``, and, where the embedder fails on
+    the text, the ``error`` instead; a factory that fails stops the job.
+
+    Arrow batches, the only Python in the plan. Marked as not deterministic, so
+    that a filter on the vector does not run the model a second time.
     """
 
-    @F.pandas_udf("array<float>")
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("values array<float>, error string")
+    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         embedder = factory()
         for texts in batches:
             texts = texts.fillna("")
             try:
                 rows = list(np.asarray(embedder(texts), dtype=np.float32))
+                errors = [None] * len(rows)
             except Exception:
-                rows = _one_by_one(embedder, texts)
-            yield pd.Series(rows, dtype=object)
+                rows, errors = _one_by_one(embedder, texts)
+            yield pd.DataFrame(
+                {"values": pd.Series(rows, dtype=object), "error": pd.Series(errors, dtype=object)}
+            )
 
     return encode.asNondeterministic()(text)
+
+
+def vector(text: Column, factory: Callable[[], Embedder]) -> Column:
+    """Vector of a text column; null where the embedder fails on a text."""
+    return vector_or_error(text, factory)["values"]

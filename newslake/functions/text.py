@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Fixed value: stands for a missing name.
 UNKNOWN = "Unknown"
 
 # Characters of a title that change in an object name; those
 # without a counterpart in the second string are deleted.
 SLUG_FROM, SLUG_TO = "/ :',?!", "-_-"
 SLUG_CHARS = 50
+# Place and name of landed objects, and what is shown of texts.
 OBJECT_PREFIX = "bronze/news/"
 OBJECT_TIME = "yyyy/MM/dd/HHmmss"
 URL_TAG_CHARS = 500
@@ -100,4 +102,5 @@ def prompt(context: Column, question: Column) -> Column:
 
 
 def source_link(title: Column, url: Column, source: Column) -> Column:
-    return F.format_string("- [%s](%s) — **%s**", title, url, source)
+    parts = (F.coalesce(c, F.lit("")) for c in (title, url, source))
+    return F.format_string("- [%s](%s) — **%s**", *parts)

@@ -46,7 +46,8 @@ def sources_used(prompted: DataFrame) -> DataFrame:
 
 
 def answered(asked: DataFrame, answer: Callable[[pd.Series], pd.Series]) -> DataFrame:
-    """Answers from a user-given service; it is not called without a prompt."""
+    """Answers from a user-given service; it is not called without a prompt,
+    and a filter on the answers does not call it twice."""
 
     @F.pandas_udf("string")
     def call(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -57,7 +58,7 @@ def answered(asked: DataFrame, answer: Callable[[pd.Series], pd.Series]) -> Data
                 out[some] = answer(texts[some])
             yield out
 
-    return asked.withColumn("answer", F.coalesce("fallback_answer", call("prompt")))
+    return asked.withColumn("answer", F.coalesce("fallback_answer", call.asNondeterministic()("prompt")))
 
 
 def source_list(hits: DataFrame) -> DataFrame:

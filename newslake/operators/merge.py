@@ -67,7 +67,8 @@ def unmatched_in_large(
 
     The keys of ``src`` are measured. Up to ``BROADCAST_KEY_BYTES`` they go to
     every task of one scan of the target's keys, which is not shuffled, and
-    what the scan finds, no more than was sent, goes back to ``src``. Beyond
+    what the scan finds, each key once and so no more than was sent, goes back
+    to ``src``. Beyond
     that Spark chooses the join. ``src`` is used three times, so the caller
     caches it.
     """
@@ -76,7 +77,7 @@ def unmatched_in_large(
         return unmatched(src, target, keys, null_safe)
     sent = F.broadcast(wanted)
     found = _keys(target.join(sent, _same_key(target, sent, keys, null_safe), "left_semi"), keys)
-    back = F.broadcast(found)
+    back = F.broadcast(found.distinct())
     return src.join(back, _same_key(src, back, keys, null_safe), "left_anti")
 
 

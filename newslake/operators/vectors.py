@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newslake.functions.embedding import Embedder, hashed_words, vector
+from newslake.functions.embedding import Embedder, hashed_words, vector, vector_or_error
 from newslake.functions.text import embedding_text, iso_text
 from newslake.operators.merge import unmatched
 from newslake.schemas import METADATA_FIELDS
@@ -29,20 +29,49 @@ def metadata() -> Column:
     return F.struct(*[text(name) for name in METADATA_FIELDS])
 
 
+def embedded(silver: DataFrame, factory: Callable[[], Embedder] | None = None) -> DataFrame:
+    """``id`` (the URL), ``values``, ``metadata`` and ``error`` of each usable
+    article; where the embedder fails on one, its vector is null."""
+    text = embedding_text(F.col("title"), F.col("description"), F.col("content"))
+    rows = embeddable(silver).select(
+        F.col("url").alias("id"), text.alias("text"), metadata().alias("metadata")
+    )
+    if factory is None:
+        found = hashed_words(rows, F.col("text")).withColumn("error", F.lit(None).cast("string"))
+    else:
+        both = rows.withColumn("embedded", vector_or_error(F.col("text"), factory))
+        found = both.select("id", "metadata", "embedded.*")
+    return found.select("id", "values", "metadata", "error")
+
+
 def article_vectors(
     silver: DataFrame, factory: Callable[[], Embedder] | None = None
 ) -> DataFrame:
     """``id`` (the URL), ``values`` and ``metadata`` of each usable article.
 
-    Articles that the embedder fails on are left out; see ``not_embedded``.
+    Articles that the embedder fails on are left out; see ``write_vectors``.
     """
-    text = embedding_text(F.col("title"), F.col("description"), F.col("content"))
-    vectors = embeddable(silver).select(
-        F.col("url").alias("id"),
-        vector(text, factory or hashed_words()).alias("values"),
-        metadata().alias("metadata"),
-    )
-    return vectors.where(F.col("values").isNotNull())
+    return embedded(silver, factory).where(F.col("values").isNotNull()).drop("error")
+
+
+def write_vectors(
+    silver: DataFrame,
+    path: str,
+    batch: str,
+    factory: Callable[[], Embedder] | None = None,
+    rejects: str | None = None,
+) -> None:
+    """Write the vectors of a load to its own folder below ``path`` and, if a
+    place for ``rejects`` is given, the URLs that failed there, with errors."""
+    found = embedded(silver, factory)
+    if rejects and factory:
+        found = found.persist()
+    good = found.where(F.col("values").isNotNull()).drop("error")
+    good.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+    if rejects and factory:
+        bad = found.where("error is not null").select(F.col("id").alias("url"), "error")
+        bad.write.mode("overwrite").parquet(f"{rejects}/batch={batch}")
+        found.unpersist()
 
 
 def not_embedded(silver: DataFrame, vectors: DataFrame) -> DataFrame:
@@ -55,7 +84,9 @@ def question_vectors(
     questions: DataFrame, factory: Callable[[], Embedder] | None = None
 ) -> DataFrame:
     """Questions (``q_id``, ``question``) with vectors of the same kind."""
-    return questions.withColumn("values", vector(F.col("question"), factory or hashed_words()))
+    if factory is None:
+        return hashed_words(questions, F.col("question"))
+    return questions.withColumn("values", vector(F.col("question"), factory))
 
 
 def store_vectors(
@@ -73,6 +104,7 @@ def store_new_vectors(
     path: str,
     factory: Callable[[], Embedder] | None = None,
     batch: str | None = None,
+    rejects: str | None = None,
 ) -> str:
     """Embed and add only the articles that have no vector yet.
 
@@ -87,9 +119,8 @@ def store_new_vectors(
         others = stored if batch is None else stored.where(F.col("batch") != batch)
         known = others.select(F.col("id").alias("url"))
         silver = unmatched(silver, known, ["url"], null_safe=False)
-    vectors = article_vectors(silver, factory)
     batch = batch or tables.new_tag()
-    vectors.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+    write_vectors(silver, path, batch, factory, rejects)
     return batch
 
 

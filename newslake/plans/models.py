@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from newslake.operators import quality
 from newslake.operators.gold import known_authors
 from newslake.operators.refine import usable
+from newslake.sources import tables
 
 
 def stg_news_silver(silver: DataFrame) -> DataFrame:
@@ -133,13 +134,13 @@ def build_models(silver: DataFrame) -> dict[str, DataFrame]:
 
 def store_models(spark: SparkSession, silver: DataFrame, path: str) -> dict[str, DataFrame]:
     """Register views and rebuild tables below ``path``; all can then be
-    queried by name."""
+    queried by name. A rebuilt table becomes current at once and whole."""
     stored = build_models(silver)
     for name, df in stored.items():
         if MODELS[name].kept_as == "table":
             place = f"{path}/{name}"
-            df.write.mode("overwrite").parquet(place)
-            stored[name] = spark.read.parquet(place)
+            tables.publish({"": df}, place, tables.current(spark, place))
+            stored[name] = tables.read_snapshot(spark, place)
         stored[name].createOrReplaceTempView(name)
     return stored
 

@@ -109,6 +109,9 @@ def _report(*parts: str) -> str:
     return f"""select *, failing_rows = 0 as passed from ({" union all ".join(parts)})"""
 
 
+_JSON = """cast(to_json(struct_pack(title := title, description := description,
+  content := content, url := url, source := source, published_at := published_at,
+  author := author)) as varchar)"""
 _SLUG = "translate(substr(title, 1, 50), '/ :'',?!', '-_-')"
 _ARRIVED = "coalesce(try_cast(published_at as timestamp), timestamp '2024-01-01 00:00:00')"
 _ISO = """case when published_at is null then '' else
@@ -247,10 +250,7 @@ select url, title, ingest_seq from silver
 where url not in (select url from articles
                   where lang = 'en' and title is not null and url is not null)""",
     "encode_json": f"""{_WITH}
-select ingest_seq, cast(to_json(struct_pack(title := title, description := description,
-  content := content, url := url, source := source, published_at := published_at,
-  author := author)) as varchar) as value
-from articles""",
+select ingest_seq, {_JSON} as value from articles""",
     "decode_json": f"{_WITH} {_decoded()}",
     "rejected_messages": f"""{_WITH}
 select 'not json' as _raw, count(*) as messages from messages where bad having count(*) > 0""",
@@ -280,6 +280,12 @@ select url, true from ok where url is null""",
     "stream_land": f"""{_WITH}
 select distinct url, true as whole, substr(url, 1, 500) as article_url from articles
 where title is not null and url is not null""",
+    "stream_rejects": f"""{_WITH}, sent as (
+  select bad, title is null or url is null as unusable,
+         case when bad then 'not json' else {_JSON} end as _raw from messages)
+select 'unread' as kind, _raw from sent where bad
+union all
+select 'unlanded', _raw from sent where bad or unusable""",
     "stream_silver": f"{_WITH} select * from in_loads",
     "stream_gold_by_source": f"{_WITH} {_by_source('in_loads')}",
     "stream_gold_by_date": f"{_WITH} {_by_date('in_loads')}",

@@ -297,6 +297,20 @@ def stream_land(spark, sf):
     return _whole(spark, sf, landed).join(landed.select("url", "article_url"), "url")
 
 
+def stream_rejects(spark, sf):
+    """Payloads that are no articles, from one stream, and those that could not
+    be landed, from another."""
+    root = shared_dir(spark, "rejects")
+    _send(messages(spark, sf), f"{root}/topic")
+    stream = topics.read_message_files(spark, f"{root}/topic")
+    topics.run(ingest.reject_writer(stream, f"{root}/unread", f"{root}/checkpoint-1"))
+    topics.run(
+        lander(stream, f"{root}/landed", f"{root}/seen", f"{root}/checkpoint-2", rejects=f"{root}/unlanded")
+    )
+    kinds = [tables.scan(spark, f"{root}/{k}").select(F.lit(k).alias("kind"), "_raw") for k in ("unread", "unlanded")]
+    return kinds[0].union(kinds[1])
+
+
 def _incremental(spark, sf):
     root = shared_dir(spark, "incremental")
     for load in (_first_load, _later_load):
@@ -474,7 +488,7 @@ QUERIES = {
         upsert_insert_only, upsert_update_insert, upsert_null_key, anti_join_seen,
         encode_json, decode_json, rejected_messages, flatten_api, existing_urls, object_key,
         landed_articles, stream_bronze, stream_produce, stream_land, stream_silver, stream_gold_by_source,
-        stream_gold_by_date, stream_gold_by_author, vector_counts,
+        stream_gold_by_date, stream_gold_by_author, stream_rejects, vector_counts,
         late_windows, late_dedup, embedding_text, vector_metadata, embed_hashed, vector_upsert, stream_vectors,
         topk_similar, rag_context, rag_prompt, rag_sources, source_links,
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,7 +12,6 @@ from newslake.functions.text import URL_TAG_CHARS, object_key, url_tag, utc
 from newslake.operators.dedup import first_per_key, row_hash
 from newslake.operators.refine import usable
 from newslake.schemas import ARTICLE, ARTICLE_FIELDS
-from newslake.sources.tables import scan_json
 
 LANDED = T.StructType(
     [
@@ -43,17 +44,28 @@ def not_landed(articles: DataFrame) -> DataFrame:
 
 
 def land(rows: DataFrame, path: str, mode: str = "append") -> None:
-    """Write landing rows; one file holds many articles, its name is Spark's."""
+    """Write landing rows; one file holds many articles, its name is Spark's.
+    Rows of a day are brought together first, or each task would write a file
+    per day; adaptive execution splits a day that is large."""
     (
-        rows.write.mode(mode)
+        rows.hint("rebalance", "year", "month", "day")
+        .write.mode(mode)
         .partitionBy("year", "month", "day")
         .option("ignoreNullFields", "false")
         .json(path)
     )
 
 
-def read_landed(spark: SparkSession, path: str) -> DataFrame:
-    return scan_json(spark, path, LANDED)
+def read_landed(
+    spark: SparkSession, path: str, first: dt.date | None = None, last: dt.date | None = None
+) -> DataFrame:
+    """Landed articles; with a first or last day, only the folders from or up
+    to that day are opened."""
+    rows = spark.read.schema(LANDED).json(path)
+    day = F.make_date("year", "month", "day")
+    for wanted in ([day >= first] if first else []) + ([day <= last] if last else []):
+        rows = rows.where(wanted)
+    return rows.select(*LANDED.names)
 
 
 def read_objects(spark: SparkSession, path: str) -> DataFrame:

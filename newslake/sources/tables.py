@@ -7,7 +7,8 @@ Two layouts, both plain Spark datasets:
 * replaced: every version is a new folder below ``data/``; a one-row file
   below ``published/`` makes it current. Two such files are written in turn,
   so the one that counts is never touched and readers never see a half-written
-  version. Folders of old versions stay; remove them when no reader needs them.
+  version. Publishing removes all older folders but the one before, for its
+  readers.
 
 One writer per table at a time is assumed.
 """
@@ -198,9 +199,19 @@ def publish(
         F.from_json(F.lit(json.dumps(applied)), "map<string, long>").alias("applied"),
     )
     entry.write.mode("overwrite").json(f"{path}/published/slot={version % 2}")
+    _remove(spark, f"{path}/data", {folder, now.folder if now else folder})
     return version
 
 
+def _remove(spark: SparkSession, path: str, but: set[str]) -> None:
+    """Delete the folders below ``path``, except those named."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    for status in files.listStatus(root):
+        if status.isDirectory() and status.getPath().getName() not in but:
+            files.delete(status.getPath(), True)
+
+
 def upsert_parts(
     parts: dict[str, tuple[DataFrame, Sequence[str]]],
     path: str,

@@ -7,7 +7,11 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from newslake.functions.messages import encode
 
+# Fixed value: the name of the topic.
 TOPIC = "raw_news"
+# What a micro-batch takes at most; a first run over a long history is cut up.
+OFFSETS_PER_TRIGGER = 1_000_000
+FILES_PER_TRIGGER = 1000
 _LOGIN = "org.apache.kafka.common.security.plain.PlainLoginModule"
 
 
@@ -30,7 +34,7 @@ def read_topic(
     options: dict[str, str],
     topic: str = TOPIC,
     starting_offsets: str = "earliest",
-    max_offsets: int | None = None,
+    max_offsets: int | None = OFFSETS_PER_TRIGGER,
 ) -> DataFrame:
     """Topic as a stream with a binary ``value``; the starting offsets count
     on the first run only, later runs go on from the checkpoint."""
@@ -45,7 +49,9 @@ def read_topic(
     return reader.load()
 
 
-def read_message_files(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+def read_message_files(
+    spark: SparkSession, path: str, max_files: int | None = FILES_PER_TRIGGER
+) -> DataFrame:
     """Files of one message per line, at any depth, as the same kind of stream."""
     reader = spark.readStream.format("text").option("recursiveFileLookup", "true")
     if max_files is not None:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter
 
 from newslake.functions.embedding import Embedder
-from newslake.operators.vectors import article_vectors
+from newslake.operators.vectors import write_vectors
 from newslake.sources import tables
 
 FILES_PER_TRIGGER = 1000
@@ -21,6 +21,7 @@ def vector_writer(
     checkpoint: str,
     factory: Callable[[], Embedder] | None = None,
     max_files: int = FILES_PER_TRIGGER,
+    rejects: str | None = None,
 ) -> DataStreamWriter:
     """Stream that embeds the loads added to Silver since its last run.
 
@@ -28,6 +29,7 @@ def vector_writer(
     its own folder, and its vectors replace those of the same load. So a load
     that Silver wrote again, or a micro-batch that is run again, leaves one
     vector per URL: Silver has each URL in one load. No join, no shuffle.
+    Articles that the model fails on go to ``rejects``, if given.
     """
     schema = tables.scan(spark, silver).schema
     added = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(silver)
@@ -36,7 +38,6 @@ def vector_writer(
         session = batch.sparkSession
         loads = [r.batch for r in batch.select("batch").distinct().collect()]
         for load in loads:
-            rows = tables.read_batch(session, silver, load)
-            article_vectors(rows, factory).write.mode("overwrite").parquet(f"{path}/batch={load}")
+            write_vectors(tables.read_batch(session, silver, load), path, load, factory, rejects)
 
     return added.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)

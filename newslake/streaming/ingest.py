@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter
 
-from newslake.functions.messages import decode, stamp
+from newslake.functions.messages import decode, rejected, stamp
 
 
 def raw_articles(messages: DataFrame, keep_raw: bool = False) -> DataFrame:
@@ -13,6 +13,11 @@ def raw_articles(messages: DataFrame, keep_raw: bool = False) -> DataFrame:
     return stamp(decode(messages, keep_raw))
 
 
+def reject_writer(messages: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
+    """Append the payloads that are no articles to a table of their own."""
+    return bronze_writer(stamp(rejected(messages)), path, checkpoint)
+
+
 def bronze_writer(
     articles: DataFrame, path: str, checkpoint: str, fmt: str = "parquet"
 ) -> DataStreamWriter:

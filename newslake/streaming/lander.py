@@ -24,18 +24,23 @@ def lander(
     seen: str,
     checkpoint: str,
     arrived: Column | None = None,
+    rejects: str | None = None,
 ) -> DataStreamWriter:
     """Stream that lands articles whose URL is new.
 
     The URLs seen are a narrow table at ``seen``; each batch writes one folder
     there and one at ``path``, and a replayed batch writes the same folders
-    again. Articles without title or URL are not landed and not remembered.
+    again. Articles without title or URL are not landed and not remembered;
+    their payloads, and those that are no articles, go to ``rejects``, if given.
     """
     tag_of = batch_tags(checkpoint)
 
     def land(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         tag = tag_of(spark, batch_id)
+        if rejects:
+            bad = landing.not_landed(decode(batch, keep_raw=True)).select("_raw")
+            bad.write.mode("overwrite").parquet(f"{rejects}/batch={tag}")
         rows = landing.one_per_url(usable(decode(batch))).persist()
         out = f"{path}/batch={tag}"
         fresh = landing.landing_rows(new_urls(rows, seen, tag), arrived)

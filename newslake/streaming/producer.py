@@ -14,7 +14,9 @@ from newslake.streaming.once import new_urls, remember
 RESPONSE = "language string, category string, body string"
 
 
-def read_responses(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+def read_responses(
+    spark: SparkSession, path: str, max_files: int | None = topics.FILES_PER_TRIGGER
+) -> DataFrame:
     """Landed responses as a stream; each line has the request's language and
     category and the response body."""
     reader = spark.readStream.schema(RESPONSE)

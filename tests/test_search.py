@@ -68,11 +68,14 @@ def test_fewer_vectors_than_k_and_none_at_all(spark, sample):
     assert {(r.q_id, r.id) for r in search.nearest(gaps, unasked).collect()} == {(2, 2), (2, 3)}
 
 
-def test_hashed_words():
-    embed = hashed_words(16)()
-    out = embed(pd.Series(["Apple apple PIE", "apple pie apple", "", "pear"]))
-    assert out.shape == (4, 16)
-    assert np.allclose(out[0], out[1]) and not out[2].any()
+def test_hashed_words(spark):
+    texts = spark.createDataFrame(
+        [(0, "Apple apple PIE"), (1, " apple pie\u00a0apple\n"), (2, ""), (3, "pear"), (4, None)], "i int, t string"
+    )
+    built = hashed_words(texts, F.col("t"), dimensions=16).orderBy("i").collect()
+    out = np.array([r["values"] for r in built])
+    assert out.shape == (5, 16) and not out[4].any()
+    assert np.allclose(out[0], out[1]) and out[0].any() and not out[2].any()
     assert np.allclose(np.linalg.norm(out[[0, 3]], axis=1), 1)
 
 
@@ -207,8 +210,69 @@ def test_a_text_that_fails_is_left_out_and_reported(bronze):
         vectors.article_vectors(silver, broken).collect()
 
 
+def test_failed_urls_are_written(spark, bronze, tmp_path):
+    def picky():
+        def embed(texts):
+            if texts.str.contains("pear").any():
+                raise ValueError("no pears")
+            return np.ones((len(texts), 2))
+
+        return embed
+
+    silver = refine(bronze(*[{"url": t, "title": t} for t in ("apple", "pear", "plum")]))
+    path, rejects = str(tmp_path / "v"), str(tmp_path / "r")
+    vectors.store_new_vectors(silver, path, picky, "b-1", rejects)
+    assert vectors.vector_count(spark, path) == 2
+    bad = tables.scan(spark, rejects).collect()
+    assert [(r.url, "no pears" in r.error) for r in bad] == [("pear", True)]
+
+    def useless():
+        def embed(texts):
+            raise MemoryError("too large")
+
+        return embed
+
+    with pytest.raises(Exception, match="every text"):
+        vectors.article_vectors(silver.coalesce(1), useless).collect()
+
+
+def test_vectors_that_cannot_be_compared(spark):
+    nan = float("nan")
+    many = spark.range(1000).selectExpr("id", "array(float(1), float(id)) as values")
+    odd = spark.createDataFrame(
+        [(-1, [nan, 1.0]), (-2, None), (-3, [None, 1.0]), (-4, [float("inf"), 1.0])], "id long, values array<float>"
+    )
+    asked = spark.createDataFrame([(1, [0.0, 1.0]), (2, [nan, 1.0])], "q_id int, values array<float>")
+    stored = many.union(odd).coalesce(1)
+    for numbers in (1000, 2):
+        found = search.nearest(stored, asked, k=3, broadcast_numbers=numbers)
+        assert [tuple(r) for r in found.select("q_id", "rank", "id").orderBy("rank").collect()] == [
+            (1, 1, 999), (1, 2, 998), (1, 3, 997),
+        ]
+    assert sorted(r.id for r in search.unusable(stored).collect()) == [-4, -3, -2, -1]
+    ragged = spark.createDataFrame([(1, [1.0, 2.0]), (2, [1.0] * 4)], "id long, values array<float>")
+    with pytest.raises(Exception, match="of 2 and of 4 numbers"):
+        search.nearest(ragged.coalesce(1), asked).collect()
+
+
+def test_nearly_equal_scores_rank_by_score(spark):
+    rows = [(i, [1.0, 1e-4 + i * 1e-6]) for i in range(50)]
+    stored = spark.createDataFrame(rows, "id long, values array<double>")
+    asked = spark.createDataFrame([(1, [0.0, 1.0])], "q_id int, values array<double>")
+    found = search.nearest(stored, asked, k=3).orderBy("rank").collect()
+    assert [r.id for r in found] == [49, 48, 47]
+
+
+def test_a_hit_has_one_row_of_metadata(spark):
+    hits = spark.createDataFrame([(1, 1, "a", 0.5)], "q_id int, rank int, id string, score double")
+    stored = spark.createDataFrame([("a", "m"), ("a", "m")], "id string, metadata string")
+    for most in (100, 0):
+        assert search.with_metadata(hits, stored, most).count() == 1
+
+
 def test_the_model_runs_once_per_text(bronze):
-    built = vectors.article_vectors(refine(bronze({"url": "u", "title": "t"})))
+    ones = lambda: lambda texts: np.ones((len(texts), 2))
+    built = vectors.article_vectors(refine(bronze({"url": "u", "title": "t"})), ones)
     plan = built._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1
 

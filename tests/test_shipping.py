@@ -8,11 +8,11 @@ SCRIPT = """
 import sys
 sys.path.insert(0, {repo!r})
 from newslake import build_session
-from newslake.functions.embedding import hashed_words, vector
+from newslake.functions.embedding import vector
 from newslake.operators import answers, search
 from pyspark.sql import functions as F
 spark = build_session(**{{"spark.master": "local[2]", "spark.ui.enabled": "false"}})
-texts = spark.range(40).select(F.col("id"), vector(F.concat(F.lit("t "), "id"), hashed_words(8)).alias("values"))
+texts = spark.range(40).select(F.col("id"), vector(F.concat(F.lit("t "), "id"), lambda: lambda t: [[len(x), 1.0] for x in t]).alias("values"))
 asked = texts.select(F.col("id").alias("q_id"), "values")
 for numbers in (10000, 80):
     assert search.nearest(texts, asked, 2, broadcast_numbers=numbers).count() == 80
