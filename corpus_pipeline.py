@@ -17,11 +17,12 @@ from newslake.llm.queries import toxicity_model
 from newslake.session import shared_dir
 
 
-def _with_text(docs: DataFrame, text) -> DataFrame:
-    docs = docs.withColumn("text", text)
-    if "n_chars" in docs.columns:
-        docs = docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return docs
+def _counted(docs: DataFrame, like: DataFrame) -> DataFrame:
+    """The columns of ``like``, with the number of characters of the new text."""
+    if "n_chars" in like.columns:
+        length = F.length("text").cast(like.schema["n_chars"].dataType)
+        docs = docs.withColumn("n_chars", length)
+    return docs.select(like.columns)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,8 +32,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that an earlier line of the corpus has almost word for word go."""
-    columns = docs.columns
-    return _with_text(linededup.deduplicated(docs).select(columns), F.col("text"))
+    # Without the column that changes anyway, the table is shuffled only once.
+    return _counted(linededup.deduplicated(docs.drop("n_chars")), docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +43,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data is replaced by the name of its kind."""
-    return _with_text(docs, pii.masked(F.col("text")))
+    return _counted(docs.withColumn("text", pii.masked(F.col("text"))), docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
