@@ -8,30 +8,45 @@ from pyspark.sql import DataFrame, SparkSession
 
 from newslake.operators.gold import ROLLUPS, reconciled
 from newslake.operators.refine import refine
-from newslake.sources import tables
+from newslake.sources import delta, tables
 
 
 def load_silver(
-    bronze: DataFrame, path: str, arrival: Sequence[str] = ("ingested_at",), batch: str | None = None
-) -> str:
-    """Refine the raw table and insert the URLs that Silver does not have."""
-    return tables.insert_new(refine(bronze, arrival), path, ["url"], batch)
-
-
-def load_gold(silver: DataFrame, path: str) -> int:
-    """Recompute the aggregates and merge them into the stored ones.
+    bronze: DataFrame,
+    path: str,
+    arrival: Sequence[str] = ("ingested_at",),
+    batch: str | None = None,
+    fmt: str = "parquet",
+) -> str | None:
+    """Refine the raw table and insert the URLs that Silver does not have;
+    returns the tag of the load, which Delta tables have no use for."""
+    rows = refine(bronze, arrival)
+    if fmt == "delta":
+        return delta.insert_new(rows, path, ["url"])
+    return tables.insert_new(rows, path, ["url"], batch)
+
+
+def load_gold(silver: DataFrame, path: str, fmt: str = "parquet") -> int | None:
+    """Recompute the aggregates and merge them into the stored ones, which are
+    one snapshot, or, as Delta, one table each.
 
     If the rows come with the tag of their load, ``batch``, the micro-batches
     among them are noted as held, and a stream that works on the same tables
     does not add them a second time.
     """
+    if fmt == "delta":
+        for name, rollup in ROLLUPS.items():
+            delta.upsert(rollup.states(silver), f"{path}/{name}", rollup.keys)
+        return None
     covered = tables.last_batches(silver) if "batch" in silver.columns else None
     parts = {name: (rollup.states(silver), rollup.keys) for name, rollup in ROLLUPS.items()}
     return tables.upsert_parts(parts, path, covered=covered)
 
 
-def read_gold(spark: SparkSession, path: str, name: str) -> DataFrame:
+def read_gold(spark: SparkSession, path: str, name: str, fmt: str = "parquet") -> DataFrame:
     """One of the stored aggregates, loaded in a batch run or by the stream."""
+    if fmt == "delta":
+        return ROLLUPS[name].report(tables.scan(spark, f"{path}/{name}", fmt))
     return ROLLUPS[name].report(tables.read_snapshot(spark, path, name))
 
 

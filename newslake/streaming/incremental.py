@@ -9,6 +9,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from newslake.operators.gold import ROLLUPS
 from newslake.operators.refine import refine
+from newslake.plans import medallion
 from newslake.sources import tables
 from newslake.streaming.batches import batch_tags
 
@@ -35,13 +36,22 @@ def refiner(
     checkpoint: str,
     arrival: Sequence[str] = ("ingested_at",),
     total_order: bool = False,
+    fmt: str = "parquet",
 ) -> DataStreamWriter:
     """Stream that refines each batch of the raw table and adds it to Silver
-    and to the aggregates. Across batches the first arrival of a URL stays."""
+    and to the aggregates. Across batches the first arrival of a URL stays.
+
+    Delta tables keep no note of batches: there the aggregates are counted
+    anew from all of Silver, which a replay does not change.
+    """
     tag_of = batch_tags(checkpoint)
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        if fmt == "delta":
+            medallion.load_silver(batch, silver, arrival, fmt=fmt)
+            medallion.load_gold(tables.scan(spark, silver, fmt), gold, fmt)
+            return
         tag = tag_of(spark, batch_id)
         rows = refine(batch, arrival, total_order).persist()
         tables.insert_new(rows, silver, ["url"], tag, small_batch=True)

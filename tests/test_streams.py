@@ -1,3 +1,4 @@
+import datetime as dt
 import json
 
 import pytest
@@ -100,6 +101,38 @@ def test_producer_sends_each_url_once(spark, tmp_path):
     assert run() == ["", "", "", "a", "b", "c", "d"]
 
 
+def test_rejects_are_written(spark, tmp_path):
+    topic, root = tmp_path / "topic", str(tmp_path)
+    send(topic, "1.txt", article("a"), article("n", None), "broken", article(None))
+
+    def run():
+        stream = topics.read_message_files(spark, str(topic))
+        topics.run(lander(stream, f"{root}/out", f"{root}/seen", f"{root}/m1", rejects=f"{root}/unlanded"))
+        topics.run(ingest.reject_writer(stream, f"{root}/unread", f"{root}/m2"))
+
+    for _ in range(2):
+        run()
+        unlanded = [r._raw for r in tables.scan(spark, f"{root}/unlanded").collect()]
+        assert sorted(unlanded) == sorted([article("n", None), "broken", article(None)])
+        assert [r._raw for r in tables.scan(spark, f"{root}/unread").collect()] == ["broken"]
+
+
+def test_landed_days_are_pruned_and_few(spark, tmp_path):
+    path = str(tmp_path / "landed")
+    many = spark.range(0, 400, numPartitions=8).selectExpr(
+        "concat('u', id) as url", "'t' as title", "id % 5 as day",
+        *(f"cast(null as string) as {c}" for c in ("description", "content", "source", "published_at", "author")),
+    )
+    arrived = F.timestamp_seconds(F.lit(1704067200) + F.col("day") * 86400)
+    landing.land(landing.landing_rows(many, arrived), path)
+    assert len(list((tmp_path / "landed").rglob("part-*"))) <= 8
+    day = dt.date(2024, 1, 3)
+    found = landing.read_landed(spark, path, day, day)
+    assert found.count() == 80 and landing.read_landed(spark, path).count() == 400
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
+
+
 def test_batches_have_names_of_their_own(spark, tmp_path):
     names = []
     (tmp_path / "in").mkdir()
@@ -179,6 +212,54 @@ def test_windows_close_behind_the_watermark(spark, tmp_path):
     assert got == {"2024-01-01 00:00:00": 2, "2024-01-02 00:00:00": 1}
 
 
+def in_runs(spark, root, rows, build):
+    """One run of a restarted stream for each row ``url, time``."""
+    for row in rows:
+        df = spark.createDataFrame([row], "url string, t string")
+        df.withColumn("t", F.col("t").cast("timestamp")).coalesce(1).write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema("url string, t timestamp").parquet(f"{root}/in")
+        found = start(spark, build(stream), root, "out")
+    return found
+
+
+def test_late_rows_are_left_out(spark, tmp_path):
+    """A row behind the watermark counts nowhere, its window is closed."""
+    rows_ = [("a", f"2024-01-{day} 12:00") for day in ("01", "05", "01", "09")]
+    counts = in_runs(spark, str(tmp_path), rows_, lambda s: late.window_counts(s, "t", "1 day"))
+    got = {str(r.window_start)[:10]: r.total_articles for r in counts.collect()}
+    assert got == {"2024-01-01": 1, "2024-01-05": 1}
+
+
+def test_state_is_forgotten_behind_the_delay(spark, tmp_path):
+    """A key stays known within the delay. Long after it, once the watermark
+    has passed, its state is gone and it is new again."""
+    rows_ = [(url, f"2024-01-{day} 00:00") for url, day in (("a", "01"), ("a", "02"), ("b", "20"), ("a", "28"))]
+    kept = in_runs(spark, str(tmp_path), rows_, lambda s: late.without_repeats(s, "url", "t", "3 days"))
+    assert sorted((r.url, r.t.day) for r in kept.collect()) == [("a", 1), ("a", 28), ("b", 20)]
+
+
+def test_a_stream_that_goes_on(spark, tmp_path):
+    topic, table = tmp_path / "topic", str(tmp_path / "bronze")
+    send(topic, "1.txt", article("a"))
+    stream = ingest.raw_articles(topics.read_message_files(spark, str(topic)))
+    query = topics.run(ingest.bronze_writer(stream, table, str(tmp_path / "mark")), every="1 second")
+    try:
+        query.processAllAvailable()
+        send(topic, "2.txt", article("b"))
+        query.processAllAvailable()
+        assert query.isActive
+        assert sorted(r.url for r in tables.scan(spark, table).collect()) == ["a", "b"]
+    finally:
+        query.stop()
+
+
+def test_arrival_stamps_are_the_time_of_the_run(spark):
+    before = spark.sql("select current_timestamp() as t").first().t
+    stamped = ingest.raw_articles(spark.createDataFrame([(article("a"),)], "value string")).first()
+    after = spark.sql("select current_timestamp() as t").first().t
+    assert before <= stamped.ingested_at <= after
+
+
 def test_repeats_within_the_delay_go(spark, tmp_path):
     root = str(tmp_path)
     data = spark.range(0, 3000, numPartitions=6).selectExpr(
