@@ -39,7 +39,7 @@ SHARE = 0.05
 LEAST = 512
 NEAR = 0.5
 BLOCK = 16_384
-QUERIES = 2_048
+QUERIES = 32_768
 
 
 def usable(vectors: DataFrame) -> DataFrame:
