@@ -43,7 +43,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data is replaced by the name of its kind."""
-    return _counted(docs.withColumn("text", pii.masked(F.col("text"))), docs)
+    return _counted(pii.masked(docs), docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newslake.llm.common import once_per_worker
+from newslake.llm.common import once_per_worker, to_python
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -185,7 +185,7 @@ def encoded(texts: DataFrame, path: str, pattern: str) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
-    return rows.mapInArrow(encode, "doc_id long, ids array<int>")
+    return to_python(rows).mapInArrow(encode, "doc_id long, ids array<int>")
 
 
 def decoded(tokens: DataFrame, path: str, pattern: str) -> DataFrame:

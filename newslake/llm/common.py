@@ -19,6 +19,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+ROWS_PER_BATCH = 1000
+
+
+def to_python(texts: DataFrame) -> DataFrame:
+    """The table, whose whole texts are about to go to Python: from now on the
+    session sends no more than ``ROWS_PER_BATCH`` rows at a time, or what was
+    set before if that is less. Spark's default of ten thousand long texts takes
+    its place several times over, in the JVM and in every worker."""
+    conf, key = texts.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(conf.get(key))
+    if now <= 0 or now > ROWS_PER_BATCH:
+        conf.set(key, ROWS_PER_BATCH)
+    return texts
+
+
 def once_per_worker(key: tuple, make: Callable[[], Any]) -> Any:
     """What ``make`` returns, kept as long as the Python worker lives."""
     kept = sys.__dict__.setdefault("_newslake_kept", {})

@@ -33,12 +33,12 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newslake.llm.common import once_per_worker, unused
+from newslake.llm.common import once_per_worker, to_python, unused
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 LEAST_WORDS = 5
-_BYTES_AT_ONCE = 1 << 20
+_BYTES_AT_ONCE = 1 << 18
 _BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 _STEP = 0xDA942042E4DD58B5
 _NO_ID = -(1 << 63)
@@ -63,7 +63,7 @@ class Powers:
         if n > len(self.up):
             grown = []
             for base in (self.base, self.inverse):
-                factors = np.full(2 * n, base, np.uint64)
+                factors = np.full(n + n // 4, base, np.uint64)
                 factors[0] = 1
                 grown.append(np.cumprod(factors, dtype=np.uint64))
             self.up, self.down = grown
@@ -193,7 +193,7 @@ def hashed_lines(docs: DataFrame) -> DataFrame:
                 )
 
     halves = ", ".join(f"{h} long" for h in _HALVES)
-    return docs.select("doc", "row_key", "text").mapInArrow(run, f"{_LINE_COLUMNS}, {halves}")
+    return to_python(docs.select("doc", "row_key", "text")).mapInArrow(run, f"{_LINE_COLUMNS}, {halves}")
 
 
 def neighbourhoods(lines: DataFrame, doc: str, row_key: str, wanted: str) -> DataFrame:
@@ -266,7 +266,7 @@ def neighbourhoods(lines: DataFrame, doc: str, row_key: str, wanted: str) -> Dat
                 words = pa.array([b" ".join(c.split()).decode() for c in chosen], pa.string())
                 yield rows(_WORDS, np.arange(len(n)), pa.nulls(len(n), pa.binary()), words)
 
-    return lines.mapInArrow(
+    return to_python(lines).mapInArrow(
         run, "role int, key binary, doc long, row_key long, line int, words string"
     )
 

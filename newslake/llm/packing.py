@@ -27,7 +27,7 @@ from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from newslake.llm.common import checkpointed, once_per_worker
+from newslake.llm.common import checkpointed, once_per_worker, to_python
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -105,7 +105,7 @@ def pieces(docs: DataFrame, path: str, pattern: str, most: int, end_id: int) ->
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
-    return rows.mapInArrow(tokenize, f"{PIECES}, task int, number long")
+    return to_python(rows).mapInArrow(tokenize, f"{PIECES}, task int, number long")
 
 
 def fullest(left: dict[int, int], room: int) -> dict[int, int]:

@@ -24,7 +24,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newslake.llm.common import once_per_worker
+from newslake.llm.common import once_per_worker, to_python
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -185,11 +185,12 @@ def with_spans(docs: DataFrame, text: str = "text", to: str = "spans") -> DataFr
                 for t in texts
             ], dtype=object)
 
-    return docs.withColumn(to, spans(F.col(text)))
+    return to_python(docs).withColumn(to, spans(F.col(text)))
 
 
-def masked(text: Column) -> Column:
-    """The text with every span replaced by its kind in brackets; null stays null."""
+def masked(docs: DataFrame, text: str = "text") -> DataFrame:
+    """The table with every span of the text replaced by its kind in brackets;
+    null stays null. Other columns stay as they are."""
 
     @F.pandas_udf("string")
     def mask(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -200,7 +201,7 @@ def masked(text: Column) -> Column:
                 dtype=object,
             )
 
-    return mask(text)
+    return to_python(docs).withColumn(text, mask(F.col(text)))
 
 
 def digests(found: DataFrame) -> DataFrame:

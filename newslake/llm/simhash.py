@@ -23,7 +23,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from newslake.llm.common import checkpointed, unused
+from newslake.llm.common import checkpointed, to_python, unused
 from newslake.llm.components import components
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -66,7 +66,7 @@ def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
-    return rows.mapInArrow(run, "doc_id long, fingerprint long")
+    return to_python(rows).mapInArrow(run, "doc_id long, fingerprint long")
 
 
 def block_masks(distance: int) -> list[int]:

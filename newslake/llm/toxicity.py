@@ -31,7 +31,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newslake.llm.common import checkpointed
+from newslake.llm.common import checkpointed, to_python
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -150,7 +150,7 @@ def train(docs: DataFrame, labels: DataFrame, learnable: Column) -> Model:
     ).union(
         rows.where(_chosen(F.col("doc_id"), UNLABELLED, docs.count())).select(F.lit(0).alias("toxic"), "text")
     )
-    stored = checkpointed(sample.mapInArrow(_features_of, "toxic int, found array<string>"))
+    stored = checkpointed(to_python(sample).mapInArrow(_features_of, "toxic int, found array<string>"))
     sizes = {r.toxic: r.n for r in stored.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n_p, n_u = max(1, sizes.get(1, 0)), max(1, sizes.get(0, 0))
     seen = (
@@ -195,7 +195,7 @@ def score(text: Column, model: Model) -> Column:
 
 def scored(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id, score, predicted`` for every row, repeated ones included."""
-    return docs.select(
+    return to_python(docs).select(
         F.col("doc_id").cast("long").alias("doc_id"), score(F.col("text"), model).alias("score")
     ).select(
         "doc_id", "score", (F.col("score") >= threshold).cast("int").alias("predicted")
@@ -204,4 +204,4 @@ def scored(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataF
 
 def clean(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """The rows that score below the threshold, with the columns they had."""
-    return docs.where(score(F.col("text"), model) < threshold)
+    return to_python(docs).where(score(F.col("text"), model) < threshold)
