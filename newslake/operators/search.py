@@ -176,6 +176,7 @@ def nearest(
     v = vectors.select("id", "values").where(F.col("values").isNotNull())
     q = questions.select("q_id", "values").where(F.col("values").isNotNull())
     schema = _schema(v, q)
+    q = q.persist()  # embedding them may be dear, and they are read twice
     asked = q.agg(F.count("*").alias("rows"), F.max(F.size("values")).alias("dims")).first()
     per_block = max(1, broadcast_numbers // max(1, asked.dims or 1))
     if asked.rows <= per_block:

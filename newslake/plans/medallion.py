@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from newslake.operators.gold import ROLLUPS, reconciled
 from newslake.operators.refine import refine
@@ -17,13 +18,16 @@ def load_silver(
     arrival: Sequence[str] = ("ingested_at",),
     batch: str | None = None,
     fmt: str = "parquet",
+    by_day: bool = False,
 ) -> str | None:
     """Refine the raw table and insert the URLs that Silver does not have;
-    returns the tag of the load, which Delta tables have no use for."""
+    returns the tag of the load, which Delta tables have no use for. With
+    ``by_day``, Silver is laid out by published date, in its column ``day``."""
     rows = refine(bronze, arrival)
     if fmt == "delta":
         return delta.insert_new(rows, path, ["url"])
-    return tables.insert_new(rows, path, ["url"], batch)
+    day = F.to_date("published_at") if by_day else None
+    return tables.insert_new(rows, path, ["url"], batch, day=day)
 
 
 def load_gold(silver: DataFrame, path: str, fmt: str = "parquet") -> int | None:

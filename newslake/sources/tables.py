@@ -22,7 +22,7 @@ from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -109,12 +109,15 @@ def insert_new(
     keys: Sequence[str],
     batch: str | None = None,
     small_batch: bool = False,
+    day: Column | None = None,
 ) -> str:
     """Add the rows whose key is not stored yet; stored rows never change.
 
     ``src`` has one row per key, and no null key. Rows of an earlier attempt
     at the same batch do not count as stored. ``small_batch`` says that
-    ``src`` is cached and small beside the table. Returns the batch tag.
+    ``src`` is cached and small beside the table. With ``day``, the load is laid
+    out in folders ``day=``, one file each unless a day is large, and the table
+    has that column. Returns the batch tag.
     """
     spark = src.sparkSession
     batch = batch or new_tag()
@@ -123,7 +126,10 @@ def insert_new(
         others = stored.where(F.col("batch") != batch)
         pick = unmatched_in_large if small_batch else unmatched
         src = pick(src, others, keys, null_safe=False)
-    src.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+    writer = src.write
+    if day is not None:
+        writer = src.withColumn("day", day).hint("rebalance", "day").write.partitionBy("day")
+    writer.mode("overwrite").parquet(f"{path}/batch={batch}")
     return batch
 
 

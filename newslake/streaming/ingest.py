@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from newslake.functions.messages import decode, rejected, stamp
@@ -19,9 +20,14 @@ def reject_writer(messages: DataFrame, path: str, checkpoint: str) -> DataStream
 
 
 def bronze_writer(
-    articles: DataFrame, path: str, checkpoint: str, fmt: str = "parquet"
+    articles: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", by_day: bool = False
 ) -> DataStreamWriter:
-    """Append to the raw table; the checkpoint makes restarts exact."""
+    """Append to the raw table; the checkpoint makes restarts exact. With
+    ``by_day``, there is a folder, and a column, ``ingest_day`` per day of
+    arrival, and a question about some days opens only theirs."""
+    if by_day:
+        dated = articles.withColumn("ingest_day", F.to_date("ingested_at"))
+        return bronze_writer(dated, path, checkpoint, fmt).partitionBy("ingest_day")
     return (
         articles.writeStream.format(fmt)
         .outputMode("append")

@@ -151,3 +151,17 @@ def test_verify_shows_a_few_rows(spark, tmp_path):
     spark.range(20).write.parquet(str(tmp_path / "t"))
     count, found = tables.verify(spark, str(tmp_path / "t"))
     assert count == 20 and len(found) == 5
+
+
+def test_silver_by_published_date(spark, bronze, tmp_path):
+    path = str(tmp_path / "silver")
+    days = [{"url": f"u{i}", "title": "t", "published_at": f"2024-01-0{1 + i % 3}"} for i in range(12)]
+    medallion.load_silver(bronze(*days, {"url": "x", "title": "t"}).repartition(4), path, batch="a", by_day=True)
+    medallion.load_silver(bronze(*days, {"url": "y", "title": "t"}), path, batch="b", by_day=True)
+    stored = tables.read_inserted(spark, path)
+    assert stored.count() == 14
+    found = stored.where("day = date'2024-01-02'")
+    assert found.count() == 4
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
+    assert len(list((tmp_path / "silver" / "batch=a" / "day=2024-01-02").glob("part-*"))) == 1

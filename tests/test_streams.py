@@ -238,6 +238,15 @@ def test_state_is_forgotten_behind_the_delay(spark, tmp_path):
     assert sorted((r.url, r.t.day) for r in kept.collect()) == [("a", 1), ("a", 28), ("b", 20)]
 
 
+def test_bronze_by_day_of_arrival(spark, tmp_path):
+    send(tmp_path / "topic", "1.txt", article("a"), article("b"))
+    stream = ingest.raw_articles(topics.read_message_files(spark, str(tmp_path / "topic")))
+    topics.run(ingest.bronze_writer(stream, str(tmp_path / "b"), str(tmp_path / "m"), by_day=True))
+    stored = tables.scan(spark, str(tmp_path / "b"))
+    assert stored.where("ingest_day = to_date(ingested_at)").count() == 2
+    assert len(list((tmp_path / "b").glob("ingest_day=*"))) >= 1
+
+
 def test_a_stream_that_goes_on(spark, tmp_path):
     topic, table = tmp_path / "topic", str(tmp_path / "bronze")
     send(topic, "1.txt", article("a"))
