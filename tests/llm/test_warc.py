@@ -2,7 +2,6 @@ import hashlib
 import json
 
 from newslake.llm import warc
-from pyspark.sql import functions as F
 
 SCHEMA = "page_id long, url string, html string, block string"
 HTML = (
