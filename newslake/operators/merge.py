@@ -28,18 +28,12 @@ def _same_key(df: DataFrame, other: DataFrame, keys: Sequence[str], null_safe: b
     return reduce(and_, [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs])
 
 
-def only_unique(src: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The rows of ``src``; the job fails where a key occurs twice.
-
-    Rows are counted with partial aggregation on the merge keys, the
-    partitioning the merge join needs anyway.
-    """
-    counted = src.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(
-        F.count("*").alias("_n"), F.first(F.struct("*")).alias("_row")
-    )
-    message = F.lit(f"several rows in the merge source for one key of {list(keys)}")
-    row = F.when(F.col("_n") > 1, F.raise_error(message)).otherwise(F.col("_row"))
-    return counted.select(row.alias("_row")).select("_row.*")
+def require_unique(src: DataFrame, keys: Sequence[str]) -> None:
+    """Fails if a key occurs twice. Only the keys are read and counted, with
+    partial counts before the shuffle."""
+    counted = src.groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1")
+    if counted.limit(1).count():
+        raise ValueError(f"several rows in the merge source for one key of {list(keys)}")
 
 
 def unmatched(
@@ -79,9 +73,3 @@ def unmatched_in_large(
     found = _keys(target.join(sent, _same_key(target, sent, keys, null_safe), "left_semi"), keys)
     back = F.broadcast(found.distinct())
     return src.join(back, _same_key(src, back, keys, null_safe), "left_anti")
-
-
-def upserted(target: DataFrame, src: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``target`` with the rows of ``src``, one per key, replacing or joining
-    its own."""
-    return unmatched(target, src, keys).unionByName(src)

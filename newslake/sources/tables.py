@@ -18,7 +18,7 @@ from __future__ import annotations
 import json
 import re
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from newslake.operators.merge import only_unique, unmatched, unmatched_in_large, upserted
+from newslake.operators.merge import require_unique, unmatched, unmatched_in_large
 
 _PUBLISHED = "version long, folder string, batch string, applied map<string, long>"
 _STREAM_BATCH = "stream-(.*)-([0-9]+)"
@@ -45,11 +45,6 @@ def scan_sql(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     return spark.sql(f"select * from {fmt}.`{path}`")
 
 
-def scan_json(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """JSON files at any depth below ``path``, with a declared schema."""
-    return spark.read.schema(schema).option("recursiveFileLookup", "true").json(path)
-
-
 def _missing(error: AnalysisException) -> bool:
     return error.getCondition() == "PATH_NOT_FOUND"
 
@@ -173,15 +168,17 @@ def has_applied(now: Row | None, batch: str | None) -> bool:
 
 
 def publish(
-    parts: dict[str, DataFrame],
+    parts: dict[str, DataFrame | Callable[[str], None]],
     path: str,
     now: Row | None,
     batch: str | None = None,
     covered: Mapping[str, int] | None = None,
+    spark: SparkSession | None = None,
 ) -> int:
     """Write the snapshot after ``now`` and make it current.
 
-    The parts are written side by side and become current together. With the
+    The parts, tables or functions that write one to a place, are written side
+    by side and become current together. With the
     snapshot goes, per stream, the highest micro-batch that it holds: those of
     ``now``, that of ``batch``, and those that are ``covered``.
     """
@@ -193,11 +190,15 @@ def publish(
     folder = f"v{version:06d}-{uuid.uuid4().hex}"
 
     def write(part: str) -> None:
-        parts[part].write.mode("errorifexists").parquet(f"{path}/data/{folder}/{part}")
+        place, rows = f"{path}/data/{folder}/{part}", parts[part]
+        if callable(rows):
+            rows(place)
+        else:
+            rows.write.mode("errorifexists").parquet(place)
 
     with ThreadPoolExecutor(len(parts)) as pool:
         list(pool.map(write, parts))
-    spark = next(iter(parts.values())).sparkSession
+    spark = spark or next(iter(parts.values())).sparkSession
     entry = spark.range(0, 1, numPartitions=1).select(
         F.lit(version).cast("long").alias("version"),
         F.lit(folder).alias("folder"),
@@ -233,19 +234,23 @@ def upsert_parts(
     now = current(spark, path)
     if has_applied(now, batch):
         return now.version
-    checked = {part: only_unique(src, keys) for part, (src, keys) in parts.items()}
-    if now is None:
-        return publish(checked, path, now, batch, covered)
-    # Read twice by the merge: once for the keys, once for the rows.
-    rows = {part: src.persist() for part, src in checked.items()}
-    merged = {
-        part: upserted(read_part(spark, path, now, part, src.schema), src, parts[part][1])
-        for part, src in rows.items()
-    }
-    version = publish(merged, path, now, batch, covered)
-    for src in rows.values():
-        src.unpersist()
-    return version
+
+    def writer(part: str) -> Callable[[str], None]:
+        src, keys = parts[part]
+
+        def write(place: str) -> None:
+            # Once written, the source is read again for its keys only.
+            src.write.mode("errorifexists").parquet(place)
+            fresh = scan(spark, place, schema=src.schema)
+            require_unique(fresh, keys)
+            if now:
+                old = read_part(spark, path, now, part, src.schema)
+                unmatched(old, fresh, keys).write.mode("append").parquet(place)
+
+        return write
+
+    writers = {part: writer(part) for part in parts}
+    return publish(writers, path, now, batch, covered, spark)
 
 
 def upsert(src: DataFrame, path: str, keys: Sequence[str], batch: str | None = None) -> int:

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from newslake.operators import gold
-from newslake.operators.merge import only_unique, unmatched, unmatched_in_large
+from newslake.operators.merge import require_unique, unmatched, unmatched_in_large
 from newslake.operators.refine import refine
 from newslake.plans import medallion
 from newslake.sources import delta, tables
@@ -30,9 +30,9 @@ def test_two_rows_for_a_key_fail(spark, tmp_path):
     with pytest.raises(Exception, match="several rows in the merge source"):
         tables.upsert(src, str(tmp_path / "t"), ["k"])
     assert tables.current(spark, str(tmp_path / "t")) is None
-    assert rows(only_unique(spark.createDataFrame([("a", 1), (None, 2)], ROWS), ["k"])) == [
-        ("a", 1), (None, 2),
-    ]
+    require_unique(spark.createDataFrame([("a", 1), (None, 1)], ROWS), ["k"])
+    with pytest.raises(ValueError, match="several rows"):
+        require_unique(spark.createDataFrame([(None, 1), (None, 2)], ROWS), ["k"])
 
 
 def test_a_failed_write_leaves_the_published_version(spark, tmp_path):
