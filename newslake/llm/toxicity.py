@@ -83,14 +83,17 @@ def fit(
     prior: float,
     steps: int = 400,
     rate: float = 0.05,
-    decay: float = 5e-4,
+    decay: float | None = None,
     backward: float = 1.0,
 ) -> tuple[np.ndarray, float]:
-    """Weights and bias that make the non-negative risk small, by Adam steps."""
+    """Weights and bias that make the non-negative risk small, by Adam steps; the
+    mean of the later half of them, since they go back and forth. Unless told, the decay of the weights is the stronger the fewer toxic texts
+    there are."""
     p, u = _Rows(toxic, width), _Rows(unlabelled, width)
+    decay = min(1e-3, 0.5 / max(1, p.count)) if decay is None else decay
     theta = np.zeros(width + 1)
     theta[-1] = np.log(prior / (1 - prior))
-    first, second = np.zeros_like(theta), np.zeros_like(theta)
+    first, second, mean = np.zeros_like(theta), np.zeros_like(theta), np.zeros_like(theta)
     sigmoid = lambda m: 1 / (1 + np.exp(-np.clip(m, -40, 40)))
 
     def slope(rows: _Rows, slopes: np.ndarray) -> np.ndarray:
@@ -106,7 +109,9 @@ def fit(
         first = 0.9 * first + 0.1 * grad
         second = 0.999 * second + 0.001 * grad**2
         theta -= rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
-    return theta[:-1], float(theta[-1])
+        if step > steps // 2:
+            mean += theta / (steps - steps // 2)
+    return mean[:-1], float(mean[-1])
 
 
 def _chosen(ids: Column, most: int, of: int) -> Column:

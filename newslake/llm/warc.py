@@ -41,8 +41,7 @@ def _digest(text: Column) -> Column:
 def _record_id(*parts: Column) -> Column:
     """An identifier made from content, in the form of a UUID."""
     name = F.md5(F.concat_ws("\u001f", *parts))
-    cuts = [F.substring(name, start, n) for start, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
-    return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *cuts), F.lit(">"))
+    return F.regexp_replace(name, r"^(.{8})(.{4})(.{4})(.{4})(.{12})$", "<urn:uuid:$1-$2-$3-$4-$5>")
 
 
 def _plain(text: Column) -> Column:
