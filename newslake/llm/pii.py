@@ -72,6 +72,22 @@ _VALUE = {
 }
 
 
+#: The length of an IBAN, by country.
+_IBAN_LENGTHS = {
+    country: int(length)
+    for length, countries in (
+        item.split(":")
+        for item in (
+            "15:NO 16:BE 18:DK,FI,FK,FO,GL,NL,SD 19:MK,SI 20:AT,BA,EE,KZ,LT,LU,MN,XK 21:CH,HR,LI,LV"
+            " 22:BG,BH,CR,DE,GB,GE,IE,ME,RS,VA 23:AE,GI,IL,IQ,OM,SO,TL 24:AD,CZ,ES,MD,PK,RO,SA,SE,SK,TN,VG"
+            " 25:LY,PT,ST 26:IS,TR 27:BI,DJ,FR,GR,IT,MC,MR,SM 28:AL,AZ,BY,CY,DO,GT,HN,HU,LB,NI,PL,SV"
+            " 29:BR,EG,PS,QA,UA 30:JO,KW,MU,YE 31:MT,SC 32:LC 33:RU"
+        ).split()
+    )
+    for country in countries.split(",")
+}
+
+
 def _automaton() -> ahocorasick.Automaton:
     found = ahocorasick.Automaton()
     for digit in "0123456789":
@@ -105,6 +121,25 @@ def _iban(value: str) -> bool:
     return int("".join(str(int(c, 36)) for c in moved)) % 97 == 1
 
 
+def _iban_end(text: str, match: re.Match) -> int:
+    """Where the IBAN ends that the match begins with, which may run on into
+    words in capitals and numbers: at its country's length, for other countries
+    at the last end of a group that the check digits agree with; without one,
+    the end of the match."""
+    start, end = match.span()
+    ends, size, want = [], 0, _IBAN_LENGTHS.get(text[start : start + 2])
+    for at in range(start, end):
+        size += text[at] != " "
+        if text[at] != " " and not text[at + 1 : at + 2].isalnum():
+            if size == want:
+                return at + 1 if _iban(text[start : at + 1]) else end
+            if size >= 15:
+                ends.append(at + 1)
+    if want is None:
+        return next((e for e in reversed(ends) if _iban(text[start:e])), end)
+    return end
+
+
 _VALID = {
     "ip": lambda v: all(map(_small, v.split("."))),
     "card": lambda v: 14 <= len(d := _digits(v)) <= 19 and _luhn(d),
@@ -122,9 +157,10 @@ def find(text: str, automaton: ahocorasick.Automaton) -> list[tuple[str, int, in
     def take(kind: str, match: re.Match | None, start: int | None = None) -> None:
         if match:
             start = match.start() if start is None else start
-            free[kind] = match.end()
-            if kind not in _VALID or _VALID[kind](text[start : match.end()]):
-                spans.append((kind, start, match.end()))
+            end = _iban_end(text, match) if kind == "iban" else match.end()
+            free[kind] = end
+            if kind not in _VALID or _VALID[kind](text[start:end]):
+                spans.append((kind, start, end))
 
     for last, (what, width) in automaton.iter(text):
         at = last + 1 - width

@@ -60,6 +60,23 @@ def test_further_kinds(automaton, text, masked):
     assert pii.masked_text(text, pii.find(text, automaton)) == masked
 
 
+@pytest.mark.parametrize(
+    "text, masked",
+    [
+        ("IBAN: DE89 3704 0044 0532 0130 00 BIC: COBADEFFXXX", "IBAN: [IBAN] BIC: COBADEFFXXX"),
+        ("IBAN DE89 3704 0044 0532 0130 00 EUR 100", "IBAN [IBAN] EUR 100"),
+        ("IBAN DE89370400440532013000 7 days", "IBAN [IBAN] 7 days"),
+        ("iban GB82 WEST 1234 5698 7654 32 BIC X", "iban [IBAN] BIC X"),
+        ("IBAN: NO93 8601 1117 947 OSLO 1", "IBAN: [IBAN] OSLO 1"),
+        ("IBAN: DE88 3704 0044 0532 0130 00 BIC", "IBAN: DE88 3704 0044 0532 0130 00 BIC"),
+        ("IBAN: ZZ22 3704 0044 0532 0130 00 EUR 100", "IBAN: [IBAN] EUR 100"),
+        ("IBAN: DE89 3704 0044 0532 0130 00 BIC X; IBAN: GB82 WEST 1234 5698 7654 32", "IBAN: [IBAN] BIC X; IBAN: [IBAN]"),
+    ],
+)
+def test_iban_before_capitals_and_digits(automaton, text, masked):
+    assert pii.masked_text(text, pii.find(text, automaton)) == masked
+
+
 def test_tables(spark):
     rows = [(1, "é a@b.cd", "x"), (1, "é a@b.cd", "x"), (2, None, "x"), (3, "", None), (None, "9" * 40_000, "x")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, kind string")
