@@ -32,7 +32,8 @@ BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "url", "iban", "ssn", "account", "secret")
 SPANS = "array<struct<kind: string, start: int, end: int>>"
 
-#: Announcing words, in lower case, and the kind of value that follows.
+#: Announcing words, in lower case, and the kind of value that follows. A text
+#: may have them in any mixture of upper and lower case.
 CUES = {
     "iban": "iban",
     "ssn": "ssn",
@@ -88,6 +89,11 @@ _IBAN_LENGTHS = {
 }
 
 
+def _lower(text: str) -> str:
+    """ASCII letters in lower case, all else and all places as they are."""
+    return text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
+
+
 def _automaton() -> ahocorasick.Automaton:
     found = ahocorasick.Automaton()
     for digit in "0123456789":
@@ -95,8 +101,7 @@ def _automaton() -> ahocorasick.Automaton:
     for sign in ("@", "+", "://"):
         found.add_word(sign, (sign, len(sign)))
     for cue, kind in CUES.items():
-        for form in {cue, cue.upper(), cue.capitalize(), cue.title()}:
-            found.add_word(form, (kind, len(form)))
+        found.add_word(cue, (kind, len(cue)))
     found.make_automaton()
     return found
 
@@ -162,7 +167,7 @@ def find(text: str, automaton: ahocorasick.Automaton) -> list[tuple[str, int, in
             if kind not in _VALID or _VALID[kind](text[start:end]):
                 spans.append((kind, start, end))
 
-    for last, (what, width) in automaton.iter(text):
+    for last, (what, width) in automaton.iter(_lower(text)):
         at = last + 1 - width
         if what == "digit":
             if at and text[at - 1] in "0123456789":

@@ -77,6 +77,20 @@ def test_iban_before_capitals_and_digits(automaton, text, masked):
     assert pii.masked_text(text, pii.find(text, automaton)) == masked
 
 
+@pytest.mark.parametrize(
+    "cue", ["API key", "apiKey", "API_key", "ApiKey", "passWord", "PASSWORD", "ToKen", "é API Key", "\u0130 API key"]
+)
+def test_cues_in_mixed_case(automaton, cue):
+    text = f"{cue}: 45bb0d53635bf1 ok"
+    assert pii.masked_text(text, pii.find(text, automaton)) == f"{cue}: [SECRET] ok"
+
+
+def test_number_cues_in_mixed_case(automaton):
+    text = "Social Security number: 123-45-6789, aCCount No: 12345678, Iban: DE89370400440532013000"
+    masked = "Social Security number: [SSN], aCCount No: [ACCOUNT], Iban: [IBAN]"
+    assert pii.masked_text(text, pii.find(text, automaton)) == masked
+
+
 def test_tables(spark):
     rows = [(1, "é a@b.cd", "x"), (1, "é a@b.cd", "x"), (2, None, "x"), (3, "", None), (None, "9" * 40_000, "x")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, kind string")
