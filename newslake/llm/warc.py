@@ -13,6 +13,8 @@ reads such files back.
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +31,7 @@ _BLOCKS = (
     r"|li|main|nav|ol|option|p|pre|section|select|table|td|th|title|tr|ul)\b[^>]*>"
 )
 _TAGS = r"</?[a-zA-Z!?][^>]*>"
+# Those that the SQL decodes; the records have all of them decoded, see _NAMES.
 _ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'"), ("&amp;", "&"))
 _TITLE = r"(?is)<title[^>]*>(.*?)</title"
 _LINK = r"""(?i)<a\s[^>]*?href\s*=\s*["']([^"']*)["']"""
@@ -44,10 +47,68 @@ def _record_id(*parts: Column) -> Column:
     return F.regexp_replace(name, r"^(.{8})(.{4})(.{4})(.{4})(.{12})$", "<urn:uuid:$1-$2-$3-$4-$5>")
 
 
-def _plain(text: Column) -> Column:
-    for name, sign in _ENTITIES:
-        text = F.replace(text, F.lit(name), F.lit(sign))
-    return text
+# All names of entities, older ones first; a no-break space is a space.
+_NAMES = {
+    name: html5[name].replace("\u00a0", " ")
+    for name in sorted(html5, key=lambda name: (name.rstrip(";") not in html5, name))
+}
+# Those that may lack the semicolon, longest first.
+_OPEN = "|".join(sorted((name for name in html5 if name[-1] != ";"), key=len, reverse=True))
+# Numbers, in hex digits, that stand for something else than their code point.
+_NUMBERS = {"0": "\ufffd", "D": "\r", "A0": " "} | {
+    f"{c:X}": bytes([c]).decode("cp1252", "ignore") or chr(c) for c in range(0x80, 0xA0)
+}
+_BEYOND = "110000"
+
+
+def _map(pairs: dict[str, str]) -> Column:
+    """A constant, whatever its size."""
+    return F.str_to_map(F.lit("\x1e".join(f"{k}\x1f{v}" for k, v in pairs.items())), F.lit("\x1e"), F.lit("\x1f"))
+
+
+def _numbered(digits: Column) -> Column:
+    """The character with a number in hex digits; as browsers and Python's
+    ``html.unescape`` have it, some numbers stand for others and some for nothing."""
+    at = F.conv(digits, 16, 10).cast("int")
+    nothing = (
+        at.between(1, 8) | (at == 11) | at.between(14, 31) | (at == 127) | at.between(0xFDD0, 0xFDEF)
+        | (at.bitwiseAND(0xFFFE) == 0xFFFE)
+    )
+    # The mark in front tells the order of bytes; without it a number that is one itself would go.
+    sign = F.decode(F.unhex(F.concat(F.lit("0000FEFF"), F.lpad(digits, 8, "0"))), "UTF-32")
+    return F.coalesce(
+        F.try_element_at(_map(_NUMBERS), digits),
+        F.when((at > 0x10FFFF) | at.between(0xD800, 0xDFFF), "\ufffd").when(nothing, "").otherwise(sign),
+    )
+
+
+def _referred(after: Column, attribute: bool) -> Column:
+    """What follows an ampersand, with the reference that it begins with
+    decoded, or with the ampersand if there is none."""
+    rest = lambda reference: F.substr(after, F.length(reference) + 1)
+    number = F.regexp_extract(after, r"^#(?:[0-9]+|[xX][0-9a-fA-F]+);?", 0)
+    decimal = F.regexp_extract(number, "^#0*([0-9]+)", 1)
+    hexadecimal = F.upper(F.regexp_extract(number, "^#[xX]0*([0-9a-fA-F]+)", 1))
+    digits = F.when(decimal != "", F.when(F.length(decimal) < 8, F.conv(decimal, 10, 16)).otherwise(_BEYOND)).otherwise(
+        F.when(F.length(hexadecimal) < 7, hexadecimal).otherwise(_BEYOND)
+    )
+    # Up to the semicolon, if there is one; what is longer than any name isn't found.
+    name = F.concat(F.substring_index(F.left(after, F.lit(max(map(len, _NAMES)))), ";", 1), F.lit(";"))
+    # In an address, '&copy=1' is a parameter.
+    head = F.left(after, F.lit(_OPEN.index("|") + 1))
+    bare = F.regexp_extract(head, f"^(?:{_OPEN})" + ("(?![=A-Za-z0-9])" if attribute else ""), 0)
+    named = lambda found: F.concat(F.try_element_at(_map(_NAMES), found), rest(found))
+    return F.when(after.startswith("#"), F.concat(_numbered(digits), rest(number))).otherwise(
+        F.coalesce(
+            F.when(after.contains(";"), named(name)), F.when(bare != "", named(bare)), F.concat(F.lit("&"), after)
+        )
+    )
+
+
+def _plain(text: Column, attribute: bool = False) -> Column:
+    """The text with all character references decoded, each once."""
+    parts = F.split(text, "&(?=#[0-9]|#[xX][0-9a-fA-F]|[A-Za-z][A-Za-z0-9])")
+    return F.array_join(F.transform(parts, lambda a, i: F.when(i == 0, a).otherwise(_referred(a, attribute))), "")
 
 
 def page_text(html: Column) -> Column:
@@ -89,11 +150,12 @@ def derived(responses: DataFrame) -> DataFrame:
         _digest(F.col("payload")).alias("source_digest"),
         page_text(F.col("payload")).alias("text"),
     )
+    lines = F.split("headers", "\r\n")
     headers = F.transform(
-        F.filter(F.split("headers", "\r\n"), lambda h: h.contains(": ")),
+        F.filter(F.slice(lines, F.lit(2), F.size(lines)), lambda h: h.contains(":")),
         lambda h: F.struct(
-            F.substring_index(h, ": ", 1).alias("name"),
-            F.regexp_replace(h, r"^[^:]*: ", "").alias("value"),
+            F.regexp_extract(h, r"^[ \t]*([^:]*?)[ \t]*:", 1).alias("name"),
+            F.regexp_extract(h, r"^[^:]*:[ \t]*(.*?)[ \t]*$", 1).alias("value"),
         ),
     )
     title = _plain(F.regexp_replace(F.regexp_extract("payload", _TITLE, 1), r"\s+", " "))
@@ -102,7 +164,7 @@ def derived(responses: DataFrame) -> DataFrame:
             F.substring_index("headers", "\r\n", 1).alias("status"),
             headers.alias("headers"),
             F.trim(title).alias("title"),
-            F.transform(F.regexp_extract_all("payload", F.lit(_LINK), F.lit(1)), _plain).alias("links"),
+            F.transform(F.regexp_extract_all("payload", F.lit(_LINK), F.lit(1)), lambda x: _plain(x, True)).alias("links"),
             F.octet_length("payload").alias("payload_length"),
             F.col("source_digest").alias("payload_digest"),
         )

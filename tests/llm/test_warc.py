@@ -1,7 +1,11 @@
 import hashlib
+import html
 import json
+import random
+from html.entities import html5
 
 from newslake.llm import warc
+from pyspark.sql import functions as F
 
 SCHEMA = "page_id long, url string, html string, block string"
 HTML = (
@@ -33,6 +37,36 @@ def test_records_of_a_page(spark):
     }
 
 
+def test_all_references_are_decoded(spark):
+    rng = random.Random(4)
+    texts = [f"a &{name} b" for name in html5] + [f"&#{n};&#x{n:x}" for n in [*range(300), 8217, 0x1F600, 0xFEFF, 0xD800]]
+    texts += ["&#00065;", "&#x110000;", "&#99999999999999999999;", "&#x1ffff;", "&amp;copy;", "&#38;lt;", "&", "&&", "&#;", "&#x;"]
+    parts = ["&", "#", "x", "amp", "not", "in", "it", ";", "copy", "=", "1", "27", "8217", "é", " ", "lt", "&notin;"]
+    texts += ["".join(rng.choice(parts) for _ in range(rng.randrange(12))) for _ in range(2_000)]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    for t, plain in rows.select("t", warc._plain(F.col("t"))).collect():
+        assert plain == html.unescape(t).replace("\u00a0", " "), t
+
+
+def test_references_in_records(spark):
+    page = "<title>&copy; &#8217;</title><p>&copy; 1 &middot; &#x27;&amp;copy;</p><a href='/?a=1&copy=2&amp;b=&eacute;'>x</a>"
+    rows = {r.type: r for r in derived(spark, [(1, "u", page, "x")]).collect()}
+    assert rows["conversion"].block == "© ’\n© 1 · '&copy;\nx"
+    told = json.loads(rows["metadata"].block)
+    assert told["title"] == "© ’" and told["links"] == ["/?a=1&copy=2&b=é"]
+
+
+def test_headers_without_blanks(spark):
+    pages = warc.responses(spark.createDataFrame([(1, "u", "", "x")], SCHEMA))
+    headers = "HTTP/1.1 200 a: b\r\nServer:x\r\nDate: 10:20:30 \r\nA:\t b:c\r\nEmpty:\r\nnone"
+    meta = warc.derived(pages.withColumn("headers", F.lit(headers))).where("type = 'metadata'").first()
+    told = json.loads(meta.block)
+    assert [(h["name"], h["value"]) for h in told["headers"]] == [
+        ("Server", "x"), ("Date", "10:20:30"), ("A", "b:c"), ("Empty", ""),
+    ]
+    assert told["status"] == "HTTP/1.1 200 a: b"
+
+
 def test_odd_pages(spark):
     rows = [(1, None, None, "x"), (1, None, None, "x"), (2, "u\r\nWARC-Type: x", "", None), (None, "v", "<p>é" * 20_000, "x")]
     found = derived(spark, rows).collect()
