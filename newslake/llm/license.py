@@ -6,7 +6,8 @@ themselves are compared as well. A match votes for a diagonal: place in the
 document minus place in the template. Votes are gathered per document, template
 and diagonal as a bit mask of template places, which Spark combines before the
 shuffle. Neighbouring diagonals, which words put in or left out leave behind,
-are merged to spans. A span is verified if enough of its template's words stand
+are merged to spans; chains of them that run on, as in lists, are taken in
+pieces. A span is verified if enough of its template's words stand
 in it, and a phrase is found in full where one diagonal covers all of it.
 """
 
@@ -121,7 +122,10 @@ def spans(votes: DataFrame) -> DataFrame:
 
     Diagonals of a document and template, of which there are no more than the
     document has words, are merged if they lie at most ``GAP`` apart. Those of
-    base phrases stay alone, and count only if they have the phrase whole.
+    base phrases stay alone, and count only if they have the phrase whole. A
+    chain that covers more words than the template and ``GAP`` is taken in
+    pieces: from where each of its diagonals starts, as many words as that, with
+    that diagonal and the chain of those around it that lie in them whole.
     """
     key = ["doc_key", "row_key", "template", "label", "base", "n_grams"]
     covered = F.expr("mask" + "".join(f" | shiftleft(mask, {j})" for j in range(1, K)))
@@ -129,6 +133,30 @@ def spans(votes: DataFrame) -> DataFrame:
     low, high = F.expr("bit_count((mask & -mask) - 1)"), F.length(F.bin("mask")) - 1
     by = Window.partitionBy("doc_key", "row_key", "template").orderBy("diagonal")
     near = F.col("diagonal") - F.lag("diagonal").over(by) <= GAP
+    of_chain = Window.partitionBy("doc_key", "row_key", "template", "chain")
+    # Two diagonals with places in the same piece are no further apart.
+    around = of_chain.orderBy("diagonal").rangeBetween(-2 * MOST_WORDS - GAP, 2 * MOST_WORDS + GAP)
+    most = F.col("n_grams") + K - 1 + GAP
+    is_long = ~F.col("base") & (F.max("end").over(of_chain) - F.min("start").over(of_chain) >= most)
+    inside = F.filter("around", lambda d: (d.start >= F.col("start")) & (d.end - F.col("start") < most))
+
+    def joined(piece: Column, diagonals: Column) -> Column:
+        """The piece with the diagonals, nearest first, as far as they chain."""
+        own = F.struct(F.col("diagonal").alias("last"), piece.end.alias("end"), piece.covered.alias("covered"))
+        return F.aggregate(
+            diagonals,
+            own,
+            lambda got, d: F.when(
+                F.abs(d.diagonal - got["last"]) <= GAP,
+                F.struct(
+                    d.diagonal.alias("last"), F.greatest(got.end, d.end).alias("end"),
+                    got.covered.bitwiseOR(d.covered).alias("covered"),
+                ),
+            ).otherwise(got),
+        )
+
+    after = joined(F.struct("end", "covered"), F.filter("inside", lambda d: d.diagonal > F.col("diagonal")))
+    before = F.reverse(F.filter("inside", lambda d: d.diagonal < F.col("diagonal")))
     merged = (
         votes.withColumns({
             "covered": covered,
@@ -137,14 +165,23 @@ def spans(votes: DataFrame) -> DataFrame:
             "alone": F.when(F.col("base") | near.isNull() | ~near, 1).otherwise(0),
         })
         .withColumn("chain", F.sum("alone").over(by))
-        .groupBy(*key, "chain")
+        .withColumn("long", is_long)
+        .withColumn("around", F.collect_list(F.when(F.col("long"), F.struct("diagonal", "start", "end", "covered"))).over(around))
+        .withColumn("inside", F.when(F.col("long"), inside))
+        .withColumn("after", F.when(F.col("long"), after))
+        .withColumn("piece", F.when(F.col("long"), joined(F.col("after"), before)))
+        .withColumns({
+            "part": F.when(F.col("long"), F.col("diagonal")),
+            "end": F.coalesce("piece.end", "end"),
+            "covered": F.coalesce("piece.covered", "covered"),
+        })
+        .groupBy(*key, "chain", "part")
         .agg(
             F.min("start").alias("first_word"), F.max("end").alias("last_word"), F.bit_or("covered").alias("covered")
         )
         .withColumn("score", F.expr(f"bit_count(covered) / (n_grams + {K} - 1)").cast("double"))
     )
-    long = F.col("last_word") - F.col("first_word") >= F.col("n_grams") + K - 1 + GAP
-    verified = F.when(F.col("base"), F.col("score") == 1).otherwise((F.col("score") >= SHARE) & ~long)
+    verified = F.when(F.col("base"), F.col("score") == 1).otherwise(F.col("score") >= SHARE)
     return merged.where(verified).select(
         "doc_key", "row_key", "label", "base", "first_word", "last_word", "score"
     )

@@ -53,6 +53,27 @@ def test_changed_notices(spark):
     assert found[4][0] == ""
 
 
+def test_lists_and_repeats(spark):
+    notice = next(text for label, text in license.NOTICES if label == "mit")
+    words = notice.split()
+    changed = " ".join(words[:8] + ["other"] + words[8:])
+    rows = [
+        (1, "CC BY, CC BY-SA, CC BY-NC, CC BY-ND"),
+        (2, "CC BY, CC BY-SA, CC BY-NC"),
+        (3, "CC BY-NC CC BY-NC CC BY-NC"),
+        (4, "cc by nc " * 5_000),
+        (5, "CC BY, CC BY, CC BY, CC BY, CC BY"),
+        (6, "CC BY-NC, CC BY, CC BY, CC BY, CC BY"),
+        (7, "of this of this of this of this " + changed + " of this of this of this of this"),
+        (8, " ".join(words[:4] + ["of this software and"] * 9)),
+    ]
+    found = {r.doc_id: r.labels for r in scan(spark, rows)}
+    assert found == {
+        1: "cc-by,cc-by-nc,cc-by-nd,cc-by-sa", 2: "cc-by,cc-by-nc,cc-by-sa", 3: "cc-by,cc-by-nc",
+        4: "cc-by,cc-by-nc", 5: "cc-by", 6: "cc-by,cc-by-nc", 7: "mit", 8: "",
+    }
+
+
 def test_tables(spark):
     rows = [(1, "the MIT License " * 5_000), (2, None), (3, ""), (4, "cc by"), (4, "cc by"), (4, "gnu"), (None, "MIT license.")]
     found = sorted(scan(spark, rows), key=lambda r: (r.doc_id or 0, r.n_words))
