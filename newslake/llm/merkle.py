@@ -68,7 +68,8 @@ def likeness(left: Column, right: Column) -> Column:
 
 def edited_places(old: Column, new: Column) -> Column:
     """Places ``section, paragraph`` (from 0) of the new fingerprint's
-    paragraphs that no paragraph of the old one equals; none for equal roots."""
+    paragraphs that no paragraph of the old one equals; none for equal roots.
+    What was deleted, moved or repeated is found by ``differing_places``."""
     known = F.split(F.substring(old, 66, 1 << 30), "[|;]")
     place = F.transform(
         F.split(F.substring(new, 66, 1 << 30), ";"),
@@ -87,6 +88,47 @@ def edited_places(old: Column, new: Column) -> Column:
     )
 
 
+def differing_places(old: Column, new: Column) -> Column:
+    """Where the branches of two fingerprints differ: ``old`` and ``new``, lists
+    of places ``section, paragraph`` (from 0); at least one is not empty unless
+    the trees are equal. Null for null.
+
+    The paragraphs that both begin and end with are left out. If as many are
+    left of both, they are compared one by one, otherwise all of them differ. A
+    paragraph that begins a section differs from one that doesn't.
+    """
+
+    def paragraphs(fingerprint: Column) -> Column:
+        branch = lambda p, j: F.concat(F.when(j == 0, ";").otherwise("|"), p)
+        return F.flatten(
+            F.transform(
+                F.split(F.substring(fingerprint, 66, 1 << 30), ";"),
+                lambda s, i: F.transform(
+                    F.split(s, "[|]"),
+                    lambda p, j: F.struct(i.alias("section"), j.alias("paragraph"), branch(p, j).alias("branch")),
+                ),
+            )
+        )
+
+    def alike(a: Column, b: Column) -> Column:
+        """How many paragraphs two lists begin with alike."""
+        same = F.zip_with(a, b, lambda x, y: x.branch.eqNullSafe(y.branch))
+        return F.coalesce(F.nullif(F.array_position(same, F.lit(False)), F.lit(0)) - 1, F.size(same)).cast("int")
+
+    a, b = paragraphs(old), paragraphs(new)
+    front = alike(a, b)
+    rear = F.least(alike(F.reverse(a), F.reverse(b)), F.size(a) - front, F.size(b) - front)
+    left = lambda x: F.slice(x, front + 1, F.size(x) - front - rear)
+
+    def places(of: Column, other: Column) -> Column:
+        differs = lambda x, i: (F.size(a) != F.size(b)) | (x.branch != F.get(left(other), i).branch)
+        return F.transform(
+            F.filter(left(of), differs), lambda x: F.struct(x.section.alias("section"), x.paragraph.alias("paragraph"))
+        )
+
+    return F.when(old.isNotNull() & new.isNotNull(), F.struct(places(a, b).alias("old"), places(b, a).alias("new")))
+
+
 def _next_ids(ids: DataFrame) -> DataFrame:
     """``doc_id, next_id``: the next smaller id, after the smallest the largest.
 

@@ -37,6 +37,26 @@ def test_edited_places(spark):
     assert [[tuple(p) for p in r.p] for r in found] == [[(1, 0)], []]
 
 
+def test_differing_places(spark):
+    cases = [
+        ("x\ny\n\nz\nw", "x\ny\n\nz!\nw", [(1, 0)], [(1, 0)]),
+        ("x\ny\nz", "x\nz", [(0, 1)], []),
+        ("x\ny\nz", "x\nz\ny", [(0, 1), (0, 2)], [(0, 1), (0, 2)]),
+        ("x\ny", "x\ny\ny", [], [(0, 2)]),
+        ("x\nx\nx", "x\nx", [(0, 2)], []),
+        ("x\ny", "x\n\ny", [(0, 1)], [(1, 0)]),
+        ("a\nb\nc\nd", "A\nb\nc\nD", [(0, 0), (0, 3)], [(0, 0), (0, 3)]),
+        ("x\n\ny", "x\n\ny", [], []),
+        ("", "x", [(0, 0)], [(0, 0)]),
+    ]
+    pairs = [tuple(prints(spark, old, new)) for old, new, *_ in cases] + [(None, "x")]
+    rows = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "i int, a string, b string")
+    found = rows.select("i", merkle.differing_places(F.col("a"), F.col("b")).alias("p")).orderBy("i").collect()
+    for (old, new, *expected), r in zip(cases, found):
+        assert [[tuple(x) for x in r.p.old], [tuple(x) for x in r.p.new]] == expected, (old, new)
+    assert found[-1].p is None
+
+
 SCHEMA = "doc_id long, text string, next string"
 
 
