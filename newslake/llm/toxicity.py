@@ -43,12 +43,24 @@ SURPLUS = 4.0
 THRESHOLD = 0.3
 _WORD = re.compile(r"[^\W\d_]+")
 _LONGEST = 24
+GRAMS = (2, 3, 4)
+# Letters of scripts without blanks between words: Thai and Lao, Burmese, Khmer, kana, Chinese.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 
 
 def features(text: str) -> set[str]:
-    """Distinct lower-case words and, marked by a caret, beginnings of words."""
-    words = {w[:_LONGEST] for w in _WORD.findall(text.lower())}
-    return words.union(*({"^" + w[:n] for w in words if len(w) > n} for n in PREFIXES))
+    """Distinct lower-case words and, marked by a caret, beginnings of words;
+    marked by a tilde, all short runs of letters of what may hold many words:
+    of scripts without blanks, and of runs of more than ``_LONGEST`` letters,
+    which are cut as words."""
+    runs = set(_WORD.findall(text.lower()))
+    words = {w[:_LONGEST] for w in runs}
+    found = words.union(*({"^" + w[:n] for w in words if len(w) > n} for n in PREFIXES))
+    unspaced = _UNSPACED.search(text) is not None
+    for w in runs:
+        if len(w) > _LONGEST or unspaced and _UNSPACED.search(w):
+            found.update("~" + w[i : i + n] for n in GRAMS for i in range(len(w) - n + 1))
+    return found
 
 
 @dataclass

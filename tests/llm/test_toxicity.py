@@ -76,3 +76,13 @@ def test_query_over_the_whole_table(spark, sf):
     for r in found:
         assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
         assert r.predicted == int(r.score >= 0.3)
+
+
+def test_features_reach_the_whole_of_long_runs():
+    long = "x" * 30 + "stem" + "y" * 30
+    assert "~stem" in toxicity.features(long) and long[:24] in toxicity.features(long)
+    assert {"~\u574f\u4eba", "\u4f60\u662f\u574f\u4eba"} <= toxicity.features("\u4f60\u662f\u574f\u4eba")
+    assert not any(f[0] == "~" for f in toxicity.features("short words \u00e9t\u00e9 stra\u00dfe"))
+    model = toxicity.Model({"~\u574f\u4eba": 4.0}, -2.0)
+    clause = "\u7684" * 40
+    assert model.score(clause + "\u574f\u4eba") > 0.5 > model.score(clause)
