@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newslake.llm import bpe, license, linededup, merkle, packing, permindex, pii, simhash, toxicity, warc
+from newslake.llm import (
+    bpe, license, linededup, merkle, packing, permindex, perplexity, pii, simhash, toxicity, warc,
+)
 from newslake.llm.common import table
 
 
@@ -66,6 +68,10 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decoded(ids, path, pattern))
 
 
+def op13_perplexity_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perplexity.judged(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_permutation_index": op1_permutation_index,
     "op2_toxicity_pu": op2_toxicity_pu,
@@ -77,6 +83,7 @@ QUERIES = {
     "op8_pii_anchors": op8_pii_anchors,
     "op9_line_neighbourhoods": op9_line_neighbourhoods,
     "op10_byte_bpe": op10_byte_bpe,
+    "op13_perplexity_bands": op13_perplexity_bands,
 }
 ORACLE: dict[str, str] = {
     "op4_warc_derivatives": warc.DERIVED_SQL,
