@@ -38,7 +38,7 @@ from newslake.llm.common import checkpointed, to_python
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-ORDER = 5
+ORDER = 4
 WIDTH = 8.0
 LEAST_WIDTH = 0.1
 NOISE = 4.0
@@ -52,9 +52,12 @@ _CHARS_AT_ONCE = 1 << 21
 _HELD_RUNS = 1 << 20
 _BIN = 0.001
 _MICRO = 1_000_000
-#: One odd number per place in a run; a run's hash is the sum of its products.
+#: One odd number per place in a run; a run's hash is the sum of its products,
+#: mixed so that its leading bits are even.
 _FACTORS = np.random.default_rng(13).integers(0, 1 << 63, ORDER, np.uint64) * 2 + 1
 
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+
 _COUNTED = "lang string, fold int, run string, n long"
 _SCORED = (
     "doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
@@ -74,10 +77,11 @@ def repeated_words(words: list[bytes], window: int = WINDOW) -> int:
     factors = np.random.default_rng(window).integers(0, 1 << 63, window, np.uint64) * 2 + 1
     n = len(ids) - window + 1
     hashes = sum(ids[j : j + n] * factors[j] for j in range(window))
+    ranked = np.sort(hashes)
+    if (ranked[1:] != ranked[:-1]).all():
+        return 0
     order = np.argsort(hashes, kind="stable")
     same = hashes[order[1:]] == hashes[order[:-1]]
-    if not same.any():
-        return 0
     some = np.unique(np.concatenate([order[1:][same], order[:-1][same]]))
     seen: dict[bytes, list[int]] = {}
     for i in some.tolist():  # equal hashes are looked at word by word
@@ -144,6 +148,8 @@ def run_hashes(chars: np.ndarray, places: np.ndarray) -> np.ndarray:
     total = wide[:n] * _FACTORS[0]
     for j in range(1, ORDER):
         total += wide[j : j + n] * _FACTORS[j]
+    total ^= total >> np.uint64(32)
+    total *= _MIX
     return total[places].view(np.int64)
 
 
@@ -332,7 +338,30 @@ def model(counted: DataFrame) -> DataFrame:
     return sides[0].union(sides[1]).mapInArrow(_hashed, "lang string, fold int, hash long, logp float")
 
 
-Tables = dict[tuple[str, int], tuple[np.ndarray, np.ndarray]]
+class Sorted:
+    """Hashes in order, with a value beside each; where the hashes that begin
+    with some bits start is kept, so that few steps find any."""
+
+    def __init__(self, hashes: np.ndarray, values: np.ndarray):
+        unsigned = hashes.view(np.uint64)
+        order = np.argsort(unsigned)
+        self.hashes, self.values = unsigned[order], values[order]
+        self.shift = np.uint64(64 - max(1, len(hashes).bit_length()))
+        starts = np.arange(1 << (64 - int(self.shift)), dtype=np.uint64) << self.shift
+        self.starts = np.searchsorted(self.hashes, starts).astype(np.int32)
+
+    def __getitem__(self, hashes: np.ndarray) -> np.ndarray:
+        """Values of hashes that are all there."""
+        wanted = hashes.view(np.uint64)
+        at = self.starts[wanted >> self.shift]
+        behind = np.flatnonzero(self.hashes[at] != wanted)
+        while len(behind):
+            at[behind] += 1
+            behind = behind[self.hashes[at[behind]] != wanted[behind]]
+        return self.values[at]
+
+
+Tables = dict[tuple[str, int], Sorted]
 
 
 def sorted_arrays(rows: pa.Table) -> Tables:
@@ -340,22 +369,19 @@ def sorted_arrays(rows: pa.Table) -> Tables:
     hashes, logps = rows["hash"].to_numpy(), rows["logp"].to_numpy()
     langs = rows["lang"].combine_chunks().dictionary_encode()
     numbers = langs.indices.to_numpy() * 2 + rows["fold"].to_numpy()
-    order = np.lexsort((hashes, numbers))
-    numbers, hashes, logps = numbers[order], hashes[order], logps[order]
-    cuts = np.flatnonzero(np.diff(numbers)) + 1
     names = langs.dictionary.to_pylist()
-    return {
-        (names[numbers[a] // 2], int(numbers[a] % 2)): (hashes[a:b], logps[a:b])
-        for a, b in zip([0, *cuts], [*cuts, len(numbers)]) if b > a
-    }
+    out = {}
+    for number in np.unique(numbers):
+        own = numbers == number
+        out[names[number // 2], int(number % 2)] = Sorted(hashes[own], logps[own])
+    return out
 
 
-def surprises(texts: list[str], table: tuple[np.ndarray, np.ndarray] | None) -> np.ndarray:
+def surprises(texts: list[str], table: Sorted | None) -> np.ndarray:
     """Per text: runs, the sum of their negative log probabilities, and of its squares."""
     sums = np.zeros((3, len(texts)))
     for chars, places, owners in pieces(texts):
-        hashes, logps = table
-        found = -logps[np.searchsorted(hashes, run_hashes(chars, places))].astype(np.float64)
+        found = -table[run_hashes(chars, places)].astype(np.float64)
         for row, weights in zip(sums, (None, found, found**2)):
             row += np.bincount(owners, weights, len(texts))
     return sums
