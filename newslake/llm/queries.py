@@ -7,7 +7,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newslake.llm import (
-    bpe, license, linededup, merkle, packing, permindex, perplexity, pii, simhash, toxicity, warc,
+    bpe, license, linededup, merkle, packing, permindex, perplexity, pii, repair,
+    simhash, toxicity, warc,
 )
 from newslake.llm.common import table
 
@@ -68,6 +69,10 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decoded(ids, path, pattern))
 
 
+def op12_run_length_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repairs(repair.damaged(table(spark, sf_dir, "conversations")))
+
+
 def op13_perplexity_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return perplexity.judged(table(spark, sf_dir, "documents"))
 
@@ -83,6 +88,7 @@ QUERIES = {
     "op8_pii_anchors": op8_pii_anchors,
     "op9_line_neighbourhoods": op9_line_neighbourhoods,
     "op10_byte_bpe": op10_byte_bpe,
+    "op12_run_length_repair": op12_run_length_repair,
     "op13_perplexity_bands": op13_perplexity_bands,
 }
 ORACLE: dict[str, str] = {
@@ -90,4 +96,5 @@ ORACLE: dict[str, str] = {
     "op5_license_diagonals": license.SCANNED_SQL,
     "op6_merkle": merkle.COMPARED_SQL,
     "op9_line_neighbourhoods": linededup.DEDUPLICATED_SQL,
+    "op12_run_length_repair": repair.REPAIRS_SQL,
 }
