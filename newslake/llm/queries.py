@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newslake.llm import (
-    bpe, license, linededup, merkle, packing, permindex, perplexity, pii, repair,
+    bpe, license, linededup, merkle, packing, permindex, perplexity, pii, ranked, repair,
     simhash, toxicity, warc,
 )
 from newslake.llm.common import table
@@ -69,6 +69,10 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decoded(ids, path, pattern))
 
 
+def op11_norm_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_run_length_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repairs(repair.damaged(table(spark, sf_dir, "conversations")))
 
@@ -88,6 +92,7 @@ QUERIES = {
     "op8_pii_anchors": op8_pii_anchors,
     "op9_line_neighbourhoods": op9_line_neighbourhoods,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_norm_buckets": op11_norm_buckets,
     "op12_run_length_repair": op12_run_length_repair,
     "op13_perplexity_bands": op13_perplexity_bands,
 }
@@ -96,5 +101,6 @@ ORACLE: dict[str, str] = {
     "op5_license_diagonals": license.SCANNED_SQL,
     "op6_merkle": merkle.COMPARED_SQL,
     "op9_line_neighbourhoods": linededup.DEDUPLICATED_SQL,
+    "op11_norm_buckets": ranked.RANKED_SQL,
     "op12_run_length_repair": repair.REPAIRS_SQL,
 }
