@@ -9,7 +9,7 @@ import __spark_entry__ as entry_points
 
 def test_one_query_per_operator():
     numbers = [int(re.match(r"op(\d+)_", name)[1]) for name in queries.QUERIES]
-    assert sorted(numbers) == list(range(1, 11))
+    assert sorted(numbers) == list(range(1, 14))
     assert set(queries.ORACLE) <= set(queries.QUERIES)
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry_points.queries())
 
