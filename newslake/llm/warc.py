@@ -31,10 +31,9 @@ _BLOCKS = (
     r"|li|main|nav|ol|option|p|pre|section|select|table|td|th|title|tr|ul)\b[^>]*>"
 )
 _TAGS = r"</?[a-zA-Z!?][^>]*>"
-# Those that the SQL decodes; the records have all of them decoded, see _NAMES.
-_ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'"), ("&amp;", "&"))
 _TITLE = r"(?is)<title[^>]*>(.*?)</title"
-_LINK = r"""(?i)<a\s[^>]*?href\s*=\s*["']([^"']*)["']"""
+_LINK = r"""(?i)<a\s[^>]*?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+_QUOTES = r"""^["']|["']$"""
 
 
 def _digest(text: Column) -> Column:
@@ -164,7 +163,10 @@ def derived(responses: DataFrame) -> DataFrame:
             F.substring_index("headers", "\r\n", 1).alias("status"),
             headers.alias("headers"),
             F.trim(title).alias("title"),
-            F.transform(F.regexp_extract_all("payload", F.lit(_LINK), F.lit(1)), lambda x: _plain(x, True)).alias("links"),
+            F.transform(
+                F.regexp_extract_all("payload", F.lit(_LINK), F.lit(1)),
+                lambda x: _plain(F.regexp_replace(x, _QUOTES, ""), True),
+            ).alias("links"),
             F.octet_length("payload").alias("payload_length"),
             F.col("source_digest").alias("payload_digest"),
         )
@@ -241,11 +243,30 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 def _sql() -> str:
     quote = lambda s: "'" + s.replace("'", "''") + "'"
+    listed = lambda values: "[" + ", ".join(map(quote, values)) + "]"
+    some = r"&#[0-9]+;?|&#[xX][0-9a-fA-F]+;?|&[A-Za-z][A-Za-z0-9]*[;=]?|[^&]+|&"
+
+    def number(token: str) -> str:
+        decimal = f"regexp_extract({token}, '^&#0*([0-9]+)', 1)"
+        digits = f"upper(regexp_extract({token}, '^&#[xX]0*([0-9a-fA-F]+)', 1))"
+        at = (
+            f"case when {decimal} <> '' then case when length({decimal}) < 8 then {decimal}::int else 1114112 end "
+            f"when length({digits}) < 7 then ('0x' || {digits})::int else 1114112 end"
+        )
+        return f"""list_transform([{at}], lambda point: coalesce(numbers[point], case
+          when point > 1114111 or point between 55296 and 57343 then chr(65533)
+          when point between 1 and 8 or point = 11 or point between 14 and 31 or point = 127
+            or point between 64976 and 65007 or point & 65534 = 65534 then '' else chr(point) end))[1]"""
+
+    def name(token: str, attribute: bool) -> str:
+        bare = f"regexp_extract({token}, '^&({_OPEN})', 1)"
+        alone = f" and regexp_matches({token}, '^&({_OPEN});?$')" if attribute else ""
+        return f"""case when {token}[-1] = ';' and names[substr({token}, 2)] is not null then names[substr({token}, 2)]
+          when {bare} <> ''{alone} then names[{bare}] || substr({token}, length({bare}) + 2) else {token} end"""
 
-    def plain(text: str) -> str:
-        for name, sign in _ENTITIES:
-            text = f"replace({text}, {quote(name)}, {quote(sign)})"
-        return text
+    def plain(text: str, attribute: bool = False) -> str:
+        decoded = f"case when x[1] <> '&' then x when x[2] = '#' then {number('x')} else {name('x', attribute)} end"
+        return f"array_to_string(list_transform(regexp_extract_all({text}, {quote(some)}), lambda x: {decoded}), '')"
 
     def record_id(name: str) -> str:
         cuts = ", ".join(f"substr(md5({name}), {a}, {n})" for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12)))
@@ -256,8 +277,13 @@ def _sql() -> str:
     text = plain(sub(sub(text, _BLOCKS, "chr(10)"), _TAGS, "''"))
     text = sub(sub(sub(text, r"[ \t\r\f]+", "' '"), r" ?\n[ \n]*", "chr(10)"), r"^[ \n]+|[ \n]+$", "''")
     us = "chr(31)"
+    points = [int(digits, 16) for digits in _NUMBERS]
     return f"""
-with r as (
+with known as (
+  select map({listed(_NAMES)}, {listed(_NAMES.values())}) as names,
+         map({points}, {listed(_NUMBERS.values())}) as numbers
+),
+r as (
   select page_id, coalesce(url, '') as url, coalesce(html, '') as payload from pages
 ),
 f as (
@@ -268,16 +294,16 @@ f as (
   from r
 ),
 k as (
-  select *, 'metadata' as type, 'application/json' as content_type,
+  select f.*, 'metadata' as type, 'application/json' as content_type,
          to_json({{status: 'HTTP/1.1 200 OK',
                   headers: [{{name: 'Content-Type', value: 'text/html; charset=utf-8'}},
                             {{name: 'Content-Length', value: size::varchar}}],
                   title: trim({plain(sub(f"regexp_extract(payload, {quote(_TITLE)}, 1)", r"[ \t\n\x0B\f\r]+", "' '"))}),
-                  links: list_transform(regexp_extract_all(payload, {quote(_LINK)}, 1), lambda x: {plain("x")}),
+                  links: list_transform(regexp_extract_all(payload, {quote(_LINK)}, 1), lambda link: {plain(sub("link", _QUOTES, "''"), True)}),
                   payload_length: size, payload_digest: source_digest}})::varchar as block
-  from f
+  from f, known
   union all
-  select *, 'conversion', 'text/plain; charset=utf-8', {text} from f
+  select f.*, 'conversion', 'text/plain; charset=utf-8', {text} from f, known
 )
 select page_id, type, {record_id(f"type || {us} || refers_to")} as record_id, refers_to, target_uri,
        '{DATE}' as date, content_type, octet_length(encode(block)) as content_length,
