@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newslake.llm.common import checkpointed, to_python, unused
@@ -52,21 +52,28 @@ def fingerprint(text: str, shingle: int) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
-    """``doc_id, fingerprint`` (a signed long) for every row; a text without
-    words, empty or null has fingerprint zero."""
+    """``doc_id, row, fingerprint`` (signed longs) for every row; ``row`` is a
+    hash of id and text, and a text without words, empty or null, has
+    fingerprint zero."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [fingerprint(text.as_py(), shingle) for text in batch.column(1)]
+            found = [fingerprint(text.as_py(), shingle) for text in batch.column(2)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(found, pa.int64())], ["doc_id", "fingerprint"]
+                [batch.column(0), batch.column(1), pa.array(found, pa.int64())], ["doc_id", "row", "fingerprint"]
             )
 
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
+        _row().alias("row"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
-    return to_python(rows).mapInArrow(run, "doc_id long, fingerprint long")
+    return to_python(rows).mapInArrow(run, "doc_id long, row long, fingerprint long")
+
+
+def _row() -> Column:
+    """The same for rows of one id and one text."""
+    return F.xxhash64(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")))
 
 
 def block_masks(distance: int) -> list[int]:
@@ -161,6 +168,18 @@ def links(prints: DataFrame, distance: int = 4) -> DataFrame:
     return met.mapInArrow(compare, "a long, b long")
 
 
+def _grouped(stored: DataFrame, distance: int) -> DataFrame:
+    """``fingerprint, component_id`` of every fingerprint; nodes are the
+    fingerprints themselves, so that rows of one id tie nothing together."""
+    prints = checkpointed(stored.groupBy("fingerprint").agg(F.min("doc_id").alias("least")))
+    found = components(links(prints.withColumn("node", F.col("fingerprint")), distance))
+    named = prints.join(found, prints.fingerprint == found.node, "left").select(
+        "fingerprint", "least", F.coalesce("component", "fingerprint").alias("component")
+    )
+    first = named.groupBy("component").agg(F.min("least").alias("component_id"))
+    return named.join(first, "component").select("fingerprint", "component", "component_id")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4) -> DataFrame:
     """``doc_id, fingerprint, component_id`` for every row of ``doc_id, text``.
 
@@ -168,36 +187,35 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4) -> Dat
     linked, and the component's id is its smallest ``doc_id``. Exact copies,
     and repeated rows, have one fingerprint and count as one from then on.
     Texts without words have fingerprint zero and are linked like any other.
-    Rows without a ``doc_id`` link nothing; their component is that of their
-    fingerprint, if it has one. Other columns are ignored.
+    Rows without a ``doc_id`` are linked too; a component of such rows alone
+    has no id. Other columns are ignored.
     """
     stored = checkpointed(fingerprints(docs, shingle))
-    prints = checkpointed(
-        stored.where("doc_id is not null").groupBy("fingerprint").agg(F.min("doc_id").alias("node"))
-    )
-    found = components(links(prints, distance))
-    grouped = prints.join(found, "node", "left").select(
-        "fingerprint", F.coalesce("component", "node").alias("component_id")
-    )
-    return stored.join(grouped, "fingerprint", "left").select(
+    return stored.join(_grouped(stored, distance), "fingerprint", "left").select(
         "doc_id", "fingerprint", "component_id"
     )
 
 
 def one_of_each(docs: DataFrame, shingle: int = 4, distance: int = 4) -> DataFrame:
-    """The documents without near-duplicates: of each group the one with the
-    smallest ``doc_id`` stays, once. Rows without a ``doc_id`` all stay. The
-    columns are those of the input."""
-    first = near_duplicates(docs, shingle, distance).where("doc_id = component_id")
-    turn = unused(docs, "_turn")
-    once = Window.partitionBy("doc_id").orderBy("text")
-    kept = (
-        docs.join(first.select("doc_id").distinct(), "doc_id", "left_semi")
+    """The documents without near-duplicates: of each component one row stays,
+    that with the smallest ``doc_id``; of several such the one with the smallest
+    hash, and rows without an id come last. Rows that share an id and nothing
+    else are documents of their own. The columns are those of the input."""
+    stored = checkpointed(fingerprints(docs, shingle))
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
+    chosen = (
+        stored.join(_grouped(stored, distance), "fingerprint").groupBy("component")
+        .agg(F.min(order).alias("first")).select(F.col("first.row").alias("chosen"))
+    )
+    row, turn = unused(docs, "_row"), unused(docs, "_turn")
+    marked = docs.withColumn(row, _row())
+    once = Window.partitionBy(row).orderBy(F.lit(0))
+    return (
+        marked.join(chosen, marked[row] == chosen.chosen, "left_semi")
         .withColumn(turn, F.row_number().over(once))
         .where(F.col(turn) == 1)
         .select(docs.columns)
     )
-    return kept.union(docs.where("doc_id is null"))
 
 
 def digests(found: DataFrame) -> DataFrame:

@@ -111,7 +111,12 @@ def test_tables(spark):
     assert found[None, signed("z")] is None
     kept = simhash.one_of_each(docs)
     assert kept.columns == docs.columns
-    assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 0, 3, 8, 11]
+    # Unrelated rows of id 3 both stay; the copies, with an id or without, go.
+    assert sorted((r.doc_id or 0, (r.text or "")[:5]) for r in kept.collect()) == [
+        (0, "z"), (3, "ONE  "), (3, "other"), (8, ""), (11, "w w w")
+    ]
+    twice = spark.createDataFrame([(None, "a b"), (None, "a b"), (1, "c d"), (1, "e f")], "doc_id long, text string")
+    assert sorted(r.text for r in simhash.one_of_each(twice).collect()) == ["a b", "c d", "e f"]
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
     assert simhash.one_of_each(docs.limit(0)).count() == 0
 
