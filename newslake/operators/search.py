@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import heapq
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +39,7 @@ BROADCAST_HITS = 100_000
 _SCORED_AT_ONCE = 256
 
 
-def _unit_rows(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+def unit_rows(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     """List column as a matrix of unit rows; an all-zero row stays zero, and
     one with a number that is not finite is NaN throughout."""
     if isinstance(column, pa.ChunkedArray):
@@ -107,13 +107,13 @@ class _Best:
         }
 
 
-def _ranked(candidates: DataFrame, k: int) -> DataFrame:
+def ranked(candidates: DataFrame, k: int) -> DataFrame:
     order = Window.partitionBy("q_id").orderBy(F.desc("score"), "id")
     once = candidates.groupBy("q_id", "id").agg(F.max("score").alias("score"))
     return once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def _schema(vectors: DataFrame, questions: DataFrame) -> T.StructType:
+def candidate_schema(vectors: DataFrame, questions: DataFrame) -> T.StructType:
     return T.StructType(
         [
             T.StructField("q_id", questions.schema["q_id"].dataType),
@@ -124,19 +124,32 @@ def _schema(vectors: DataFrame, questions: DataFrame) -> T.StructType:
 
 
 def _scan_with_all(vectors: DataFrame, table: pa.Table, k: int, schema: T.StructType) -> DataFrame:
-    q_ids, matrix = table["q_id"].combine_chunks(), _unit_rows(table["values"])
+    q_ids, matrix = table["q_id"].combine_chunks(), unit_rows(table["values"])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best, id_type = _Best(matrix, k), None
         for batch in batches:
             id_type = batch.column("id").type
-            best.add(_unit_rows(batch.column("values")), batch.column("id"))
+            best.add(unit_rows(batch.column("values")), batch.column("id"))
         if id_type is not None:
             yield pa.RecordBatch.from_pydict(best.table(q_ids, id_type))
 
     return vectors.mapInArrow(score, schema)
 
 
+def best_of_block(k: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """What scores the vectors of a group against its questions."""
+
+    def score(some: pa.Table, asked: pa.Table) -> pa.Table:
+        best = _Best(unit_rows(asked["values"]) if len(asked) else np.zeros((0, 0)), k)
+        if len(some):
+            best.add(unit_rows(some["values"]), some["id"].combine_chunks())
+        id_type = some.schema.field("id").type
+        return pa.table(best.table(asked["q_id"].combine_chunks(), id_type))
+
+    return score
+
+
 def _scan_in_blocks(
     vectors: DataFrame, questions: DataFrame, k: int, schema: T.StructType, q_blocks: int
 ) -> DataFrame:
@@ -151,15 +164,8 @@ def _scan_in_blocks(
     left = spread(vectors, "id", "v_block", v_blocks, "q_block", q_blocks)
     right = spread(questions, "q_id", "q_block", q_blocks, "v_block", v_blocks)
 
-    def score(some: pa.Table, asked: pa.Table) -> pa.Table:
-        best = _Best(_unit_rows(asked["values"]) if len(asked) else np.zeros((0, 0)), k)
-        if len(some):
-            best.add(_unit_rows(some["values"]), some["id"].combine_chunks())
-        id_type = some.schema.field("id").type
-        return pa.table(best.table(asked["q_id"].combine_chunks(), id_type))
-
     on = ["q_block", "v_block"]
-    return left.groupBy(*on).cogroup(right.groupBy(*on)).applyInArrow(score, schema)
+    return left.groupBy(*on).cogroup(right.groupBy(*on)).applyInArrow(best_of_block(k), schema)
 
 
 def nearest(
@@ -175,7 +181,7 @@ def nearest(
     """
     v = vectors.select("id", "values").where(F.col("values").isNotNull())
     q = questions.select("q_id", "values").where(F.col("values").isNotNull())
-    schema = _schema(v, q)
+    schema = candidate_schema(v, q)
     q = q.persist()  # embedding them may be dear, and they are read twice
     asked = q.agg(F.count("*").alias("rows"), F.max(F.size("values")).alias("dims")).first()
     per_block = max(1, broadcast_numbers // max(1, asked.dims or 1))
@@ -183,8 +189,12 @@ def nearest(
         candidates = _scan_with_all(v, q.toArrow(), k, schema)
     else:
         candidates = _scan_in_blocks(v, q, k, schema, -(-asked.rows // per_block))
-    shown = F.round("score", SCORE_DIGITS).alias("score")
-    return _ranked(candidates, k).select("q_id", "rank", "id", shown)
+    return shown(ranked(candidates, k))
+
+
+def shown(found: DataFrame) -> DataFrame:
+    score = F.round("score", SCORE_DIGITS).alias("score")
+    return found.select("q_id", "rank", "id", score)
 
 
 def unusable(vectors: DataFrame) -> DataFrame:

@@ -325,6 +325,33 @@ scored as (
   from means, embeddings)
 select q_id, cast(row_number() over (partition by q_id order by score desc, id) as int) as rank,
        id, round(score, 6) + 0.0 as score
+from scored qualify rank <= 10""",
+    "topk_lsh": f"""
+with planes as (
+  select p, list(case when ('0x' || substr(md5(p || ':' || d), 2, 1))::int % 2 = 1 then 1.0::double else -1.0 end
+                 order by d) as signs
+  from range(32 * 8) t(p), range({len(_DIMS)}) u(d) group by p),
+units as (
+  select vec_id, list_transform(embedding, lambda x: x::double) as v from embeddings),
+keys as (
+  select vec_id, p // 8 as tab, sum(case when list_dot_product(v, signs) >= 0 then 1 << (p % 8) else 0 end) as key
+  from units, planes group by 1, 2),
+pairs as (
+  select distinct a.vec_id as q_id, b.vec_id as id
+  from keys a join keys b on a.tab = b.tab and a.key = b.key where a.vec_id % 40 = 0),
+enough as (
+  select q_id from pairs group by q_id
+  having count(*) >= least(10, (select count(*) from embeddings))),
+met as (
+  select * from pairs where q_id in (select q_id from enough)
+  union all
+  select a.vec_id, b.vec_id from units a, units b
+  where a.vec_id % 40 = 0 and a.vec_id not in (select q_id from enough)),
+scored as (
+  select q_id, id, round(list_cosine_similarity(a.v, b.v), 12) as score
+  from met join units a on a.vec_id = q_id join units b on b.vec_id = id)
+select q_id, cast(row_number() over (partition by q_id order by score desc, id) as int) as rank,
+       id, round(score, 6) + 0.0 as score
 from scored qualify rank <= 10""",
     "rag_context": f"{_WITH}, {_VECTORS}, {_HITS}, {_CONTEXTS} select q_id, context from contexts",
     "rag_prompt": f"""{_WITH}, {_VECTORS}, {_HITS}, {_CONTEXTS}

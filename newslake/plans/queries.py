@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from newslake.fixtures import articles, messages, table
 from newslake.functions import text
 from newslake.functions.messages import decode, encode, rejected
-from newslake.operators import answers, gold, search, vectors
+from newslake.operators import answers, approximate, gold, search, vectors
 from newslake.operators.merge import unmatched
 from newslake.operators.refine import refine, usable
 from newslake.plans import medallion, models
@@ -433,12 +433,16 @@ def stream_vectors(spark, sf):
     return _weights(tables.scan(spark, f"{root}/vectors"))
 
 
+def _label_means(rows):
+    mean = Summarizer.mean(array_to_vector(F.col("embedding").cast("array<double>")))
+    return rows.groupBy(F.col("label").alias("q_id")).agg(vector_to_array(mean).alias("values"))
+
+
 def topk_similar(spark, sf):
     """Nearest vectors to the mean vector of each label, among vectors of which
     some are null, zero, or hold something that is no number."""
     rows = table(spark, sf, "embeddings")
-    mean = Summarizer.mean(array_to_vector(F.col("embedding").cast("array<double>")))
-    topics_ = rows.groupBy(F.col("label").alias("q_id")).agg(vector_to_array(mean).alias("values"))
+    topics_ = _label_means(rows)
     stored = rows.select(F.col("vec_id").alias("id"), F.col("embedding").alias("values"))
     broken = (
         F.when(F.col("vec_id") % 4 == 0, F.transform("embedding", lambda x: x * float("nan")))
@@ -449,6 +453,16 @@ def topk_similar(spark, sf):
     return search.nearest(stored.union(odd), topics_, k=10)
 
 
+def topk_lsh(spark, sf):
+    """Vectors found by hash tables near every fortieth vector, whose keys are
+    stored with them. No table is small enough here for an exact search."""
+    path = shared_dir(spark, "keyed")
+    rows = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("values"))
+    approximate.with_keys(rows).write.parquet(path)
+    asked = rows.where("id % 40 = 0").select(F.col("id").alias("q_id"), "values")
+    return approximate.nearest(tables.scan(spark, path), asked, k=10, exact_rows=0)
+
+
 def _questions(spark):
     return spark.createDataFrame(QUESTIONS, "q_id int, question string")
 
@@ -490,6 +504,6 @@ QUERIES = {
         landed_articles, stream_bronze, stream_produce, stream_land, stream_silver, stream_gold_by_source,
         stream_gold_by_date, stream_gold_by_author, stream_rejects, vector_counts,
         late_windows, late_dedup, embedding_text, vector_metadata, embed_hashed, vector_upsert, stream_vectors,
-        topk_similar, rag_context, rag_prompt, rag_sources, source_links,
+        topk_similar, topk_lsh, rag_context, rag_prompt, rag_sources, source_links,
     )
 }
