@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newslake.operators.gold import ROLLUPS, reconciled
@@ -12,6 +12,12 @@ from newslake.operators.refine import refine
 from newslake.sources import delta, tables
 
 
+def day_of_silver(spark: SparkSession, path: str, by_day: bool) -> Column | None:
+    """How the next load is laid out: as the loads before it, if there are any."""
+    stored = tables.by_day(spark, path)
+    return F.to_date("published_at") if (by_day if stored is None else stored) else None
+
+
 def load_silver(
     bronze: DataFrame,
     path: str,
@@ -22,11 +28,11 @@ def load_silver(
 ) -> str | None:
     """Refine the raw table and insert the URLs that Silver does not have;
     returns the tag of the load, which Delta tables have no use for. With
-    ``by_day``, Silver is laid out by published date, in its column ``day``."""
+    ``by_day``, a new Silver is laid out by published date, in its column ``day``."""
     rows = refine(bronze, arrival)
     if fmt == "delta":
         return delta.insert_new(rows, path, ["url"])
-    day = F.to_date("published_at") if by_day else None
+    day = day_of_silver(bronze.sparkSession, path, by_day)
     return tables.insert_new(rows, path, ["url"], batch, day=day)
 
 

@@ -3,7 +3,8 @@
 Two layouts, both plain Spark datasets:
 
 * insert-only: one folder ``batch=<tag>`` per load. A load that is repeated
-  under the same tag replaces its own folder and nothing else.
+  under the same tag replaces its own folder and nothing else. ``_seen`` below
+  the table lists its keys by bucket, see ``newslake.sources.seen``.
 * replaced: every version is a new folder below ``data/``; a one-row file
   below ``published/`` makes it current. Two such files are written in turn,
   so the one that counts is never touched and readers never see a half-written
@@ -24,9 +25,10 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from newslake.operators.merge import require_unique, unmatched, unmatched_in_large
+from newslake.sources import files, seen
 
 _PUBLISHED = "version long, folder string, batch string, applied map<string, long>"
 _STREAM_BATCH = "stream-(.*)-([0-9]+)"
@@ -93,9 +95,25 @@ def read_batch(
     return scan(spark, f"{path}/batch={batch}", schema=schema)
 
 
-def scan_keys(spark: SparkSession, path: str, keys: Sequence[StructField]) -> DataFrame | None:
-    """Key columns and batch tag of an insert-only table, if it exists."""
-    return scan_if_exists(spark, path, StructType([*keys, StructField("batch", StringType())]))
+def by_day(spark: SparkSession, path: str) -> bool | None:
+    """Whether an insert-only table is laid out in days; unknown without rows."""
+    for load in files.names(spark, path):
+        if load.startswith("batch="):
+            if any(name.startswith("day=") for name in files.names(spark, f"{path}/{load}")):
+                return True
+            if files.listed(spark, f"{path}/{load}", ".parquet"):
+                return False
+    return None
+
+
+def _list_loads(spark: SparkSession, path: str, keys: Sequence[str], but: str) -> bool:
+    """Put loads on the list of keys that are not there yet, as after a crash;
+    whether there is any other load."""
+    loads = {n.removeprefix("batch=") for n in files.names(spark, path) if n.startswith("batch=")} - {but}
+    for load in sorted(loads - seen.added(spark, f"{path}/_seen")):
+        if by_day(spark, path) is not None:
+            seen.add(read_batch(spark, path, load), f"{path}/_seen", keys, load)
+    return bool(loads)
 
 
 def insert_new(
@@ -110,21 +128,24 @@ def insert_new(
 
     ``src`` has one row per key, and no null key. Rows of an earlier attempt
     at the same batch do not count as stored. ``small_batch`` says that
-    ``src`` is cached and small beside the table. With ``day``, the load is laid
+    ``src`` is cached and small beside the table; then only the buckets of keys
+    are opened that it touches. With ``day``, the load is laid
     out in folders ``day=``, one file each unless a day is large, and the table
     has that column. Returns the batch tag.
     """
     spark = src.sparkSession
     batch = batch or new_tag()
-    stored = scan_keys(spark, path, [src.schema[k] for k in keys])
-    if stored is not None:
-        others = stored.where(F.col("batch") != batch)
+    schema = src.schema
+    if _list_loads(spark, path, keys, batch):
+        others = seen.lookup(src, f"{path}/_seen", keys, batch, everywhere=not small_batch)
         pick = unmatched_in_large if small_batch else unmatched
         src = pick(src, others, keys, null_safe=False)
+    seen.forget(spark, f"{path}/_seen", batch)
     writer = src.write
     if day is not None:
         writer = src.withColumn("day", day).hint("rebalance", "day").write.partitionBy("day")
     writer.mode("overwrite").parquet(f"{path}/batch={batch}")
+    seen.add(read_batch(spark, path, batch, schema), f"{path}/_seen", keys, batch)
     return batch
 
 
@@ -206,19 +227,11 @@ def publish(
         F.from_json(F.lit(json.dumps(applied)), "map<string, long>").alias("applied"),
     )
     entry.write.mode("overwrite").json(f"{path}/published/slot={version % 2}")
-    _remove(spark, f"{path}/data", {folder, now.folder if now else folder})
+    for old in set(files.names(spark, f"{path}/data")) - {folder, now.folder if now else folder}:
+        files.remove(spark, f"{path}/data/{old}")
     return version
 
 
-def _remove(spark: SparkSession, path: str, but: set[str]) -> None:
-    """Delete the folders below ``path``, except those named."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    for status in files.listStatus(root):
-        if status.isDirectory() and status.getPath().getName() not in but:
-            files.delete(status.getPath(), True)
-
-
 def upsert_parts(
     parts: dict[str, tuple[DataFrame, Sequence[str]]],
     path: str,

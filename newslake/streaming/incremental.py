@@ -37,9 +37,12 @@ def refiner(
     arrival: Sequence[str] = ("ingested_at",),
     total_order: bool = False,
     fmt: str = "parquet",
+    by_day: bool = False,
 ) -> DataStreamWriter:
     """Stream that refines each batch of the raw table and adds it to Silver
     and to the aggregates. Across batches the first arrival of a URL stays.
+    A Silver that is there keeps its layout; a new one is laid out ``by_day`` if
+    asked for.
 
     Delta tables keep no note of batches: there the aggregates are counted
     anew from all of Silver, which a replay does not change.
@@ -54,8 +57,10 @@ def refiner(
             return
         tag = tag_of(spark, batch_id)
         rows = refine(batch, arrival, total_order).persist()
-        tables.insert_new(rows, silver, ["url"], tag, small_batch=True)
+        day = medallion.day_of_silver(spark, silver, by_day)
+        tables.insert_new(rows, silver, ["url"], tag, small_batch=True, day=day)
         rows.unpersist()
-        add_to_rollups(tables.read_batch(spark, silver, tag, rows.schema), gold, tag)
+        fresh = tables.read_batch(spark, silver, tag, rows.schema).select(rows.columns)
+        add_to_rollups(fresh, gold, tag)
 
     return bronze.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)

@@ -7,14 +7,15 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from newslake.functions.messages import decode
 from newslake.operators.refine import usable
-from newslake.sources import landing, tables
+from newslake.sources import landing
+from newslake.sources import seen as index
 from newslake.streaming.batches import batch_tags
 from newslake.streaming.once import new_urls, remember
 
 
 def remember_landed(landed: DataFrame, seen: str) -> None:
     """Start the list of seen URLs from objects landed earlier."""
-    if tables.scan_if_exists(landed.sparkSession, seen) is None:
+    if not index.added(landed.sparkSession, seen):
         remember(landing.stored_urls(landed), seen, "landed-earlier")
 
 
@@ -28,9 +29,8 @@ def lander(
 ) -> DataStreamWriter:
     """Stream that lands articles whose URL is new.
 
-    The URLs seen are a narrow table at ``seen``; each batch writes one folder
-    there and one at ``path``, and a replayed batch writes the same folders
-    again. Articles without title or URL are not landed and not remembered;
+    The URLs seen are listed by bucket at ``seen``; each batch writes one folder
+    at ``path``, and a replayed batch writes the same folder again. Articles without title or URL are not landed and not remembered;
     their payloads, and those that are no articles, go to ``rejects``, if given.
     """
     tag_of = batch_tags(checkpoint)

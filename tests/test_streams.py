@@ -11,7 +11,7 @@ from newslake.sources import landing, tables, topics
 from newslake.streaming import batches, incremental, ingest, late, producer
 from newslake.streaming.embedding import vector_writer
 from newslake.streaming.lander import lander, remember_landed
-from newslake.streaming.once import new_urls
+from newslake.streaming.once import new_urls, remember
 
 
 def send(folder, name, *payloads):
@@ -72,8 +72,8 @@ def test_lander_lands_each_url_once(spark, tmp_path):
 def test_a_replayed_batch_sees_its_own_urls_as_new(spark, tmp_path):
     seen = str(tmp_path / "seen")
     urls = spark.createDataFrame([("a",), ("b",)], "url string")
-    urls.write.parquet(f"{seen}/batch=stream-1")
-    spark.createDataFrame([("b",), ("c",)], "url string").write.parquet(f"{seen}/batch=stream-2")
+    remember(urls, seen, "stream-1")
+    remember(spark.createDataFrame([("b",), ("c",)], "url string"), seen, "stream-2")
     assert rows(new_urls(urls, seen, "stream-1")) == [("a",)]
     assert rows(new_urls(urls, seen, "stream-3")) == []
 
