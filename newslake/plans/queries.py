@@ -279,7 +279,7 @@ def stream_produce(spark, sf):
         topics.run(
             producer.producer(
                 producer.read_responses(spark, f"{root}/responses"),
-                producer.to_files(f"{root}/topic"), f"{root}/seen", f"{root}/checkpoint",
+                producer.to_files(f"{root}/topic"), f"{root}/checkpoint",
             )
         )
     sent = decode(spark.read.option("recursiveFileLookup", "true").text(f"{root}/topic"))

@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from newslake.sources import headlines, landing, topics
+from newslake.sources import headlines, topics
 from newslake.streaming.batches import batch_tags
-from newslake.streaming.once import new_urls, remember
+from newslake.streaming.late import without_repeats
 
+REMEMBERED = "30 days"
 RESPONSE = "language string, category string, body string"
 
 
@@ -34,25 +36,35 @@ def to_topic(options: dict[str, str], topic: str = topics.TOPIC) -> Callable[[Da
     return lambda articles, tag: topics.publish(articles, options, topic)
 
 
+def first_sent(articles: DataFrame, remembered: str = REMEMBERED) -> DataFrame:
+    """Articles whose URL did not come within the time that is remembered, by
+    the clock of the batches; and all without a URL, which can't be told apart.
+
+    The URLs are state of the stream, on disk with ``build_session``: it grows
+    with the URLs of that time, not with all there were, and is what a restart
+    goes on from.
+    """
+    clock = "_fetched"
+    named = articles.where("url is not null").withColumn(clock, F.current_timestamp())
+    once = without_repeats(named, "url", clock, remembered).drop(clock)
+    return once.unionByName(articles.where("url is null"))
+
+
 def producer(
-    responses: DataFrame, send: Callable[[DataFrame, str], None], seen: str, checkpoint: str
+    responses: DataFrame,
+    send: Callable[[DataFrame, str], None],
+    checkpoint: str,
+    remembered: str = REMEMBERED,
 ) -> DataStreamWriter:
     """Stream that sends the articles of new responses whose URL is new.
 
-    URLs count as seen once they are sent; a failure before that sends the
-    batch again. Articles without a URL cannot be told apart by it: all of them
-    are sent.
+    A batch that fails is run again from the state before it, so its URLs are
+    sent, again if need be.
     """
     tag_of = batch_tags(checkpoint)
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        tag = tag_of(batch.sparkSession, batch_id)
-        articles = headlines.flattened(headlines.fetched(batch))
-        rows = landing.one_per_url(articles.where("url is not null")).persist()
-        fresh = new_urls(rows, seen, tag).persist()
-        send(fresh.unionByName(articles.where("url is null")), tag)
-        remember(fresh, seen, tag)
-        fresh.unpersist()
-        rows.unpersist()
-
-    return responses.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
+        send(batch, tag_of(batch.sparkSession, batch_id))
+
+    fresh = first_sent(headlines.flattened(headlines.fetched(responses)), remembered)
+    return fresh.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)

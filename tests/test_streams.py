@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -88,8 +89,7 @@ def test_producer_sends_each_url_once(spark, tmp_path):
     def run():
         stream = producer.read_responses(spark, str(src), max_files=1)
         topics.run(producer.producer(
-            stream, producer.to_files(str(tmp_path / "topic")), str(tmp_path / "seen"),
-            str(tmp_path / "mark"),
+            stream, producer.to_files(str(tmp_path / "topic")), str(tmp_path / "mark"),
         ))
         sent = spark.read.option("recursiveFileLookup", "true").text(str(tmp_path / "topic"))
         return sorted(json.loads(r.value)["url"] or "" for r in sent.collect())
@@ -101,6 +101,55 @@ def test_producer_sends_each_url_once(spark, tmp_path):
     assert run() == ["", "", "", "a", "b", "c", "d"]
 
 
+def test_producer_forgets_in_time(spark, tmp_path):
+    """What is remembered is bounded: after its time a URL is new again."""
+    src = tmp_path / "responses"
+    held = []
+
+    def run(name, *urls):
+        body = json.dumps({"status": "ok", "articles": [{"url": u, "title": "t"} for u in urls]})
+        send(src, name, json.dumps({"language": "en", "category": "technology", "body": body}))
+        query = topics.run(producer.producer(
+            producer.read_responses(spark, str(src)), producer.to_files(str(tmp_path / "topic")),
+            str(tmp_path / "mark"), remembered="1 second",
+        ))
+        held.append(sum(op["numRowsTotal"] for op in query.lastProgress["stateOperators"]))
+        sent = spark.read.option("recursiveFileLookup", "true").text(str(tmp_path / "topic"))
+        return sorted(json.loads(r.value)["url"] for r in sent.collect())
+
+    urls = [f"u{i}" for i in range(20)]
+    assert run("1.json", *urls) == sorted(urls)
+    for i in range(3):
+        time.sleep(1.5)
+        run(f"w{i}.json", f"w{i}")
+    assert run("2.json", "u0").count("u0") == 2
+    assert held[-1] < 20
+
+
+def test_producer_sends_a_lost_batch_again(spark, tmp_path):
+    src = tmp_path / "responses"
+    body = json.dumps({"status": "ok", "articles": [{"url": u, "title": "t"} for u in "abca"]})
+    send(src, "1.json", json.dumps({"language": "en", "category": "technology", "body": body}))
+    good, lost = producer.to_files(str(tmp_path / "topic")), []
+
+    def fails_once(articles, tag):
+        if not lost:
+            lost.append(tag)
+            raise RuntimeError("lost")
+        good(articles, tag)
+
+    def run():
+        stream = producer.read_responses(spark, str(src))
+        topics.run(producer.producer(stream, fails_once, str(tmp_path / "mark")))
+
+    with pytest.raises(Exception, match="lost"):
+        run()
+    run()
+    run()
+    sent = spark.read.option("recursiveFileLookup", "true").text(str(tmp_path / "topic"))
+    assert sorted(json.loads(r.value)["url"] for r in sent.collect()) == ["a", "b", "c"]
+
+
 def test_rejects_are_written(spark, tmp_path):
     topic, root = tmp_path / "topic", str(tmp_path)
     send(topic, "1.txt", article("a"), article("n", None), "broken", article(None))
