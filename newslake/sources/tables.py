@@ -9,7 +9,9 @@ Two layouts, both plain Spark datasets:
   below ``published/`` makes it current. Two such files are written in turn,
   so the one that counts is never touched and readers never see a half-written
   version. Publishing removes all older folders but the one before, for its
-  readers.
+  readers. A table that is kept up by key (``upsert``) is cut into buckets of
+  keys; a version holds only those that it changes, and its file names the
+  version that holds each bucket.
 
 One writer per table at a time is assumed.
 """
@@ -19,18 +21,23 @@ from __future__ import annotations
 import json
 import re
 import uuid
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from newslake.operators.merge import require_unique, unmatched, unmatched_in_large
 from newslake.sources import files, seen
 
-_PUBLISHED = "version long, folder string, batch string, applied map<string, long>"
+_PUBLISHED = (
+    "version long, folder string, batch string, applied map<string, long>, "
+    "schema string, bucket_count int, buckets map<string, string>"
+)
+_BUCKET = "_bucket"
+BUCKETS = 64
 _STREAM_BATCH = "stream-(.*)-([0-9]+)"
 
 
@@ -172,9 +179,19 @@ def read_snapshot(spark: SparkSession, path: str, part: str = "") -> DataFrame:
     return read_part(spark, path, now, part)
 
 
+def _read_buckets(spark: SparkSession, path: str, now: Row, buckets: Iterable[str] | None = None) -> DataFrame:
+    """Rows of some or all buckets; no other is opened."""
+    schema = StructType.fromJson(json.loads(now.schema))
+    wanted = now.buckets.keys() if buckets is None else now.buckets.keys() & set(buckets)
+    places = [f"{path}/data/{now.buckets[b]}/{b}" for b in sorted(wanted)]
+    return spark.read.schema(schema).parquet(*places) if places else spark.createDataFrame([], schema)
+
+
 def read_part(
     spark: SparkSession, path: str, now: Row, part: str = "", schema: StructType | None = None
 ) -> DataFrame:
+    if now.schema:
+        return _read_buckets(spark, path, now)
     return scan(spark, f"{path}/data/{now.folder}/{part}", schema=schema)
 
 
@@ -203,10 +220,6 @@ def publish(
     snapshot goes, per stream, the highest micro-batch that it holds: those of
     ``now``, that of ``batch``, and those that are ``covered``.
     """
-    applied = dict((now.applied if now else None) or {})
-    told = stream_batch(batch)
-    for stream, n in [*(covered or {}).items(), *([told] if told else [])]:
-        applied[stream] = max(n, applied.get(stream, -1))
     version = now.version + 1 if now else 1
     folder = f"v{version:06d}-{uuid.uuid4().hex}"
 
@@ -220,16 +233,46 @@ def publish(
     with ThreadPoolExecutor(len(parts)) as pool:
         list(pool.map(write, parts))
     spark = spark or next(iter(parts.values())).sparkSession
+    _announce(spark, path, now, folder, batch, covered)
+    return version
+
+
+def _announce(
+    spark: SparkSession,
+    path: str,
+    now: Row | None,
+    folder: str,
+    batch: str | None,
+    covered: Mapping[str, int] | None = None,
+    schema: StructType | None = None,
+    bucket_count: int | None = None,
+    buckets: dict[str, str] | None = None,
+) -> None:
+    """Make a written version current, and remove what neither it nor the one
+    before needs."""
+    applied = dict((now.applied if now else None) or {})
+    told = stream_batch(batch)
+    for stream, n in [*(covered or {}).items(), *([told] if told else [])]:
+        applied[stream] = max(n, applied.get(stream, -1))
+    version = now.version + 1 if now else 1
+    fields = {
+        "version": version, "folder": folder, "batch": batch, "applied": applied,
+        "schema": schema.json() if schema else None, "bucket_count": bucket_count, "buckets": buckets,
+    }
     entry = spark.range(0, 1, numPartitions=1).select(
-        F.lit(version).cast("long").alias("version"),
-        F.lit(folder).alias("folder"),
-        F.lit(batch).cast("string").alias("batch"),
-        F.from_json(F.lit(json.dumps(applied)), "map<string, long>").alias("applied"),
+        F.from_json(F.lit(json.dumps(fields)), _PUBLISHED).alias("entry")
     )
-    entry.write.mode("overwrite").json(f"{path}/published/slot={version % 2}")
-    for old in set(files.names(spark, f"{path}/data")) - {folder, now.folder if now else folder}:
-        files.remove(spark, f"{path}/data/{old}")
-    return version
+    entry.select("entry.*").write.mode("overwrite").json(f"{path}/published/slot={version % 2}")
+    before = (now.buckets if now else None) or {}
+    held = {folder, now.folder if now else folder, *before.values(), *(buckets or {}).values()}
+    for name in files.names(spark, f"{path}/data"):
+        if name not in held:
+            files.remove(spark, f"{path}/data/{name}")
+        elif buckets:
+            needed = {b for b, f in [*before.items(), *buckets.items()] if f == name}
+            for bucket in files.names(spark, f"{path}/data/{name}"):
+                if bucket.startswith(_BUCKET) and bucket not in needed:
+                    files.remove(spark, f"{path}/data/{name}/{bucket}")
 
 
 def upsert_parts(
@@ -266,8 +309,44 @@ def upsert_parts(
     return publish(writers, path, now, batch, covered, spark)
 
 
-def upsert(src: DataFrame, path: str, keys: Sequence[str], batch: str | None = None) -> int:
-    return upsert_parts({"": (src, keys)}, path, batch)
+def upsert(
+    src: DataFrame, path: str, keys: Sequence[str], batch: str | None = None, buckets: int = BUCKETS
+) -> int:
+    """Update rows with a known key, insert the others, in a table of its own.
+
+    Only the buckets that the source has keys in are read and written. The
+    number of buckets is fixed by the first load. Otherwise as ``upsert_parts``.
+    """
+    spark = src.sparkSession
+    now = current(spark, path)
+    if has_applied(now, batch):
+        return now.version
+    version = now.version + 1 if now else 1
+    count = (now.bucket_count if now else None) or buckets
+    folder = f"v{version:06d}-{uuid.uuid4().hex}"
+    place = f"{path}/data/{folder}"
+
+    def write(rows: DataFrame, mode: str) -> None:
+        dealt = rows.withColumn(_BUCKET, seen.bucket_of(keys, count))
+        dealt.repartition(_BUCKET).write.mode(mode).partitionBy(_BUCKET).parquet(place)
+
+    write(src, "errorifexists")
+    touched = [name for name in files.names(spark, place) if name.startswith(_BUCKET)]
+    if touched:
+        # Once written, the source is read again for its keys only.
+        fresh = spark.read.schema(src.schema).parquet(*(f"{place}/{b}" for b in touched))
+        require_unique(fresh, keys)
+        if now:
+            whole = now.schema is None  # a table of one piece goes into buckets once
+            old = read_part(spark, path, now) if whole else _read_buckets(spark, path, now, touched)
+            write(unmatched(old, fresh, keys), "append")
+    elif now and now.schema is None:
+        write(read_part(spark, path, now), "append")
+    written = [name for name in files.names(spark, place) if name.startswith(_BUCKET)]
+    held = ((now.buckets if now else None) or {}) | {b: folder for b in written}
+    schema = StructType([StructField(f.name, f.dataType) for f in src.schema])
+    _announce(spark, path, now, folder, batch, None, schema, count, held)
+    return version
 
 
 def verify(spark: SparkSession, path: str, rows: int = 5) -> tuple[int, list[Row]]:

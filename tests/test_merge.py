@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -142,7 +144,7 @@ def test_delta_tables_go_through_the_same_run(spark, monkeypatch):
 def test_old_snapshots_are_removed(spark, tmp_path):
     path = str(tmp_path / "t")
     for i in range(4):
-        tables.upsert(spark.createDataFrame([(i, "x")], "k int, v string"), path, ["k"])
+        tables.upsert_parts({"": (spark.createDataFrame([(i, "x")], "k int, v string"), ["k"])}, path)
     assert len(list((tmp_path / "t" / "data").iterdir())) == 2
     assert tables.read_snapshot(spark, path).count() == 4
 
@@ -165,3 +167,46 @@ def test_silver_by_published_date(spark, bronze, tmp_path):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
     assert len(list((tmp_path / "silver" / "batch=a" / "day=2024-01-02").glob("part-*"))) == 1
+
+
+def test_an_upsert_writes_only_the_buckets_of_its_keys(spark, tmp_path):
+    path = str(tmp_path / "t")
+    state = {f"k{i}": i for i in range(500)} | {None: -1}
+    frame = lambda some: spark.createDataFrame([*some.items()], ROWS)
+    tables.upsert(frame(state), path, ["k"], buckets=16)
+    before = tables.current(spark, path).buckets
+    assert len(before) == 16
+    tables.upsert(frame({"k7": 700}), path, ["k"])
+    after = tables.current(spark, path).buckets
+    changed = {b for b in after if after[b] != before[b]}
+    assert len(changed) == 1
+    folder = after[changed.pop()]
+    assert len([d for d in (tmp_path / "t" / "data" / folder).iterdir() if d.is_dir()]) == 1
+    state["k7"] = 700
+    rng = random.Random(1)
+    for _ in range(4):
+        some = {f"k{rng.randrange(520)}": rng.randrange(1000) for _ in range(5)} | {None: rng.randrange(9)}
+        tables.upsert(frame(some), path, ["k"])
+        state |= some
+        stored = tables.read_snapshot(spark, path)
+        assert stored.columns == ["k", "v"] and dict(map(tuple, stored.collect())) == state
+    # Buckets that no reader may need any more are gone.
+    kept = [d for d in (tmp_path / "t" / "data").glob("*/_bucket=*")]
+    assert len(kept) <= 2 * 16
+
+
+def test_a_table_of_one_piece_goes_into_buckets(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.upsert_parts({"": (spark.createDataFrame([("a", 1), ("b", 2)], ROWS), ["k"])}, path)
+    tables.upsert(spark.createDataFrame([("a", 3), ("c", 4)], ROWS), path, ["k"])
+    assert rows(tables.read_snapshot(spark, path)) == [("a", 3), ("b", 2), ("c", 4)]
+    tables.upsert(spark.createDataFrame([], ROWS), path, ["k"])
+    assert rows(tables.read_snapshot(spark, path)) == [("a", 3), ("b", 2), ("c", 4)]
+
+
+def test_an_empty_first_upsert(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.upsert(spark.createDataFrame([], ROWS), path, ["k"])
+    assert tables.read_snapshot(spark, path).columns == ["k", "v"]
+    tables.upsert(spark.createDataFrame([("a", 1)], ROWS), path, ["k"])
+    assert rows(tables.read_snapshot(spark, path)) == [("a", 1)]
