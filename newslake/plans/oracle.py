@@ -40,16 +40,21 @@ qualify row_number() over (partition by url order by {order}) = 1
 # English articles arrive before the others in the queries with two loads.
 _TWO_LOADS = "case when lang = 'en' then 0 else 1 end, ingest_seq"
 
+def _staged(silver: str) -> str:
+    return f"""
+select title, description, url, source, author, published_at, content_length, has_content,
+       cast(published_at as date) as published_date,
+       cast(extract(year from published_at) as int) as published_year,
+       cast(extract(month from published_at) as int) as published_month
+from {silver}"""
+
+
 _WITH = f"""with articles as ({_ARTICLES}),
 silver as ({_cleaned("true", "ingest_seq")}),
 english as ({_cleaned("lang = 'en'", "ingest_seq")}),
 in_loads as ({_cleaned("true", _TWO_LOADS)}),
-staged as (
-  select title, description, url, source, author, published_at, content_length, has_content,
-         cast(published_at as date) as published_date,
-         cast(extract(year from published_at) as int) as published_year,
-         cast(extract(month from published_at) as int) as published_month
-  from silver),
+staged as ({_staged("silver")}),
+staged_in_loads as ({_staged("in_loads")}),
 messages as (
   select ingest_seq, ingest_seq % 19 = 0 as bad,
          title, description, content, url, source, published_at, author from articles)
@@ -76,6 +81,28 @@ select author, source, count(*) as total_articles, max(published_at) as latest_a
 from {silver} where author <> 'Unknown' group by author, source"""
 
 
+def _mart_by_source(staged: str) -> str:
+    return f"""
+select source, count(*) as total_articles, round(avg(content_length), 2) as avg_content_length,
+       min(published_at) as earliest_article, max(published_at) as latest_article,
+       count(distinct published_date) as active_days
+from {staged} group by source"""
+
+
+def _mart_by_date(staged: str) -> str:
+    return f"""
+select published_date, published_year, published_month, count(*) as total_articles,
+       count(distinct source) as unique_sources, count(distinct author) as unique_authors
+from {staged} group by published_date, published_year, published_month"""
+
+
+def _mart_by_author(staged: str) -> str:
+    return f"""
+select author, source, count(*) as total_articles, min(published_at) as first_article,
+       max(published_at) as latest_article, count(distinct published_date) as active_days
+from {staged} where author <> 'Unknown' group by author, source"""
+
+
 def _upserted(report, same: str) -> str:
     return f"""
 select * from ({report("silver")})
@@ -207,19 +234,9 @@ from articles""",
     "stg_news_silver": f"{_WITH} select * from staged",
     "stg_news_sources": f"""{_WITH}
 select source, count(*) as total_articles from silver where source is not null group by source""",
-    "mart_articles_by_source": f"""{_WITH}
-select source, count(*) as total_articles, round(avg(content_length), 2) as avg_content_length,
-       min(published_at) as earliest_article, max(published_at) as latest_article,
-       count(distinct published_date) as active_days
-from staged group by source""",
-    "mart_articles_by_date": f"""{_WITH}
-select published_date, published_year, published_month, count(*) as total_articles,
-       count(distinct source) as unique_sources, count(distinct author) as unique_authors
-from staged group by published_date, published_year, published_month""",
-    "mart_articles_by_author": f"""{_WITH}
-select author, source, count(*) as total_articles, min(published_at) as first_article,
-       max(published_at) as latest_article, count(distinct published_date) as active_days
-from staged where author <> 'Unknown' group by author, source""",
+    "mart_articles_by_source": f"{_WITH} {_mart_by_source('staged')}",
+    "mart_articles_by_date": f"{_WITH} {_mart_by_date('staged')}",
+    "mart_articles_by_author": f"{_WITH} {_mart_by_author('staged')}",
     "models_stored": f"""{_WITH}
 select 'stg_news_silver' as model, count(*) as model_rows from staged
 union all select 'stg_news_sources', count(distinct source) from silver
@@ -290,6 +307,9 @@ select 'unlanded', _raw from sent where bad or unusable""",
     "stream_gold_by_source": f"{_WITH} {_by_source('in_loads')}",
     "stream_gold_by_date": f"{_WITH} {_by_date('in_loads')}",
     "stream_gold_by_author": f"{_WITH} {_by_author('in_loads')}",
+    "stream_mart_by_source": f"{_WITH} {_mart_by_source('staged_in_loads')}",
+    "stream_mart_by_date": f"{_WITH} {_mart_by_date('staged_in_loads')}",
+    "stream_mart_by_author": f"{_WITH} {_mart_by_author('staged_in_loads')}",
     "late_windows": """
 select date_trunc('day', ts) as window_start, date_trunc('day', ts) + interval 1 day as window_end,
        count(*) as total_articles

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from newslake.fixtures import articles, messages, table
 from newslake.functions import text
 from newslake.functions.messages import decode, encode, rejected
-from newslake.operators import answers, approximate, gold, search, vectors
+from newslake.operators import answers, approximate, gold, marts, search, vectors
 from newslake.operators.merge import unmatched
 from newslake.operators.refine import refine, usable
 from newslake.plans import medallion, models
@@ -311,14 +311,15 @@ def stream_rejects(spark, sf):
     return kinds[0].union(kinds[1])
 
 
-def _incremental(spark, sf):
+def _incremental(spark, sf, **more):
     root = shared_dir(spark, "incremental")
     for load in (_first_load, _later_load):
         load(spark, sf).write.mode("append").parquet(f"{root}/bronze")
         bronze = spark.readStream.schema(articles(spark, sf).schema).parquet(f"{root}/bronze")
         topics.run(
             incremental.refiner(
-                bronze, f"{root}/silver", f"{root}/gold", f"{root}/checkpoint", ARRIVAL, True
+                bronze, f"{root}/silver", f"{root}/gold", f"{root}/checkpoint", ARRIVAL, True,
+                **{name: f"{root}/{place}" for name, place in more.items()},
             )
         )
     return root
@@ -340,6 +341,23 @@ def stream_gold_by_author(spark, sf):
     return medallion.read_gold(spark, f"{_incremental(spark, sf)}/gold", "by_author")
 
 
+def _stream_mart(spark, sf, name):
+    root = _incremental(spark, sf, mart_states="marts")
+    return marts.MARTS[name](tables.read_snapshot(spark, f"{root}/marts"))
+
+
+def stream_mart_by_source(spark, sf):
+    return _stream_mart(spark, sf, "mart_articles_by_source")
+
+
+def stream_mart_by_date(spark, sf):
+    return _stream_mart(spark, sf, "mart_articles_by_date")
+
+
+def stream_mart_by_author(spark, sf):
+    return _stream_mart(spark, sf, "mart_articles_by_author")
+
+
 def late_windows(spark, sf):
     """Daily counts of events once their day is closed."""
     root = shared_dir(spark, "windows")
@@ -502,7 +520,8 @@ QUERIES = {
         upsert_insert_only, upsert_update_insert, upsert_null_key, anti_join_seen,
         encode_json, decode_json, rejected_messages, flatten_api, existing_urls, object_key,
         landed_articles, stream_bronze, stream_produce, stream_land, stream_silver, stream_gold_by_source,
-        stream_gold_by_date, stream_gold_by_author, stream_rejects, vector_counts,
+        stream_gold_by_date, stream_gold_by_author, stream_mart_by_source, stream_mart_by_date,
+        stream_mart_by_author, stream_rejects, vector_counts,
         late_windows, late_dedup, embedding_text, vector_metadata, embed_hashed, vector_upsert, stream_vectors,
         topk_similar, topk_lsh, rag_context, rag_prompt, rag_sources, source_links,
     )

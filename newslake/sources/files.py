@@ -32,6 +32,15 @@ def listed(spark: SparkSession, path: str, suffix: str) -> list[str]:
     return [f for f in found if f.endswith(suffix)]
 
 
+def below(spark: SparkSession, path: str, suffix: str) -> list[str]:
+    """Files at any depth below a folder, in order of their names."""
+    system, place = _place(spark, path)
+    found, walk = [], system.listFiles(place, True)
+    while walk.hasNext():
+        found.append(walk.next().getPath().toString())
+    return sorted(f for f in found if f.endswith(suffix))
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     system, place = _place(spark, path)
     system.mkdirs(place)

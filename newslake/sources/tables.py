@@ -310,12 +310,21 @@ def upsert_parts(
 
 
 def upsert(
-    src: DataFrame, path: str, keys: Sequence[str], batch: str | None = None, buckets: int = BUCKETS
+    src: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    batch: str | None = None,
+    buckets: int = BUCKETS,
+    by: Sequence[str] = (),
+    merged: Callable[[DataFrame], DataFrame] | None = None,
 ) -> int:
     """Update rows with a known key, insert the others, in a table of its own.
 
-    Only the buckets that the source has keys in are read and written. The
-    number of buckets is fixed by the first load. Otherwise as ``upsert_parts``.
+    Only the buckets that the source has keys in are read and written; their
+    number is fixed by the first load. Buckets are those of the key, or of the
+    part of it that ``by`` names, such as a date, so that a load of some days
+    touches few. ``merged`` makes one row per key of stored and new rows, where a
+    new row doesn't replace the stored one. Otherwise as ``upsert_parts``.
     """
     spark = src.sparkSession
     now = current(spark, path)
@@ -323,26 +332,34 @@ def upsert(
         return now.version
     version = now.version + 1 if now else 1
     count = (now.bucket_count if now else None) or buckets
+    bucket = seen.bucket_of(by or keys, count)
     folder = f"v{version:06d}-{uuid.uuid4().hex}"
     place = f"{path}/data/{folder}"
 
-    def write(rows: DataFrame, mode: str) -> None:
-        dealt = rows.withColumn(_BUCKET, seen.bucket_of(keys, count))
+    def write(rows: DataFrame, mode: str) -> list[str]:
+        dealt = rows.withColumn(_BUCKET, bucket)
         dealt.repartition(_BUCKET).write.mode(mode).partitionBy(_BUCKET).parquet(place)
+        return [name for name in files.names(spark, place) if name.startswith(_BUCKET)]
 
-    write(src, "errorifexists")
-    touched = [name for name in files.names(spark, place) if name.startswith(_BUCKET)]
-    if touched:
-        # Once written, the source is read again for its keys only.
-        fresh = spark.read.schema(src.schema).parquet(*(f"{place}/{b}" for b in touched))
-        require_unique(fresh, keys)
+    def stored(touched: list[str]) -> DataFrame:
+        # A table of one piece goes into buckets once.
+        return read_part(spark, path, now) if now.schema is None else _read_buckets(spark, path, now, touched)
+
+    if merged:
+        found = src.select(bucket.alias("bucket")).distinct().collect()
         if now:
-            whole = now.schema is None  # a table of one piece goes into buckets once
-            old = read_part(spark, path, now) if whole else _read_buckets(spark, path, now, touched)
-            write(unmatched(old, fresh, keys), "append")
-    elif now and now.schema is None:
-        write(read_part(spark, path, now), "append")
-    written = [name for name in files.names(spark, place) if name.startswith(_BUCKET)]
+            src = merged(stored([f"{_BUCKET}={r.bucket}" for r in found]).unionByName(src))
+        written = write(src, "errorifexists")
+    else:
+        written = write(src, "errorifexists")
+        if written:
+            # Once written, the source is read again for its keys only.
+            fresh = spark.read.schema(src.schema).parquet(*(f"{place}/{b}" for b in written))
+            require_unique(fresh, keys)
+            if now:
+                written = write(unmatched(stored(written), fresh, keys), "append")
+        elif now and now.schema is None:
+            written = write(read_part(spark, path, now), "append")
     held = ((now.buckets if now else None) or {}) | {b: folder for b in written}
     schema = StructType([StructField(f.name, f.dataType) for f in src.schema])
     _announce(spark, path, now, folder, batch, None, schema, count, held)

@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter
 
+from newslake.operators import marts
 from newslake.operators.gold import ROLLUPS
 from newslake.operators.refine import refine
-from newslake.plans import medallion
+from newslake.plans import medallion, models
 from newslake.sources import tables
 from newslake.streaming.batches import batch_tags
 
@@ -29,6 +30,14 @@ def add_to_rollups(fresh: DataFrame, gold: str, batch: str) -> None:
     tables.publish(parts, gold, now, batch)
 
 
+def add_to_marts(fresh: DataFrame, path: str, batch: str) -> None:
+    """Merge a load's states into those of the marts, once per batch; only the
+    days of the load are read and written."""
+    staged = models.stg_news_silver(fresh)
+    found = marts.states.states(staged)
+    tables.upsert(found, path, marts.KEYS, batch, by=["published_date"], merged=marts.states.merged)
+
+
 def refiner(
     bronze: DataFrame,
     silver: str,
@@ -38,11 +47,13 @@ def refiner(
     total_order: bool = False,
     fmt: str = "parquet",
     by_day: bool = False,
+    mart_states: str | None = None,
 ) -> DataStreamWriter:
     """Stream that refines each batch of the raw table and adds it to Silver
     and to the aggregates. Across batches the first arrival of a URL stays.
     A Silver that is there keeps its layout; a new one is laid out ``by_day`` if
-    asked for.
+    asked for. With a place for ``mart_states``, the marts are kept up too, see
+    ``newslake.operators.marts``.
 
     Delta tables keep no note of batches: there the aggregates are counted
     anew from all of Silver, which a replay does not change.
@@ -62,5 +73,7 @@ def refiner(
         rows.unpersist()
         fresh = tables.read_batch(spark, silver, tag, rows.schema).select(rows.columns)
         add_to_rollups(fresh, gold, tag)
+        if mart_states:
+            add_to_marts(fresh, mart_states, tag)
 
     return bronze.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
