@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,6 +30,20 @@ def decode(messages: DataFrame, keep_raw: bool = False) -> DataFrame:
     )
 
 
+def decode_with(messages: DataFrame, extra: Mapping[str, tuple[str, str]]) -> DataFrame:
+    """The article columns and, by name, fields that the schema doesn't know:
+    ``extra`` gives each one's path and type, as ``("$.meta.tags[0]", "string")``.
+
+    A payload is parsed once more for them, as a whole. A field that is missing
+    or of another type is null, and so are those of a payload that is no JSON.
+    """
+    whole = F.try_parse_json(F.col("value").cast("string"))
+    parsed = messages.withColumn("_whole", whole)
+    found = [F.try_variant_get("_whole", path, kind).alias(name) for name, (path, kind) in extra.items()]
+    data = F.from_json(F.col("value").cast("string"), ARTICLE).alias("data")
+    return parsed.select(data, *found).select("data.*", *extra)
+
+
 def rejected(messages: DataFrame) -> DataFrame:
     """Payloads that could not be read as an article."""
     text = F.col("value").cast("string")

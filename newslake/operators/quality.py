@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -71,6 +71,27 @@ def checks(
     ]
 
 
+def watched(required: Sequence[str]) -> list[Column]:
+    """Counts for a write to take along: its rows, and the null ones by column."""
+    return [F.count("*").alias("rows"), *(how.alias(name) for name, how in _null_counts(required).items())]
+
+
+def of_load(
+    counts: Mapping[str, int], load: DataFrame, known: DataFrame, model: str, required: Sequence[str], key: str
+) -> DataFrame:
+    """The checks of one load: null rows as counted when it was written, and
+    values of ``key`` that it has twice or that other loads, ``known``, have."""
+    spark = load.sparkSession
+    nulls = [("not_null", model, c, int(counts[f"null_{c}"])) for c in required]
+    told = spark.createDataFrame(nulls, "check string, model string, column string, failing_rows long")
+    per_key = load.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_rows"))
+    there = known.select(F.col(key).alias("_key")).distinct()
+    again = per_key.join(there, F.col(key) == F.col("_key"), "left").agg(
+        F.count_if((F.col("_rows") > 1) | F.col("_key").isNotNull()).alias("repeated")
+    )
+    return told.unionByName(_entries(again, model, {"repeated": ("unique", key)}))
+
+
 def report(found: Sequence[DataFrame]) -> DataFrame:
     rows = reduce(DataFrame.unionByName, found)
     return rows.withColumn("passed", F.col("failing_rows") == 0)

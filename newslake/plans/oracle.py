@@ -238,12 +238,15 @@ select source, count(*) as total_articles from silver where source is not null g
     "mart_articles_by_date": f"{_WITH} {_mart_by_date('staged')}",
     "mart_articles_by_author": f"{_WITH} {_mart_by_author('staged')}",
     "models_stored": f"""{_WITH}
-select 'stg_news_silver' as model, count(*) as model_rows from staged
-union all select 'stg_news_sources', count(distinct source) from silver
-union all select 'mart_articles_by_source', count(distinct source) from staged
-union all select 'mart_articles_by_date', count(*) from (select distinct published_date from staged)
-union all select 'mart_articles_by_author', count(*)
-  from (select distinct author, source from staged where author <> 'Unknown')""",
+select 'stg_news_silver' as model, * from staged_in_loads
+union all by name
+select 'stg_news_sources' as model, source, count(*) as total_articles from in_loads group by source
+union all by name select 'mart_articles_by_source' as model, * from ({_mart_by_source("staged_in_loads")})
+union all by name select 'mart_articles_by_date' as model, * from ({_mart_by_date("staged_in_loads")})
+union all by name select 'mart_articles_by_author' as model, * from ({_mart_by_author("staged_in_loads")})""",
+    "load_verified": f"""{_WITH}
+select count(*) as written, count(*) filter (where published_at is null) as undated,
+       count(*) as stored, least(count(*), 5) as shown from silver""",
     "dq_report": f"{_WITH} "
     + _report(
         *_checks("staged", "stg_news_silver", ("url", "title", "source", "published_at"), ("url",)),
@@ -269,6 +272,12 @@ where url not in (select url from articles
     "encode_json": f"""{_WITH}
 select ingest_seq, {_JSON} as value from articles""",
     "decode_json": f"{_WITH} {_decoded()}",
+    "decode_variant": f"""{_WITH}
+select {", ".join(f"case when ingest_seq % 19 <> 0 then {c} end as {c}" for c in (
+    "title", "description", "content", "url", "source", "published_at", "author", "lang"))},
+  case when ingest_seq % 19 <> 0 then ingest_seq end as seq, case when ingest_seq % 19 <> 0 then author end as second,
+  null::varchar as none
+from articles""",
     "rejected_messages": f"""{_WITH}
 select 'not json' as _raw, count(*) as messages from messages where bad having count(*) > 0""",
     "flatten_api": f"""{_WITH}
@@ -310,6 +319,17 @@ select 'unlanded', _raw from sent where bad or unusable""",
     "stream_mart_by_source": f"{_WITH} {_mart_by_source('staged_in_loads')}",
     "stream_mart_by_date": f"{_WITH} {_mart_by_date('staged_in_loads')}",
     "stream_mart_by_author": f"{_WITH} {_mart_by_author('staged_in_loads')}",
+    "stream_dq": f"{_WITH} "
+    + _report(
+        *_checks("staged_in_loads", "stg_news_silver", ("url", "title", "source", "published_at"), ("url",)),
+        *_checks(
+            "(select source, count(*) from in_loads group by source)",
+            "stg_news_sources", ("source",), ("source",),
+        ),
+    ),
+    "late_rejects": """
+select event_id, event_id % 2 = 1 and ts < (select max(ts) - interval 5 day from events where event_id % 2 = 0) as late
+from events""",
     "late_windows": """
 select date_trunc('day', ts) as window_start, date_trunc('day', ts) + interval 1 day as window_end,
        count(*) as total_articles

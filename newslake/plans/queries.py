@@ -7,16 +7,16 @@ from operator import and_
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from newslake.fixtures import articles, messages, table
 from newslake.functions import text
-from newslake.functions.messages import decode, encode, rejected
-from newslake.operators import answers, approximate, gold, marts, search, vectors
+from newslake.functions.messages import decode, decode_with, encode, rejected
+from newslake.operators import answers, approximate, gold, marts, quality, search, vectors
 from newslake.operators.merge import unmatched
 from newslake.operators.refine import refine, usable
-from newslake.plans import medallion, models
+from newslake.plans import catalog, medallion, models
 from newslake.schemas import ARTICLE_FIELDS
 from newslake.session import shared_dir
 from newslake.sources import headlines, landing, tables, topics
@@ -110,19 +110,25 @@ def mart_articles_by_author(spark, sf):
 
 
 def models_stored(spark, sf):
-    """All models built over a stored Silver table; rows of each."""
+    """All models in the catalog, over a Silver table stored in two loads; the
+    marts are rebuilt after each, the views follow by themselves."""
     root = shared_dir(spark, "models")
-    tables.insert_new(_silver(spark, sf), f"{root}/silver", ["url"])
-    silver = tables.scan_sql(spark, f"{root}/silver").drop("batch")
-    built = models.store_models(spark, silver, root)
-    counts = [
-        df.agg(F.lit(name).alias("model"), F.count("*").alias("model_rows"))
-        for name, df in built.items()
-    ]
-    out = counts[0]
-    for one in counts[1:]:
-        out = out.unionByName(one)
-    return out
+    database = f"models_{root.rsplit('-', 1)[-1]}"
+    for load in (_first_load, articles):
+        tables.insert_new(refine(load(spark, sf), ARRIVAL, True), f"{root}/silver", ["url"])
+        catalog.store(spark, f"{root}/silver", database, root)
+    found = [spark.table(f"{database}.{name}").withColumn("model", F.lit(name)) for name in models.MODELS]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), found)
+
+
+def load_verified(spark, sf):
+    """Rows counted in the job that wrote them, beside those of a look afterwards."""
+    path = shared_dir(spark, "silver")
+    seen = Observation()
+    tables.insert_new(_silver(spark, sf), path, ["url"], watch=(seen, quality.watched(["published_at"])))
+    stored, shown = tables.verify(spark, path)
+    rows = [(seen.get["rows"], seen.get["null_published_at"], stored, len(shown))]
+    return spark.createDataFrame(rows, "written long, undated long, stored long, shown long")
 
 
 def dq_report(spark, sf):
@@ -187,6 +193,21 @@ def decode_json(spark, sf):
     return decode(messages(spark, sf).select("value"))
 
 
+def decode_variant(spark, sf):
+    """Messages with fields that the schema doesn't know, some of them nested."""
+    rows = articles(spark, sf)
+    names = F.array("source", "author")
+    whole = F.struct(*ARTICLE_FIELDS, F.col("ingest_seq").alias("seq"), F.struct("lang", names.alias("names")).alias("meta"))
+    sent = rows.select(
+        F.when(F.col("ingest_seq") % 19 == 0, "not json").otherwise(F.to_json(whole)).alias("value")
+    )
+    fields = {
+        "seq": ("$.seq", "bigint"), "lang": ("$.meta.lang", "string"),
+        "second": ("$.meta.names[1]", "string"), "none": ("$.meta.none", "string"),
+    }
+    return decode_with(sent, fields)
+
+
 def rejected_messages(spark, sf):
     bad = rejected(messages(spark, sf))
     return bad.groupBy("_raw").agg(F.count("*").alias("messages"))
@@ -358,6 +379,11 @@ def stream_mart_by_author(spark, sf):
     return _stream_mart(spark, sf, "mart_articles_by_author")
 
 
+def stream_dq(spark, sf):
+    """The checks of both loads as the stream wrote them, as one report."""
+    return incremental.read_checks(spark, f"{_incremental(spark, sf, checks='checks')}/checks")
+
+
 def late_windows(spark, sf):
     """Daily counts of events once their day is closed."""
     root = shared_dir(spark, "windows")
@@ -373,6 +399,18 @@ def late_windows(spark, sf):
     return spark.read.schema(counts.schema).parquet(f"{root}/table")
 
 
+def late_rejects(spark, sf):
+    """Every event of two loads, and whether it came behind the watermark."""
+    root = shared_dir(spark, "split")
+    rows = table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
+    for part in range(2):
+        rows.where(F.col("event_id") % 2 == part).write.mode("append").parquet(f"{root}/events")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{root}/events")
+        topics.run(late.split_late(stream, "ts", "5 days", f"{root}/split", f"{root}/checkpoint"))
+    kinds = [late.read_split(spark, f"{root}/split", kind).withColumn("late", F.lit(kind)) for kind in (False, True)]
+    return kinds[0].union(kinds[1]).select("event_id", "late")
+
+
 def late_dedup(spark, sf):
     """Distinct URLs of articles, with bounded state."""
     root = shared_dir(spark, "repeats")
@@ -516,13 +554,13 @@ QUERIES = {
     for f in (
         silver_articles, gold_by_source, gold_by_date, gold_by_author, gold_total_check,
         row_counts, stg_news_silver, stg_news_sources, mart_articles_by_source,
-        mart_articles_by_date, mart_articles_by_author, models_stored, dq_report, dq_report_raw,
+        mart_articles_by_date, mart_articles_by_author, models_stored, load_verified, dq_report, dq_report_raw,
         upsert_insert_only, upsert_update_insert, upsert_null_key, anti_join_seen,
-        encode_json, decode_json, rejected_messages, flatten_api, existing_urls, object_key,
+        encode_json, decode_json, decode_variant, rejected_messages, flatten_api, existing_urls, object_key,
         landed_articles, stream_bronze, stream_produce, stream_land, stream_silver, stream_gold_by_source,
         stream_gold_by_date, stream_gold_by_author, stream_mart_by_source, stream_mart_by_date,
         stream_mart_by_author, stream_rejects, vector_counts,
-        late_windows, late_dedup, embedding_text, vector_metadata, embed_hashed, vector_upsert, stream_vectors,
+        stream_dq, late_windows, late_rejects, late_dedup, embedding_text, vector_metadata, embed_hashed, vector_upsert, stream_vectors,
         topk_similar, topk_lsh, rag_context, rag_prompt, rag_sources, source_links,
     )
 }

@@ -24,8 +24,7 @@ import uuid
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -54,19 +53,10 @@ def scan_sql(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     return spark.sql(f"select * from {fmt}.`{path}`")
 
 
-def _missing(error: AnalysisException) -> bool:
-    return error.getCondition() == "PATH_NOT_FOUND"
-
-
 def scan_if_exists(
     spark: SparkSession, path: str, schema: StructType | None = None
 ) -> DataFrame | None:
-    try:
-        return scan(spark, path, schema=schema)
-    except AnalysisException as error:
-        if _missing(error):
-            return None
-        raise
+    return scan(spark, path, schema=schema) if files.exists(spark, path) else None
 
 
 # Insert-only tables
@@ -130,6 +120,7 @@ def insert_new(
     batch: str | None = None,
     small_batch: bool = False,
     day: Column | None = None,
+    watch: tuple[Observation, Sequence[Column]] | None = None,
 ) -> str:
     """Add the rows whose key is not stored yet; stored rows never change.
 
@@ -138,7 +129,8 @@ def insert_new(
     ``src`` is cached and small beside the table; then only the buckets of keys
     are opened that it touches. With ``day``, the load is laid
     out in folders ``day=``, one file each unless a day is large, and the table
-    has that column. Returns the batch tag.
+    has that column. ``watch`` takes counts of the rows that are written, in the
+    job that writes them. Returns the batch tag.
     """
     spark = src.sparkSession
     batch = batch or new_tag()
@@ -148,6 +140,8 @@ def insert_new(
         pick = unmatched_in_large if small_batch else unmatched
         src = pick(src, others, keys, null_safe=False)
     seen.forget(spark, f"{path}/_seen", batch)
+    if watch:
+        src = src.observe(watch[0], *watch[1])
     writer = src.write
     if day is not None:
         writer = src.withColumn("day", day).hint("rebalance", "day").write.partitionBy("day")
@@ -162,13 +156,10 @@ def insert_new(
 def current(spark: SparkSession, path: str) -> Row | None:
     """Version, folder, batch and applied micro-batches of the published
     snapshot, if any."""
-    try:
-        reader = spark.read.schema(_PUBLISHED).option("ignoreMissingFiles", "true")
-        log = reader.json(f"{path}/published")
-    except AnalysisException as error:
-        if _missing(error):
-            return None
-        raise
+    if not files.exists(spark, f"{path}/published"):
+        return None
+    reader = spark.read.schema(_PUBLISHED).option("ignoreMissingFiles", "true")
+    log = reader.json(f"{path}/published")
     return log.orderBy(F.desc("version")).first()
 
 

@@ -100,3 +100,19 @@ def test_stored_urls(spark):
         "article_url string, body string",
     )
     assert {r.url for r in landing.stored_urls(df).collect()} == {"tagged", "body", long}
+
+
+def test_fields_that_the_schema_does_not_know(spark):
+    from newslake.functions.messages import decode_with
+
+    values = [
+        '{"url": "a", "title": "t", "n": 5, "meta": {"tags": ["x", {"deep": true}]}}',
+        '{"url": "b", "n": "no number", "meta": [1]}', '{"url": "c", "n": null}', "not json", "", None, "[1]", '{"url": "d"',
+    ]
+    extra = {"n": ("$.n", "bigint"), "tag": ("$.meta.tags[0]", "string"), "deep": ("$.meta.tags[1].deep", "boolean")}
+    messages = spark.createDataFrame([(v,) for v in values], "value string")
+    found = decode_with(messages, extra)
+    assert found.columns[:7] == list(ARTICLE_FIELDS)
+    assert [(r.url, r.n, r.tag, r.deep) for r in found.collect()[:3]] == [("a", 5, "x", True), ("b", None, None, None), ("c", None, None, None)]
+    assert all(r.n is None and r.tag is None for r in found.collect()[3:])
+    assert [tuple(r)[:7] for r in found.collect()] == [tuple(r) for r in decode(messages).collect()]

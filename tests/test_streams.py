@@ -3,9 +3,10 @@ import json
 import time
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from newslake.operators import gold, marts
+from newslake.operators import gold, marts, quality
 from newslake.operators.refine import refine
 from newslake.plans import medallion, models
 from newslake.sources import landing, tables, topics
@@ -475,3 +476,71 @@ def test_a_load_in_many_files_is_embedded_once(spark, bronze, tmp_path, monkeypa
     assert run() == 40 and done == ["one"]
     loaded.where("url <> 'u0'").write.mode("overwrite").parquet(f"{root}/silver/batch=one")
     assert run() == 39 and done == ["one", "one"]
+
+
+def test_late_rows_are_kept_apart(spark, tmp_path):
+    root = str(tmp_path)
+    schema = "id int, at timestamp"
+
+    def load(name, *days):
+        data = [(10 * name + i, d and dt.datetime(2024, 1, d)) for i, d in enumerate(days)]
+        spark.createDataFrame(data, schema).coalesce(1).write.mode("append").parquet(f"{root}/in")
+
+    def run():
+        stream = spark.readStream.schema(schema).parquet(f"{root}/in")
+        topics.run(late.split_late(stream, "at", "2 days", f"{root}/out", f"{root}/mark"))
+        kinds = [late.read_split(spark, f"{root}/out", kind) for kind in (False, True)]
+        return [sorted(r.id for r in k.collect()) for k in kinds]
+
+    load(0, 3, 1, 10, None)
+    assert run() == [[0, 1, 2, 3], []]
+    load(1, 7, 8, 9, None)
+    assert run() == [[0, 1, 2, 3, 11, 12, 13], [10]]
+    load(2, 1, 20)
+    load(3)
+    assert run() == [[0, 1, 2, 3, 11, 12, 13, 21], [10, 20]]
+    load(4, 17, 18, 10)
+    assert run() == [[0, 1, 2, 3, 11, 12, 13, 21, 41], [10, 20, 40, 42]]
+
+
+def test_checks_of_a_stream_are_those_of_the_whole(spark, bronze, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    for n in range(3):
+        some = [{"url": f"u{(3 * n + i) % 8}", "title": "t", "published_at": ["bad", "2024-01-01"][i % 2], "at": 10 * n + i} for i in range(5)]
+        bronze(*some).coalesce(1).write.mode("append").parquet(f"{root}/bronze")
+
+    def run():
+        raw = spark.readStream.option("maxFilesPerTrigger", 1).schema(spark.read.parquet(f"{root}/bronze").schema).parquet(f"{root}/bronze")
+        topics.run(incremental.refiner(raw, f"{root}/silver", f"{root}/gold", f"{root}/mark", checks=f"{root}/checks"))
+
+    break_once(monkeypatch, incremental, "write_checks", 2)
+    with pytest.raises(Exception, match="lost"):
+        run()
+    run()
+    whole = models.checked(models.build_models(tables.read_inserted(spark, f"{root}/silver")))
+    assert rows(incremental.read_checks(spark, f"{root}/checks").select(whole.columns)) == rows(whole)
+    assert any(r.failing_rows for r in whole.collect())
+
+
+def test_repeated_keys_show_in_the_checks_of_a_load(spark):
+    load = spark.createDataFrame([("a",), ("a",), ("b",), (None,), ("c",)], "url string")
+    known = spark.createDataFrame([("b",), ("b",), ("z",), (None,)], "url string")
+    found = quality.of_load({"null_url": 1}, load, known, "m", ["url"], "url")
+    assert {(r["check"], r.failing_rows) for r in found.collect()} == {("not_null", 1), ("unique", 2)}
+
+
+def test_rows_are_counted_by_the_job_that_writes_them(spark, tmp_path):
+    source, counted = tmp_path / "in", Observation()
+    spark.range(100).selectExpr("cast(id as string) as url", "if(id < 7, null, 1) as n").write.parquet(str(source))
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    src = spark.read.parquet(str(source)).mapInArrow(count, "url string, n int")
+    tables.insert_new(src, str(tmp_path / "out"), ["url"], watch=(counted, quality.watched(["n"])))
+    assert counted.get == {"rows": 100, "null_n": 7}
+    assert read.value == 100  # no scan for the counts
+    assert tables.verify(spark, str(tmp_path / "out"))[0] == 100
