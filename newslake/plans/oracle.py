@@ -283,6 +283,10 @@ select 'not json' as _raw, count(*) as messages from messages where bad having c
     "flatten_api": f"""{_WITH}
 select title, description, content, url, source, published_at, author from articles
 where (ingest_seq // 50) % 5 <> 4""",
+    "flatten_api_page": f"""{_WITH}
+select title, description, content, url, source, published_at, author from articles
+where (ingest_seq // 50) % 5 <> 4
+qualify row_number() over (partition by ingest_seq // 50 order by ingest_seq) <= 20""",
     "existing_urls": f"""{_WITH}
 select distinct url from articles where title is not null and url is not null""",
     "object_key": f"""{_WITH}

@@ -222,7 +222,7 @@ def _responses(rows: DataFrame) -> DataFrame:
         F.col("published_at").alias("publishedAt"), "author",
     )
     page = F.floor(F.col("ingest_seq") / 50)
-    packed = rows.groupBy(page.alias("page")).agg(F.collect_list(entry).alias("articles"))
+    packed = rows.groupBy(page.alias("page")).agg(F.sort_array(F.collect_list(entry)).alias("articles"))
     status = F.when(F.col("page") % 5 == 4, "error").otherwise("ok")
     return packed.select(
         F.lit(headlines.LANGUAGE).alias("language"),
@@ -235,6 +235,12 @@ def flatten_api(spark, sf):
     return headlines.flattened(headlines.fetched(_responses(articles(spark, sf))))
 
 
+def flatten_api_page(spark, sf):
+    """Only as many articles of a response as were asked for."""
+    asked = headlines.fetched(_responses(articles(spark, sf)), page=headlines.PAGE_SIZE)
+    return headlines.flattened(asked)
+
+
 def existing_urls(spark, sf):
     """URLs of landed objects; every third has no tag, only its body."""
     rows = usable(articles(spark, sf))
@@ -556,7 +562,7 @@ QUERIES = {
         row_counts, stg_news_silver, stg_news_sources, mart_articles_by_source,
         mart_articles_by_date, mart_articles_by_author, models_stored, load_verified, dq_report, dq_report_raw,
         upsert_insert_only, upsert_update_insert, upsert_null_key, anti_join_seen,
-        encode_json, decode_json, decode_variant, rejected_messages, flatten_api, existing_urls, object_key,
+        encode_json, decode_json, decode_variant, rejected_messages, flatten_api, flatten_api_page, existing_urls, object_key,
         landed_articles, stream_bronze, stream_produce, stream_land, stream_silver, stream_gold_by_source,
         stream_gold_by_date, stream_gold_by_author, stream_mart_by_source, stream_mart_by_date,
         stream_mart_by_author, stream_rejects, vector_counts,

@@ -14,18 +14,20 @@ PAGE_SIZE = 20
 
 
 def fetched(
-    responses: DataFrame, language: str = LANGUAGE, category: str = CATEGORY
+    responses: DataFrame, language: str = LANGUAGE, category: str = CATEGORY, page: int | None = None
 ) -> DataFrame:
     """Articles of the successful responses to the wanted request.
 
     ``responses`` has the request's ``language`` and ``category`` and the JSON
     ``body``. A response gives all of its articles, however many the service
-    sent; one with another status than ``ok`` gives none.
+    sent, or the first ``page`` of them, such as ``PAGE_SIZE``; one with another
+    status than ``ok`` gives none.
     """
+    articles = F.col("response.articles")
     wanted = responses.where((F.col("language") == language) & (F.col("category") == category))
     parsed = wanted.withColumn("response", F.from_json("body", HEADLINES))
     return parsed.where("response.status = 'ok'").select(
-        F.explode("response.articles").alias("article")
+        F.explode(F.slice(articles, 1, page) if page else articles).alias("article")
     )
 
 

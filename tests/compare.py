@@ -14,7 +14,7 @@ TABLES = (
 ).split()
 
 
-def _plain(value):
+def plain(value):
     if isinstance(value, dt.datetime):
         return value.replace(tzinfo=None)
     if isinstance(value, float):
@@ -24,17 +24,27 @@ def _plain(value):
 
 def _rows(names, rows):
     order = sorted(range(len(names)), key=lambda i: names[i])
-    return Counter(tuple(_plain(row[i]) for i in order) for row in rows)
+    return Counter(tuple(plain(row[i]) for i in order) for row in rows)
 
 
-def oracle_rows(sql: str, sf_dir: str):
+def _run(sql: str, sf_dir: str):
     con = duckdb.connect()
     con.execute("set threads = 8")
     for name in TABLES:
         con.execute(f"create view {name} as select * from '{sf_dir}/{name}.parquet'")
     found = con.execute(sql)
-    names = [d[0] for d in found.description]
-    return sorted(names), _rows(names, found.fetchall())
+    return [d[0] for d in found.description], found.fetchall()
+
+
+def oracle_rows(sql: str, sf_dir: str):
+    names, rows = _run(sql, sf_dir)
+    return sorted(names), _rows(names, rows)
+
+
+def oracle_list(sql: str, sf_dir: str):
+    """Names and rows in the order in which they come."""
+    names, rows = _run(sql, sf_dir)
+    return names, [tuple(map(plain, row)) for row in rows]
 
 
 def spark_rows(df):

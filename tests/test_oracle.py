@@ -1,7 +1,7 @@
 """Every query with SQL beside it gives the rows that the SQL engine gives."""
 
 import pytest
-from compare import oracle_rows, spark_rows
+from compare import oracle_list, oracle_rows, plain, spark_rows
 
 import __spark_entry__ as entry_points
 from newslake.plans.oracle import ORACLE
@@ -23,3 +23,22 @@ def test_entry(spark, sf):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_same_rows(spark, sf, name):
     assert spark_rows(QUERIES[name](spark, sf)) == oracle_rows(ORACLE[name], sf)
+
+
+ORDERED = {
+    "gold_by_source": "total_articles desc, source",
+    "gold_by_author": "total_articles desc, author, source",
+    "gold_by_date": "date desc",
+    "mart_articles_by_source": "total_articles desc, source",
+    "mart_articles_by_author": "total_articles desc, author, source",
+    "mart_articles_by_date": "published_date desc",
+}
+
+
+@pytest.mark.parametrize("name", sorted(ORDERED))
+def test_same_order(spark, sf, name):
+    """Reports come largest or newest first, equal ones by key."""
+    sql = f"select * from ({ORACLE[name]}) order by {ORDERED[name]} nulls last"
+    names, rows = oracle_list(sql, sf)
+    found = QUERIES[name](spark, sf)
+    assert [tuple(plain(r[n]) for n in names) for r in found.collect()] == rows
