@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pytest
 from newslake.llm import queries, toxicity
 from pyspark.sql import functions as F
 
@@ -86,3 +87,48 @@ def test_features_reach_the_whole_of_long_runs():
     model = toxicity.Model({"~\u574f\u4eba": 4.0}, -2.0)
     clause = "\u7684" * 40
     assert model.score(clause + "\u574f\u4eba") > 0.5 > model.score(clause)
+
+
+@pytest.mark.parametrize("prior, backward", [(0.05, 1.0), (0.45, 0.5)])
+def test_fit_follows_the_plain_risk(prior, backward):
+    """The same steps by a written-out risk and its differences, also where the
+    corrected part falls below zero and the steps turn."""
+    rng = np.random.default_rng(1)
+    width, steps, rate, decay = 5, 24, 0.2, 1e-3
+    toxic = [np.flatnonzero(rng.random(width) < 0.7) for _ in range(9)]
+    others = [np.flatnonzero(rng.random(width) < 0.3) for _ in range(14)]
+    loss = lambda margin: float(np.logaddexp(0, -margin))
+    turned = []
+
+    def parts(theta):
+        margin = lambda rows: sum(theta[f] for f in rows) + theta[-1]
+        confirmed = prior * sum(loss(margin(t)) for t in toxic) / len(toxic)
+        as_clean = prior * sum(loss(-margin(t)) for t in toxic) / len(toxic)
+        return confirmed, sum(loss(-margin(o)) for o in others) / len(others) - as_clean
+
+    def gradient(theta):
+        def aim(t):
+            confirmed, rest = parts(t)
+            return confirmed + rest if forward else -backward * rest
+
+        forward = parts(theta)[1] >= 0
+        turned.append(not forward)
+        found = []
+        for i in range(width + 1):
+            step = np.zeros(width + 1)
+            step[i] = 1e-6
+            found.append((aim(theta + step) - aim(theta - step)) / 2e-6)
+        return np.array(found) + decay * np.append(theta[:-1], 0)
+
+    theta = np.zeros(width + 1)
+    theta[-1] = np.log(prior / (1 - prior))
+    first, second, later = np.zeros(width + 1), np.zeros(width + 1), []
+    for n in range(1, steps + 1):
+        slope = gradient(theta)
+        first, second = 0.9 * first + 0.1 * slope, 0.999 * second + 0.001 * slope**2
+        theta = theta - rate * (first / (1 - 0.9**n)) / (np.sqrt(second / (1 - 0.999**n)) + 1e-8)
+        if n > steps // 2:
+            later.append(theta)
+    assert any(turned) and not all(turned)  # both signs of the corrected part
+    weights, bias = toxicity.fit(toxic, others, width, prior, steps, rate, decay, backward)
+    assert np.append(weights, bias) == pytest.approx(np.mean(later, axis=0), abs=1e-3)
