@@ -186,7 +186,9 @@ def nearest(
     asked = q.agg(F.count("*").alias("rows"), F.max(F.size("values")).alias("dims")).first()
     per_block = max(1, broadcast_numbers // max(1, asked.dims or 1))
     if asked.rows <= per_block:
-        candidates = _scan_with_all(v, q.toArrow(), k, schema)
+        sent = q.toArrow()
+        q.unpersist()
+        candidates = _scan_with_all(v, sent, k, schema)
     else:
         candidates = _scan_in_blocks(v, q, k, schema, -(-asked.rows // per_block))
     return shown(ranked(candidates, k))

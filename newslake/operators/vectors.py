@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from newslake.functions.embedding import Embedder, hashed_words, vector, vector_or_error
 from newslake.functions.text import embedding_text, iso_text
+from newslake.operators.approximate import HashTables, with_keys
 from newslake.operators.merge import unmatched
 from newslake.schemas import METADATA_FIELDS
 from newslake.sources import tables
@@ -60,13 +61,18 @@ def write_vectors(
     batch: str,
     factory: Callable[[], Embedder] | None = None,
     rejects: str | None = None,
+    by: HashTables | None = None,
 ) -> None:
     """Write the vectors of a load to its own folder below ``path`` and, if a
-    place for ``rejects`` is given, the URLs that failed there, with errors."""
+    place for ``rejects`` is given, the URLs that failed there, with errors. With
+    hash tables ``by``, the vectors are stored with their keys, which
+    ``approximate.nearest`` searches."""
     found = embedded(silver, factory)
     if rejects and factory:
         found = found.persist()
     good = found.where(F.col("values").isNotNull()).drop("error")
+    if by:
+        good = with_keys(good, by)
     good.write.mode("overwrite").parquet(f"{path}/batch={batch}")
     if rejects and factory:
         bad = found.where("error is not null").select(F.col("id").alias("url"), "error")
@@ -105,6 +111,7 @@ def store_new_vectors(
     factory: Callable[[], Embedder] | None = None,
     batch: str | None = None,
     rejects: str | None = None,
+    by: HashTables | None = None,
 ) -> str:
     """Embed and add only the articles that have no vector yet.
 
@@ -120,7 +127,7 @@ def store_new_vectors(
         known = others.select(F.col("id").alias("url"))
         silver = unmatched(silver, known, ["url"], null_safe=False)
     batch = batch or tables.new_tag()
-    write_vectors(silver, path, batch, factory, rejects)
+    write_vectors(silver, path, batch, factory, rejects, by)
     return batch
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter
 
 from newslake.functions.embedding import Embedder
+from newslake.operators.approximate import HashTables
 from newslake.operators.vectors import write_vectors
 from newslake.sources import files, tables
 
@@ -29,6 +30,7 @@ def vector_writer(
     factory: Callable[[], Embedder] | None = None,
     max_files: int = FILES_PER_TRIGGER,
     rejects: str | None = None,
+    by: HashTables | None = None,
 ) -> DataStreamWriter:
     """Stream that embeds the loads added to Silver since its last run.
 
@@ -38,7 +40,8 @@ def vector_writer(
     vector per URL: Silver has each URL in one load. No join, no shuffle. Which
     files of a load were embedded is noted below ``path``, so that a load whose
     files come in several micro-batches is embedded once, unless it is changed.
-    Articles that the model fails on go to ``rejects``, if given.
+    Articles that the model fails on go to ``rejects``, if given; with hash tables
+    ``by``, keys are stored with the vectors.
     """
     schema = tables.scan(spark, silver).schema
     added = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(silver)
@@ -51,7 +54,7 @@ def vector_writer(
             if files.names(session, noted) == [content]:
                 continue
             files.remove(session, noted)
-            write_vectors(tables.read_batch(session, silver, load), path, load, factory, rejects)
+            write_vectors(tables.read_batch(session, silver, load), path, load, factory, rejects, by)
             files.make_folder(session, f"{noted}/{content}")
 
     return added.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)

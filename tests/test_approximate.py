@@ -84,3 +84,23 @@ def test_unusable_vectors_and_empty_tables(spark):
     assert found == {(1, 1): (1, 1.0), (1, 2): (7, round(1 / 1.01**0.5, 6))}
     assert approximate.nearest(stored.limit(0), asked, exact_rows=0).count() == 0
     assert approximate.nearest(stored, asked.limit(0), exact_rows=0).count() == 0
+
+
+def test_stored_articles_are_found_by_their_keys(spark, bronze, tmp_path):
+    """Vectors stored with keys answer as an exact search does, with their metadata."""
+    from newslake.operators import vectors
+    from newslake.operators.refine import refine
+    from newslake.sources import tables
+
+    words = "market court storm match vote film phone train".split()
+    loaded = refine(bronze(*[
+        {"url": f"u{i:02d}", "title": f"{words[i % 8]} {words[i % 8]} report", "description": f"{words[i % 8]} day {i}"} for i in range(40)
+    ]))
+    path = str(tmp_path / "vectors")
+    vectors.store_new_vectors(loaded, path, by=approximate.HashTables())
+    stored = tables.read_inserted(spark, path)
+    asked = vectors.question_vectors(spark.createDataFrame([(1, "court report"), (2, "film")], "q_id int, question string"))
+    found = approximate.nearest(stored, asked, 5, exact_rows=0)
+    assert pairs(found) == pairs(search.nearest(stored, asked, 5))
+    shown = search.with_metadata(found, stored).where("q_id = 1").collect()
+    assert len(shown) == 5 and all(r.metadata.title == "court court report" for r in shown)
