@@ -146,10 +146,16 @@ def store_models(spark: SparkSession, silver: DataFrame, path: str) -> dict[str,
 
 
 def save_marts(silver: DataFrame, database: str) -> None:
-    """Rebuild the marts as catalog tables."""
+    """Rebuild the marts as managed tables of the catalog. Each is written whole
+    under another name first; see ``newslake.plans.catalog`` for tables that are
+    swapped in one step."""
+    spark = silver.sparkSession
     for name, df in build_models(silver).items():
         if MODELS[name].kept_as == "table":
-            df.write.mode("overwrite").saveAsTable(f"{database}.{name}")
+            table, following = f"{database}.{name}", f"{database}.{name}_next"
+            df.write.mode("overwrite").saveAsTable(following)
+            spark.sql(f"drop table if exists {table}")
+            spark.sql(f"alter table {following} rename to {table}")
 
 
 def checked(built: dict[str, DataFrame]) -> DataFrame:

@@ -86,7 +86,8 @@ def _counting(spark: SparkSession, path: str, stored: DataFrame) -> DataFrame:
 
 def add(rows: DataFrame, path: str, keys: Sequence[str], tag: str) -> None:
     """Put the rows' keys on the list, in place of all that earlier attempts at
-    the batch put there; one file per bucket that they touch."""
+    the batch put there; one file per bucket that they touch. Each time another
+    ``MOST_FILES`` batches are listed, folders of more files are compacted."""
     spark = rows.sparkSession
     attempt = uuid.uuid4().hex
     for before in files.names(spark, f"{path}/begun/{tag}"):
@@ -98,6 +99,8 @@ def add(rows: DataFrame, path: str, keys: Sequence[str], tag: str) -> None:
     )
     new.repartition("bucket").write.mode("append").partitionBy("bucket").parquet(f"{path}/keys")
     files.make_folder(spark, f"{path}/added/{tag}")
+    if len(added(spark, path)) % MOST_FILES == 0:
+        compact(spark, path, MOST_FILES)
 
 
 def added(spark: SparkSession, path: str) -> set[str]:

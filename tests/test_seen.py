@@ -105,3 +105,14 @@ def test_batch_and_stream_share_a_silver_by_day(spark, bronze, tmp_path, first):
     stored = tables.read_inserted(spark, f"{root}/silver")
     assert found(stored) == ["a", "b", "c"]
     assert {str(r.day) for r in stored.select("day").collect()} == {"2024-01-01", "2024-01-02", "2024-01-03"}
+
+
+def test_small_files_do_not_pile_up(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "seen")
+    monkeypatch.setattr(seen, "MOST_FILES", 3)
+    seen.create(spark, path, 2)
+    for load in range(9):
+        remember(urls(spark, f"a{load}", f"b{load}", f"c{load}"), path, f"load-{load}")
+    assert max(len(glob.glob(f"{d}/*.parquet")) for d in glob.glob(f"{path}/keys/*")) <= 4
+    asked = [f"{c}{load}" for c in "abc" for load in range(9)]
+    assert found(new_urls(urls(spark, *asked, "new"), path, "now")) == ["new"]
