@@ -101,3 +101,9 @@ def test_file_is_a_warc(spark, tmp_path):
         assert rest[n : n + 4] == b"\r\n\r\n"
         data, records = rest[n + 4 :], records + 1
     assert records == 2
+
+
+def test_links_end_at_their_own_quote(spark):
+    page = """<a href="/it's?x=1">a</a> <a class=x href='/say "hi"'>b</a> <a href=/plain>c</a> <A HREF = "">d</A> <a href="/a&amp;b">e</a>"""
+    meta = derived(spark, [(1, "http://a/b", page, "x")]).where("type = 'metadata'").first()
+    assert json.loads(meta.block)["links"] == ["/it's?x=1", '/say "hi"', "/plain", "", "/a&b"]
