@@ -74,6 +74,47 @@ def test_lists_and_repeats(spark):
     }
 
 
+def test_short_names(spark):
+    rows = [
+        (1, "BSD 3-Clause License"), (2, "SPDX-License-Identifier: MIT"), (3, "Licensed under the GNU GPL v3"),
+        (4, "Mozilla Public License 2.0"), (5, "apache-2.0"), (6, "the public domain"),
+    ]
+    found = {r.doc_id: r.labels for r in scan(spark, rows)}
+    assert found == {1: "bsd", 2: "mit", 3: "gpl,gpl-3", 4: "mpl", 5: "apache-2.0", 6: ""}
+
+
+def test_templates_of_any_length(spark):
+    text = [f"w{i}" for i in range(500)]
+    gone = text[:100] + text[150:300] + ["x", "y"] + text[300:450] + ["z"] + text[460:]
+    rows = [
+        (1, " ".join(text)), (2, "a b " * 300 + " ".join(text) + " w0 w1" * 400), (3, " ".join(text[:399])),
+        (4, " ".join(text[:400])), (5, " ".join(text[:59] + ["x"] + text[60:])), (6, " ".join(text[:61] * 9)),
+        (7, " ".join(gone)), (8, " ".join(text[250:] + text[:250])),
+    ]
+    found = {r.doc_id: (r.labels, r.score) for r in scan(spark, rows, notices=[("long", " ".join(text))])}
+    assert found == {
+        1: ("long", 1.0), 2: ("long", 1.0), 3: ("", 0.0), 4: ("long", 0.8), 5: ("long", 499 / 500),
+        6: ("", 0.0), 7: ("", 0.0), 8: ("", 0.0),
+    }
+
+
+def test_sql_takes_chains_in_pieces_too(spark):
+    import duckdb
+    import pandas as pd
+
+    words = next(text for label, text in license.NOTICES if label == "mit" and len(text.split()) > 100).split()
+    rng = random.Random(3)
+    lists = ["CC BY, CC BY-SA, CC BY-NC, CC BY-ND", "cc by nc " * 40, "CC BY-NC, CC BY, CC BY, CC BY, CC BY"]
+    rows = list(enumerate(lists))
+    for d in range(len(rows), 60):
+        kept = [w for w in words if rng.random() > 0.04 * (d % 4)]
+        noise = [rng.choice(["of this software", "the software", "x", "cc by", "nc", "gnu gpl v3"]) for _ in range(40)]
+        rows.append((d, " ".join(noise[: d % 40] + kept + noise)))
+    documents = pd.DataFrame(rows, columns=["doc_id", "text"])  # noqa: F841
+    expected = duckdb.sql(license.SCANNED_SQL).fetchall()
+    assert sorted(map(tuple, scan(spark, rows))) == sorted(expected)
+
+
 def test_tables(spark):
     rows = [(1, "the MIT License " * 5_000), (2, None), (3, ""), (4, "cc by"), (4, "cc by"), (4, "gnu"), (None, "MIT license.")]
     found = sorted(scan(spark, rows), key=lambda r: (r.doc_id or 0, r.n_words))
