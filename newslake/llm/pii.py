@@ -24,7 +24,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newslake.llm.common import once_per_worker, to_python
+from newslake.llm.common import once_per_worker, to_python, unused
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -75,18 +75,17 @@ _VALUE = {
 
 #: The length of an IBAN, by country.
 _IBAN_LENGTHS = {
-    country: int(length)
-    for length, countries in (
-        item.split(":")
-        for item in (
-            "15:NO 16:BE 18:DK,FI,FK,FO,GL,NL,SD 19:MK,SI 20:AT,BA,EE,KZ,LT,LU,MN,XK 21:CH,HR,LI,LV"
-            " 22:BG,BH,CR,DE,GB,GE,IE,ME,RS,VA 23:AE,GI,IL,IQ,OM,SO,TL 24:AD,CZ,ES,MD,PK,RO,SA,SE,SK,TN,VG"
-            " 25:LY,PT,ST 26:IS,TR 27:BI,DJ,FR,GR,IT,MC,MR,SM 28:AL,AZ,BY,CY,DO,GT,HN,HU,LB,NI,PL,SV"
-            " 29:BR,EG,PS,QA,UA 30:JO,KW,MU,YE 31:MT,SC 32:LC 33:RU"
-        ).split()
-    )
-    for country in countries.split(",")
-}
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22,
+    "BI": 27, "BR": 29, "BY": 28, "CH": 21, "CR": 22, "CY": 28, "CZ": 24, "DE": 22, "DJ": 27,
+    "DK": 18, "DO": 28, "EE": 20, "EG": 29, "ES": 24, "FI": 18, "FK": 18, "FO": 18, "FR": 27,
+    "GB": 22, "GE": 22, "GI": 23, "GL": 18, "GR": 27, "GT": 28, "HN": 28, "HR": 21, "HU": 28,
+    "IE": 22, "IL": 23, "IQ": 23, "IS": 26, "IT": 27, "JO": 30, "KW": 30, "KZ": 20, "LB": 28,
+    "LC": 32, "LI": 21, "LT": 20, "LU": 20, "LV": 21, "LY": 25, "MC": 27, "MD": 24, "ME": 22,
+    "MK": 19, "MN": 20, "MR": 27, "MT": 31, "MU": 30, "NI": 28, "NL": 18, "NO": 15, "OM": 23,
+    "PK": 24, "PL": 28, "PS": 29, "PT": 25, "QA": 29, "RO": 24, "RS": 22, "RU": 33, "SA": 24,
+    "SC": 31, "SD": 18, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "SO": 23, "ST": 25, "SV": 28,
+    "TL": 23, "TN": 24, "TR": 26, "UA": 29, "VA": 22, "VG": 24, "XK": 20, "YE": 30,
+}
 
 
 def _lower(text: str) -> str:
@@ -214,8 +213,9 @@ def masked_text(text: str, spans: list[tuple[str, int, int]]) -> str:
 
 
 def with_spans(docs: DataFrame, text: str = "text", to: str = "spans") -> DataFrame:
-    """The table with one more column, the spans of each text in code points;
-    a null or empty text has none. Other columns stay as they are."""
+    """The table with one more column, last: the spans of each text in code
+    points; a null or empty text has none. Other columns stay as they are: if
+    one has that name, the new one has underscores after it."""
 
     @F.pandas_udf(SPANS)
     def spans(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -226,7 +226,7 @@ def with_spans(docs: DataFrame, text: str = "text", to: str = "spans") -> DataFr
                 for t in texts
             ], dtype=object)
 
-    return to_python(docs).withColumn(to, spans(F.col(text)))
+    return to_python(docs).select("*", spans(F.col(text)).alias(unused(docs, to)))
 
 
 def masked(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -246,7 +246,9 @@ def masked(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def digests(found: DataFrame) -> DataFrame:
-    """One row per document of ``doc_id, spans``: counts, digest and list."""
+    """One row per document, whose spans are the last column: ``doc_id``, counts,
+    digest and list."""
+    found = found.select("doc_id", F.col(f"`{found.columns[-1]}`").alias("spans"))
     written = lambda spans: F.array_join(
         F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ","
     )

@@ -113,3 +113,11 @@ def test_query_over_the_whole_table(spark, sf):
         digest = hashlib.sha256(",".join(f"{k}:{s}:{e}" for k, s, e in spans).encode()).hexdigest()
         assert found[row.doc_id].base_sha256 == digest
         assert found[row.doc_id].n_email == sum(s[0] == "email" for s in spans)
+
+
+def test_a_column_of_the_same_name_stays(spark):
+    docs = spark.createDataFrame([(1, "a@b.c", "own"), (2, None, None)], "doc_id long, text string, spans string")
+    found = pii.with_spans(docs)
+    assert found.columns == ["doc_id", "text", "spans", "spans_"]
+    assert {r.doc_id: r.spans for r in found.collect()} == {1: "own", 2: None}
+    assert {r.doc_id: r.spans for r in pii.digests(found).collect()} == {1: "email:0:5", 2: ""}
