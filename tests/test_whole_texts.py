@@ -48,6 +48,7 @@ def exchanged(df):
 
 def test_the_readers_give_the_rows_of_articles(spark, odd):
     known = fixtures.articles(spark, odd)
+    assert rows(fixtures.whole_articles(spark, odd)) == rows(known)
     paged = fixtures.paged_articles(spark, odd, 50)
     assert rows(paged.drop("page")) == rows(known)
     assert not paged.where("not (page <=> floor(ingest_seq / 50))").count()
@@ -61,6 +62,12 @@ def test_a_text_is_shuffled_once_to_its_page(spark, odd, no_broadcast):
     assert len(wide) == 1 and "content" not in wide[0]
 
 
+def test_a_text_meets_its_event_unsorted_and_uncut(spark, odd, no_broadcast):
+    met = fixtures.whole_articles(spark, odd)
+    assert [c for c in exchanged(met) if {"title", "description", "content"} & set(c)] == []
+    assert "SortMergeJoin" not in met._jdf.queryExecution().toString()
+
+
 def test_the_comparison_shuffles_no_text_and_sees_a_word(spark, odd, no_broadcast):
     rows_sent = fixtures.articles(spark, odd).where("url is not null and description is not null")
     rows_sent.drop("ingest_seq", "lang").write.parquet(f"{odd}/sent")
