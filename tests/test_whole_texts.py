@@ -7,8 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from newslake import fixtures
+from newslake.operators import vectors
 from newslake.plans import queries
-from newslake.sources import topics
+from newslake.sources import tables, topics
 
 
 @pytest.fixture
@@ -89,3 +90,13 @@ def test_messages_are_stored_smaller_than_their_json(spark, odd, tmp_path):
     lines = spark.read.text(f"{tmp_path}/topic")
     assert lines.count() == sent.count()
     assert 0 < 2 * stored < lines.agg(F.sum(F.octet_length("value"))).first()[0]
+
+
+def test_tables_of_texts_and_vectors_are_stored_with_zstd(spark, odd, tmp_path):
+    silver = queries._silver(spark, odd)
+    tables.insert_new(silver, f"{tmp_path}/silver", ["url"], "a")
+    vectors.write_vectors(silver, f"{tmp_path}/vectors", "a")
+    for name in ("silver", "vectors"):
+        parts = list((tmp_path / name / "batch=a").glob("part-*"))
+        assert parts and all(".zstd." in p.name for p in parts)
+    assert rows(tables.read_inserted(spark, f"{tmp_path}/silver")) == rows(silver)
